@@ -25,7 +25,10 @@ def place(rows: DataFrame, segments: int, group: str, order: Sequence[str]) -> D
 
     The range limits come from a sample, so the result is written out once: everything
     that is computed from the numbering reads the same rows, also after a lost task.
+    A single segment needs neither.
     """
+    if segments == 1:
+        return rows.withColumn(SEGMENT, F.lit(0))
     ensure_checkpoint_dir(rows.sparkSession)
     return (
         rows.repartitionByRange(segments, group, *order)

@@ -97,7 +97,7 @@ def from_timeline(rows: DataFrame, spec: Evaluation) -> DataFrame:
             "actor_id",
             F.col("event_id").alias("triggering_event_id"),
             "max_ms",
-            *spec.arrival,
+            *spec.carried,
             F.explode(F.array(*candidates)).alias("_signal"),
         )
         .where("_signal IS NOT NULL")
@@ -113,6 +113,6 @@ def from_timeline(rows: DataFrame, spec: Evaluation) -> DataFrame:
         "observed_event_count",
         "observed_severity_sum",
         F.timestamp_millis("max_ms").alias("emitted_at"),
-        *spec.arrival,
+        *spec.carried,
         "rule_pos",
     )

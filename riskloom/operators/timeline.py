@@ -43,7 +43,7 @@ class Evaluation:
     """What to evaluate and where one task stops being enough for one actor.
 
     ``arrival`` names the columns whose order is the arrival order; they must be unique
-    per row. An actor with more than ``actor_rows`` rows is split into segments.
+    per row, and may end in event_id. An actor with more than ``actor_rows`` rows is split into segments.
     """
 
     rules: tuple[Rule, ...]
@@ -55,6 +55,11 @@ class Evaluation:
     def __post_init__(self) -> None:
         object.__setattr__(self, "rules", validate_rules(self.rules, self.history_cap))
 
+    @property
+    def carried(self) -> tuple[str, ...]:
+        """Arrival columns besides the event id, which every row has anyway."""
+        return tuple(c for c in self.arrival if c != "event_id")
+
     @property
     def retention_ms(self) -> int:
         return max(_window(rule) for rule in self.rules)
@@ -78,7 +83,7 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
     slim = events.select(
         "actor_id",
         "event_id",
-        *spec.arrival,
+        *spec.carried,
         F.unix_micros("occurred_at").alias("occurred_us"),
         "severity",
         _match_mask(spec.rules).alias("mask"),
@@ -225,7 +230,7 @@ def _points(rows: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
         enters = F.coalesce(F.col("evictor_pos") != F.col("pos"), F.lit(True))
     rows = rows.withColumn("event_ms", _event_ms()).withColumn("enters", enters)
     # Leaving points carry nothing that only an arrival is read for.
-    payload = ["event_id", "occurred_us", *spec.arrival]
+    payload = ["event_id", "occurred_us", *spec.carried]
     empty = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in payload]
 
     def point(ms: Column, is_arrival: Column, window: int, columns: list, pos, reading):
@@ -303,7 +308,7 @@ def _arrivals_only(points: DataFrame, spec: Evaluation, *extra: str) -> DataFram
         "actor_id",
         *extra,
         "event_id",
-        *spec.arrival,
+        *spec.carried,
         "occurred_us",
         "severity",
         "max_ms",

@@ -39,6 +39,7 @@ def local_session(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
