@@ -86,7 +86,7 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
         *spec.carried,
         F.unix_micros("occurred_at").alias("occurred_us"),
         "severity",
-        _match_mask(spec.rules).alias("mask"),
+        match_mask(spec.rules).alias("mask"),
     )
     small, large, large_rows = _split_by_size(slim, events, spec.split_above)
     result = _small_actors(small, spec)
@@ -95,7 +95,7 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
     return result
 
 
-def _match_mask(rules: Sequence[Rule]) -> Column:
+def match_mask(rules: Sequence[Rule]) -> Column:
     """Matching rules as bits, so that no event column but the mask is shuffled."""
     event_type, attributes = F.col("event_type"), F.col("attributes")
     mask = F.lit(0).cast("bigint")
