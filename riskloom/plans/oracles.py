@@ -8,7 +8,7 @@ from __future__ import annotations
 from riskloom import schemas
 from riskloom.operators.rules import Rule
 from riskloom.plans import queries, tables
-from riskloom.plans.tables import BURST, CAP, HOUR_MS, POLICY
+from riskloom.plans.tables import BURST, CAP, POLICY
 
 _RETENTION_MS = max(rule.window_ms for rule in POLICY)
 
@@ -224,7 +224,7 @@ poison AS (SELECT 1 AS schema_version, topic || ':0:' || "offset" AS quarantine_
 # All payload text is ASCII, so substr counts bytes.
 
 _WITH_RAW = f"WITH {_RAW}"
-_RAW_EVENTS = f"""WITH {_RAW.replace("sent AS (", "sent AS (", 1)},
+_RAW_EVENTS = f"""WITH {_RAW},
 {_DEDUP.replace("FROM sent", "FROM ok")}"""
 
 _ENCODED = """'{"schema_version":1,"quarantine_id":"' || quarantine_id
@@ -235,10 +235,6 @@ _ENCODED = """'{"schema_version":1,"quarantine_id":"' || quarantine_id
   || payload_truncated || ',"payload_base64":"' || payload_base64
   || '","payload_sha256":"' || payload_sha256 || '"}'"""
 
-_CONTRACT_CHECKS = """
-  SELECT 1 AS contract, topic, "offset", CASE WHEN NOT obj THEN 'object' END AS "check" FROM base
-"""
-
 
 def _contract(version: int) -> str:
     """Violated checks of one contract, from what was done to each record."""
@@ -346,8 +342,6 @@ def oracles() -> dict[str, str]:
         f"max(latency_ms) FILTER (r = {rank.format(q=q)}) AS {name}"
         for name, q in (("p50", "CAST(0.50 AS DOUBLE)"), ("p95", "CAST(0.95 AS DOUBLE)"), ("p99", "CAST(0.99 AS DOUBLE)"))
     )
-    kinds = "kind IN (8, 15)"
-    assert kinds
     return {
         "multi_topic_union": f"""{_WITH_RAW} SELECT topic, 0 AS partition, count(*) AS records,
   min("offset") AS first_offset, max("offset") AS last_offset,
@@ -529,6 +523,9 @@ h AS (SELECT event_type, count(*) AS n, avg(rate) FILTER (i <= size // 2) AS a,
 SELECT event_type, n, round(a, 6) AS first_half_mean, round(b, 6) AS second_half_mean,
   round((b - a) / a * 100, 6) AS second_half_vs_first_half_percent,
   round(slope, 6) AS linear_slope FROM h""",
+        "bounded_replay": f"{_signals(base=_RAW_EVENTS)} SELECT {_COLUMNS} FROM sig",
+        "late_not_dropped": f"""{_signals(base=_RAW_EVENTS)} SELECT {_COLUMNS} FROM sig
+WHERE (actor_id, triggering_event_id) IN (SELECT (actor_id, event_id) FROM run WHERE ms < m)""",
         "event_time_lag": f"""WITH {_SRC}, {_SENT}
 SELECT greatest(0, arrived_us // 1000 - occurred_us // 1000) AS event_time_lag_ms FROM sent
 ORDER BY arrived_us DESC, event_id DESC LIMIT 1""",

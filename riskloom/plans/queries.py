@@ -25,6 +25,7 @@ from riskloom.operators import (
 from riskloom.operators.signals import from_timeline, risk_signals
 from riskloom.operators.timeline import Evaluation, timeline
 from riskloom.plans import tables
+from riskloom.plans.replays import Replay
 from riskloom.plans.tables import ARRIVAL, BURST, CAP, HOUR_MS, POLICY
 from riskloom.session import prepare
 from riskloom.sources import records
@@ -603,3 +604,39 @@ def event_time_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     consumed = F.col("timestamp") <= F.timestamp_millis(F.lit(CONSUMED_UNTIL_MS))
     return metrics.consumer_lag(tables.raw_records(spark, sf_dir), consumed)
+
+
+# ---- The stream itself --------------------------------------------------------------
+
+
+@query
+def bounded_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw records through the stateful stream, up to the last one now."""
+    return _report(Replay(spark, sf_dir).stores.history.final())
+
+
+@query
+def late_not_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of late events from a stream stopped and resumed half way."""
+    replay = Replay(spark, sf_dir, slices=2)
+    occurred = replay.events().select(
+        "actor_id", F.col("event_id").alias("triggering_event_id"), "occurred_at"
+    )
+    final = replay.stores.history.final()
+    late = final.join(occurred.distinct(), ["actor_id", "triggering_event_id"]).where(
+        F.unix_millis("occurred_at") < F.unix_millis("emitted_at")
+    )
+    return _report(late)
+
+
+@query
+def idle_history_reclaim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History the stream still holds after the watermark has moved on."""
+    return Replay(spark, sf_dir, slices=2, cleanup_ms=1).history_state()
+
+
+@query
+def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the history sink stored, with the batch that stored it."""
+    stored = Replay(spark, sf_dir, slices=2).stores.history.read()
+    return stored.select("batch_id", "actor_id", "signal_id", "rule_id", "observed_event_count")
