@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A full instant: date, time with seconds, optional fraction, zone or offset.
-_INSTANT = (
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt]"
-    r"(([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9](\.[0-9]{0,9})?"
-    r"|23:59:60(\.[0-9]{0,9})?|24:00:00(\.0{0,9})?)"
-    r"([Zz]|[+-](0[0-9]|1[0-7]):[0-5][0-9](:[0-5][0-9])?|[+-]18:00(:00)?)$"
+_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_TIME = r"([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]"
+_OFFSET = r"[+-](0[0-9]|1[0-7]):[0-5][0-9](:[0-5][0-9])?|[+-]18:00(:00)?"
+# What producers write: capital letters and at least one digit after the point.
+_USUAL = rf"{_DATE}T{_TIME}(\.[0-9]{{1,9}})?(Z|{_OFFSET})\z"
+# Everything an instant may be, with the end of the day and the leap second.
+_RARE = (
+    rf"{_DATE}[Tt]({_TIME}(\.[0-9]{{0,9}})?|23:59:60(\.[0-9]{{0,9}})?|24:00:00(\.0{{0,9}})?)"
+    rf"([Zz]|{_OFFSET})\z"
 )
 
 
@@ -18,20 +21,16 @@ def parse_instant(text: Column) -> Column:
     """Timestamp of a full ISO instant, NULL for everything else.
 
     Spark's own cast also takes dates, blanks between date and time, and zone names;
-    the pattern in front excludes those. The end-of-day hour and the leap second are
-    accepted as their usual readings. The pattern is anchored against a final line
-    break as well.
+    the patterns in front exclude those.
     """
-    strict = text.rlike(_INSTANT) & ~text.endswith("\n")
     plain = F.regexp_replace(F.upper(text), r"\.(?=[Z+-])", "")
     plain = F.regexp_replace(plain, "T23:59:60", "T23:59:59")
-    midnight = plain.contains("T24:00:00")
     same_day = F.regexp_replace(plain, "T24:00:00", "T00:00:00").try_cast("timestamp")
-    return F.when(
-        strict,
-        F.when(midnight, same_day + F.expr("INTERVAL 24 HOURS")).otherwise(
-            plain.try_cast("timestamp")
-        ),
+    rare = F.when(
+        plain.contains("T24:00:00"), same_day + F.expr("INTERVAL 24 HOURS")
+    ).otherwise(plain.try_cast("timestamp"))
+    return F.when(text.rlike(_USUAL), text.try_cast("timestamp")).when(
+        text.rlike(_RARE), rare
     )
 
 

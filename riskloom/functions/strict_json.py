@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 _BLANK = r"^\p{javaWhitespace}*$"
 _NUMBER_TYPE = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
-LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
 
 def is_blank(text: Column) -> Column:
@@ -24,25 +23,34 @@ def utf8_text(payload: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text)
 
 
-def in_array(text: Column) -> Column:
-    """Variant of ``[text]``: NULL unless the text fits between brackets."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-
-
 def in_object(text: Column) -> Column:
     """Variant of ``{"v":text}``: NULL unless the text fits as one member value."""
     return F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
 
 
-def is_single_value(array_form: Column, object_form: Column) -> Column:
-    """True when the text was exactly one JSON value with nothing after it.
+def single_value(text: Column, object_form: Column) -> Column:
+    """The one JSON value a text holds, NULL when it is anything else.
+
+    Spark's parser ignores what follows the first value, so ``object_form`` may have
+    ended early. A text that can close the object early, or that adds members to it,
+    does not read as exactly one element of an array.
+    """
+    elements = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(elements == 1, F.variant_get(object_form, "$.v", "variant"))
+
+
+def members_as_text(text: Column, names: tuple[str, ...]) -> Column:
+    """The named members of an object as they are written, read in one go.
 
-    Spark's parser ignores what follows the first value. Text that ends the array
-    early cannot also end the object early, so requiring both forms, and no second
-    array element, leaves exactly the texts that hold one value.
+    Texts come without quotes, so the kind of a member has to be asked of its variant;
+    converting a variant to text would cost several times as much.
     """
-    second = F.variant_get(array_form, "$[1]", "variant")
-    return array_form.isNotNull() & object_form.isNotNull() & second.isNull()
+    return F.from_json(text, ", ".join(f"{name} string" for name in names))
+
+
+def opens_object(text: Column) -> Column:
+    """Whether a text that is JSON holds an object."""
+    return F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
 
 
 def member(document: Column, name: str) -> Column:
@@ -51,62 +59,58 @@ def member(document: Column, name: str) -> Column:
 
 
 def kind(value: Column) -> Column:
+    """Type of a variant as text; NULL for an absent member, VOID for a JSON null."""
     return F.schema_of_variant(value)
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
+# The tests below take the kind of a value, so that it is worked out once per value.
 
 
-def is_text(value: Column) -> Column:
-    return F.coalesce(kind(value) == "STRING", F.lit(False))
+def is_object(kind_of: Column) -> Column:
+    return F.coalesce(kind_of.startswith("OBJECT"), F.lit(False))
 
 
-def is_json_null(value: Column) -> Column:
-    """True for an absent member and for a JSON null."""
-    return value.isNull() | F.is_variant_null(value)
-
-
-def text_of(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
-
+def is_text(kind_of: Column) -> Column:
+    return F.coalesce(kind_of == "STRING", F.lit(False))
 
-def is_filled_text(value: Column) -> Column:
-    return is_text(value) & ~F.coalesce(is_blank(text_of(value)), F.lit(True))
 
+def is_none(kind_of: Column) -> Column:
+    """True for an absent member and for a JSON null."""
+    return F.coalesce(kind_of == "VOID", F.lit(True))
 
-def _number(value: Column, low: int, high: int) -> Column:
-    numeric = F.coalesce(kind(value).rlike(_NUMBER_TYPE), F.lit(False))
-    number = F.try_variant_get(value, "$", "double")
-    return numeric & F.coalesce(number.between(float(low), float(high)), F.lit(False))
 
+def is_boolean(kind_of: Column) -> Column:
+    return F.coalesce(kind_of == "BOOLEAN", F.lit(False))
 
-def is_int32(value: Column) -> Column:
-    """A JSON number inside the 32-bit range; a fraction is allowed and cut off."""
-    return _number(value, INT_MIN, INT_MAX)
 
+def filled(text: Column, kind_of: Column) -> Column:
+    """The text of a member, NULL unless it is a JSON text and not blank."""
+    return F.when(is_text(kind_of) & ~is_blank(text), text)
 
-def int32_of(value: Column) -> Column:
-    return F.when(is_int32(value), F.try_variant_get(value, "$", "double").cast("int"))
 
+def int32(digits: Column, kind_of: Column) -> Column:
+    """A JSON number in the 32-bit range with its fraction cut off, else NULL.
 
-def is_int64(value: Column) -> Column:
-    return F.coalesce(
-        kind(value).startswith("BIGINT"), F.lit(False)
-    ) | (_number(value, LONG_MIN, LONG_MAX) & int64_of(value).isNotNull())
+    ``digits`` is the number as it was written.
+    """
+    number = digits.try_cast("double")
+    in_range = number.between(float(INT_MIN), float(INT_MAX))
+    return F.when(kind_of == "BIGINT", digits.try_cast("int")).when(
+        kind_of.rlike(_NUMBER_TYPE) & in_range, number.cast("int")
+    )
 
 
-def int64_of(value: Column) -> Column:
-    return F.when(
-        kind(value).startswith("BIGINT"), F.try_variant_get(value, "$", "bigint")
-    ).when(
-        kind(value).rlike(_NUMBER_TYPE),
-        F.try_variant_get(value, "$", "double").try_cast("bigint"),
+def int64(digits: Column, kind_of: Column) -> Column:
+    """A JSON number in the 64-bit range with its fraction cut off, else NULL."""
+    return F.when(kind_of == "BIGINT", digits.try_cast("bigint")).when(
+        kind_of.rlike(_NUMBER_TYPE), digits.try_cast("double").try_cast("bigint")
     )
 
 
-def is_boolean(value: Column) -> Column:
-    return F.coalesce(kind(value) == "BOOLEAN", F.lit(False))
+def all_text_values(value: Column) -> Column:
+    """True when every member of an object is text."""
+    members = F.map_values(value.try_cast("map<string,variant>"))
+    return F.forall(members, lambda member: is_text(kind(member)))
 
 
 def first_other_key(text: Column, document: Column, allowed: Column) -> Column:
@@ -115,7 +119,7 @@ def first_other_key(text: Column, document: Column, allowed: Column) -> Column:
     The sorted keys of the variant decide first; only a failing document is read a
     second time for the order of its keys.
     """
-    keys = F.map_keys(document.cast("map<string,variant>"))
+    keys = F.map_keys(document.try_cast("map<string,variant>"))
     in_order = F.filter(
         F.json_object_keys(text), lambda k: ~F.array_contains(allowed, k)
     )

@@ -9,7 +9,7 @@ therefore pushes out the smallest of ``cap + 1`` events, whatever has expired.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -17,14 +17,37 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.segments import SEGMENT
 
-_EVICTIONS = (
+_PUSHED = (
     "actor_id string, victim_pos bigint, victim_us bigint, "
     "evictor_pos bigint, evictor_ms bigint"
 )
 
 
+def with_evictions(arrivals: DataFrame, cap: int, retention_ms: int) -> DataFrame:
+    """Arrivals of actors that fit one task each, with what their histories push out.
+
+    Adds ``evictor_pos`` and ``evictor_ms`` (the arrival that pushes this event out)
+    and ``evicted`` (1 when this arrival pushes out an event that had not expired).
+    """
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in arrivals.schema)
+    schema = f"{fields}, evictor_pos bigint, evictor_ms bigint, evicted int"
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["occurred_us", "event_id", "pos"], ignore_index=True)
+        victims, evictors = _push_out(rows["pos"], rows.index[:0], cap)
+        pos, end = rows["pos"].to_numpy(), rows["max_ms"].to_numpy()
+        by_pos = pd.Series(pd.NA, index=rows.index, dtype="Int64")
+        by_ms, evicted = by_pos.copy(), pd.Series(0, index=rows.index, dtype="int32")
+        by_pos.iloc[victims], by_ms.iloc[victims] = pos[evictors], end[evictors]
+        held = rows["occurred_us"].to_numpy()[victims] // 1000 >= end[evictors] - retention_ms
+        evicted.iloc[[e for e, was_held in zip(evictors, held) if was_held]] = 1
+        return rows.assign(evictor_pos=by_pos, evictor_ms=by_ms, evicted=evicted)
+
+    return arrivals.groupBy("actor_id").applyInPandas(run, schema)
+
+
 def evictions(arrivals: DataFrame, cap: int) -> DataFrame:
-    """One row per push-out, including those of already expired events.
+    """One row per push-out of actors of any size, also of already expired events.
 
     ``arrivals`` holds actor_id, event_id, occurred_us, pos, max_ms and the segment
     number, with arrival order split into segments (``segments.place``). A group of
@@ -36,7 +59,41 @@ def evictions(arrivals: DataFrame, cap: int) -> DataFrame:
     rows = own.withColumn("own", F.lit(True)).unionByName(
         _carried_in(own, cap).withColumn("own", F.lit(False))
     )
-    return rows.groupBy("actor_id", SEGMENT).applyInPandas(_push_out(cap), _EVICTIONS)
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["occurred_us", "event_id", "pos"], ignore_index=True)
+        own = rows["own"]
+        victims, evictors = _push_out(rows["pos"][own], rows.index[~own], cap)
+        out, by = rows.iloc[victims], rows.iloc[evictors]
+        return pd.DataFrame(
+            {
+                "actor_id": out["actor_id"].to_numpy(),
+                "victim_pos": out["pos"].to_numpy(),
+                "victim_us": out["occurred_us"].to_numpy(),
+                "evictor_pos": by["pos"].to_numpy(),
+                "evictor_ms": by["max_ms"].to_numpy(),
+            }
+        )
+
+    return rows.groupBy("actor_id", SEGMENT).applyInPandas(run, _PUSHED)
+
+
+def _push_out(
+    arriving: pd.Series, carried: Iterable[int], cap: int
+) -> tuple[list[int], list[int]]:
+    """Which rank is pushed out by which. Ranks number events from oldest to newest.
+
+    ``arriving`` maps the ranks of the arriving events to their arrival position.
+    """
+    heap = list(carried)  # ascending, so already a heap
+    victims, evictors = [], []
+    for rank in arriving.index[arriving.argsort()]:
+        if len(heap) < cap:
+            heapq.heappush(heap, rank)
+        else:
+            victims.append(heapq.heappushpop(heap, rank))
+            evictors.append(rank)
+    return victims, evictors
 
 
 def _newest(rows: DataFrame, cap: int) -> DataFrame:
@@ -70,28 +127,3 @@ def _carried_in(own: DataFrame, cap: int) -> DataFrame:
         carried = _newest(carried.unionByName(shifted(carried, reach)), cap).checkpoint()
         reach *= 2
     return carried.select(own.columns)
-
-
-def _push_out(cap: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["occurred_us", "event_id", "pos"], ignore_index=True)
-        heap = rows.index[~rows["own"]].tolist()  # ascending, so already a heap
-        victims, evictors = [], []
-        for rank in rows.index[rows["own"]][rows.loc[rows["own"], "pos"].argsort()]:
-            if len(heap) < cap:
-                heapq.heappush(heap, rank)
-            else:
-                victims.append(heapq.heappushpop(heap, rank))
-                evictors.append(rank)
-        out, by = rows.iloc[victims], rows.iloc[evictors]
-        return pd.DataFrame(
-            {
-                "actor_id": out["actor_id"].to_numpy(),
-                "victim_pos": out["pos"].to_numpy(),
-                "victim_us": out["occurred_us"].to_numpy(),
-                "evictor_pos": by["pos"].to_numpy(),
-                "evictor_ms": by["max_ms"].to_numpy(),
-            }
-        )
-
-    return run

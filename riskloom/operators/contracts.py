@@ -12,53 +12,54 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.functions import strict_json as sj
 from riskloom.functions.instants import parse_instant
+from riskloom.operators.decode import document
 
 CONTRACTS = {1: schemas.EVENT_FIELDS_V1, 2: schemas.EVENT_FIELDS_V2}
 
 
 def _checks(version: int) -> dict[str, Column]:
     """Check name to "violated" for one contract, over staged member columns."""
-    doc = F.col("_doc")
 
     def value(name: str) -> Column:
-        return F.col(f"_{name}")
+        return F.col(f"_written.{name}")
+
+    def kind(name: str) -> Column:
+        return F.col(f"_{name}_kind")
 
     def text(name: str) -> Column:
-        return ~(sj.is_text(value(name)) & (F.length(sj.text_of(value(name))) > 0))
+        return ~(sj.is_text(kind(name)) & (F.length(value(name)) > 0))
 
     def optional_text(name: str) -> Column:
-        return value(name).isNotNull() & ~F.is_variant_null(value(name)) & ~sj.is_text(value(name))
+        return ~sj.is_none(kind(name)) & ~sj.is_text(kind(name))
 
     def integral(name: str) -> Column:
-        number = F.try_variant_get(value(name), "$", "double")
-        return sj.is_int32(value(name)) & (number == F.floor(number))
+        whole = sj.int32(value(name), kind(name))
+        return F.when(value(name).try_cast("double") == whole, whole)
 
     def date_time(name: str) -> Column:
-        return F.when(sj.is_text(value(name)), parse_instant(sj.text_of(value(name)))).isNull()
+        given = F.when(sj.is_text(kind(name)), value(name))
+        return parse_instant(given).isNull()
 
-    severity = sj.int32_of(value("severity"))
     allowed = F.array(*[F.lit(n) for n in CONTRACTS[version]])
-    keys = F.map_keys(doc.try_cast("map<string,variant>"))
-    attributes = value("attributes")
-    strings = F.forall(F.map_values(attributes.try_cast("map<string,variant>")), sj.is_text)
+    keys = F.map_keys(F.col("_doc").try_cast("map<string,variant>"))
+    plain = sj.is_object(kind("attributes")) & sj.all_text_values(F.col("_attributes"))
+    event_type = F.when(sj.is_text(kind("event_type")), value("event_type"))
     checks = {
         "additional_properties": F.size(F.array_except(keys, allowed)) > 0,
-        "schema_version": ~(integral("schema_version") & (sj.int32_of(value("schema_version")) == version)),
+        "schema_version": integral("schema_version") != version,
         "event_id": text("event_id"),
         "occurred_at": date_time("occurred_at"),
         "ingested_at": date_time("ingested_at"),
         "actor_id": text("actor_id"),
         "content_id": optional_text("content_id"),
-        "event_type": ~(
-            sj.is_text(value("event_type"))
-            & sj.text_of(value("event_type")).isin(*schemas.EVENT_TYPES)
-        ),
-        "severity": ~(integral("severity") & severity.between(0, 100)),
-        "attributes": attributes.isNotNull() & ~(sj.is_object(attributes) & strings),
+        "event_type": ~event_type.isin(*schemas.EVENT_TYPES),
+        "severity": ~integral("severity").between(0, 100),
+        "attributes": kind("attributes").isNotNull() & ~plain,
     }
     if version == 2:
         checks["tenant_id"] = text("tenant_id")
         checks["trace_id"] = optional_text("trace_id")
+    # A test without an answer, as for an absent number, counts as violated.
     return {name: F.coalesce(test, F.lit(True)) for name, test in checks.items()}
 
 
@@ -67,25 +68,22 @@ def contract_violations(raw: DataFrame, version: int) -> DataFrame:
 
     A payload that is not a JSON object fails the single check ``object``.
     """
-    staged = raw.withColumn("_text", sj.utf8_text(F.col("value")))
-    staged = staged.withColumn("_array", sj.in_array(F.col("_text"))).withColumn(
-        "_object", sj.in_object(F.col("_text"))
-    )
-    single = sj.is_single_value(F.col("_array"), F.col("_object"))
-    staged = staged.withColumn(
-        "_any", F.when(single, F.variant_get("_object", "$.v", "variant"))
-    )
-    staged = staged.withColumn("_doc", F.when(sj.is_object(F.col("_any")), F.col("_any")))
+    fields = schemas.EVENT_FIELDS_V2
+    staged = document(raw)
+    kinds = [sj.kind(sj.member(F.col("_doc"), n)).alias(f"_{n}_kind") for n in fields]
+    written = sj.members_as_text(F.col("_text"), fields)
     staged = staged.select(
-        *raw.columns,
-        "_doc",
-        *[sj.member(F.col("_doc"), n).alias(f"_{n}") for n in schemas.EVENT_FIELDS_V2],
+        *staged.columns,
+        *kinds,
+        F.when(F.col("_is_object"), written).alias("_written"),
+        sj.member(F.col("_doc"), "attributes").alias("_attributes"),
     )
     failed = [F.when(test, F.lit(name)) for name, test in _checks(version).items()]
-    violations = F.when(F.col("_doc").isNull(), F.array(F.lit("object"))).otherwise(
-        F.array_compact(F.array(*failed))
+    violations = F.when(F.col("_is_object"), F.array_compact(F.array(*failed))).otherwise(
+        F.array(F.lit("object"))
     )
-    return staged.select(*raw.columns, F.inline(F.array(F.struct(violations.alias("violations")))))
+    outcome = F.struct(violations.alias("violations"))
+    return staged.select(*raw.columns, F.inline(F.array(outcome)))
 
 
 def report(raw: DataFrame, version: int) -> DataFrame:

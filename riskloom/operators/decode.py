@@ -10,6 +10,8 @@ from riskloom.functions import strict_json as sj
 from riskloom.functions.instants import parse_instant
 
 _FIELDS = schemas.EVENT_FIELDS_V2
+_SCALARS = tuple(name for name in _FIELDS if name != "attributes")
+_TEXTS = tuple(n for n in _SCALARS if n not in ("schema_version", "severity"))
 _PREFIX = "invalid safety event: "
 
 
@@ -25,141 +27,131 @@ def decode_records(raw: DataFrame) -> DataFrame:
     payload is parsed a fixed number of times, whatever the number of checks.
     """
     text = F.col("_text")
-    blank = sj.is_blank(text)
-    staged = raw.withColumn("_text", sj.utf8_text(F.col("value")))
-    staged = staged.withColumn("_array", sj.in_array(text)).withColumn(
-        "_object", sj.in_object(text)
+    staged = document(raw)
+    kinds = [
+        sj.kind(sj.member(F.col("_doc"), name)).alias(f"_{name}_kind") for name in _FIELDS
+    ]
+    staged = staged.select(
+        *staged.columns,
+        *kinds,
+        F.when(F.col("_is_object"), sj.members_as_text(text, _SCALARS)).alias("_written"),
+        sj.member(F.col("_doc"), "attributes").alias("_attributes"),
     )
-    staged = staged.withColumn(
-        "_doc",
-        F.when(
-            sj.is_single_value(F.col("_array"), F.col("_object")),
-            F.variant_get("_object", "$.v", "variant"),
-        ),
-    ).drop("_array", "_object")
-    # Only objects have members; a NULL document makes every member NULL.
-    staged = staged.withColumn("_is_object", sj.is_object(F.col("_doc")))
-    members = F.when(F.col("_is_object"), F.col("_doc"))
+
+    def value(name: str) -> tuple[Column, Column]:
+        return F.col(f"_written.{name}"), F.col(f"_{name}_kind")
+
+    staged = staged.select(
+        *staged.columns,
+        *[sj.filled(*value(name)).alias(f"_{name}_text") for name in _TEXTS],
+        sj.int32(*value("schema_version")).alias("_version"),
+        sj.int32(*value("severity")).alias("_severity_int"),
+    )
+    version, v1 = F.col("_version"), F.col("_version") == 1
+    allowed = F.when(v1, _names(schemas.EVENT_FIELDS_V1)).otherwise(
+        _names(schemas.EVENT_FIELDS_V2)
+    )
+    attributes, attributes_kind = F.col("_attributes"), F.col("_attributes_kind")
     staged = staged.select(
         *staged.columns,
-        *[sj.member(members, name).alias(f"_{name}") for name in _FIELDS],
+        parse_instant(F.col("_occurred_at_text")).alias("_occurred"),
+        parse_instant(F.col("_ingested_at_text")).alias("_ingested"),
     )
+    # The two checks with lambdas cannot be compiled; on their own, they do not keep
+    # the others from it.
     staged = staged.select(
         *staged.columns,
-        sj.int32_of(F.col("_schema_version")).alias("_version"),
-        parse_instant(sj.text_of(F.col("_occurred_at"))).alias("_occurred"),
-        parse_instant(sj.text_of(F.col("_ingested_at"))).alias("_ingested"),
-        sj.int32_of(F.col("_severity")).alias("_severity_int"),
+        F.when(
+            version.isin(*schemas.SUPPORTED_EVENT_VERSIONS),
+            sj.first_other_key(text, F.col("_doc"), allowed),
+        ).alias("_unknown"),
+        F.when(
+            sj.is_object(attributes_kind), ~sj.all_text_values(attributes)
+        ).alias("_odd_attributes"),
     )
 
-    version = F.col("_version")
-    v1 = version == 1
+    def text_failure(name: str) -> Column:
+        missing = F.col(f"_{name}_text").isNull()
+        return F.when(missing, F.lit(f"{_PREFIX}{name} must be text"))
 
-    def text_failure(name: str, optional: bool = False) -> Column:
-        value = F.col(f"_{name}")
-        bad = ~sj.is_filled_text(value)
-        if optional:
-            bad = ~sj.is_json_null(value) & bad
-        return F.when(bad, F.lit(f"{_PREFIX}{name} must be text"))
+    def optional_failure(name: str) -> Column:
+        given = ~sj.is_none(F.col(f"_{name}_kind"))
+        return F.when(given, text_failure(name))
 
     def instant_failure(name: str, parsed: str) -> Column:
-        return F.when(
-            F.col(parsed).isNull(),
-            F.concat(
-                F.lit(f"{_PREFIX}Text '"),
-                sj.text_of(F.col(f"_{name}")),
-                F.lit("' could not be parsed as an instant"),
-            ),
-        )
+        quoted = F.concat(F.lit(f"{_PREFIX}Text '"), F.col(f"_{name}_text"))
+        message = F.concat(quoted, F.lit("' could not be parsed as an instant"))
+        return F.when(F.col(parsed).isNull(), message)
 
-    attributes = F.col("_attributes")
-    plain_strings = F.forall(
-        F.map_values(attributes.try_cast("map<string,variant>")), sj.is_text
-    )
-    unknown = F.when(
-        v1, sj.first_other_key(text, F.col("_doc"), _names(schemas.EVENT_FIELDS_V1))
-    ).otherwise(
-        sj.first_other_key(text, F.col("_doc"), _names(schemas.EVENT_FIELDS_V2))
-    )
-    event_type = sj.text_of(F.col("_event_type"))
+    def fails(test: Column, message: str) -> Column:
+        return F.when(test, F.lit(f"{_PREFIX}{message}"))
+
+    event_type, severity = F.col("_event_type_text"), F.col("_severity_int")
+    unknown, odd_attributes = F.col("_unknown"), F.col("_odd_attributes")
     contract_failure = F.coalesce(
         F.when(~F.col("_is_object"), F.lit("event must be a JSON object")),
-        F.when(version.isNull(), F.lit(f"{_PREFIX}schema_version must be integer")),
-        F.concat(F.lit("unknown field: "), unknown),
+        fails(version.isNull(), "schema_version must be integer"),
+        F.when(unknown.isNotNull(), F.concat(F.lit("unknown field: "), unknown)),
         text_failure("event_id"),
         text_failure("occurred_at"),
         instant_failure("occurred_at", "_occurred"),
         text_failure("ingested_at"),
         instant_failure("ingested_at", "_ingested"),
         F.when(version == 2, text_failure("tenant_id")),
-        F.when(version == 2, text_failure("trace_id", optional=True)),
+        F.when(version == 2, optional_failure("trace_id")),
         text_failure("actor_id"),
-        text_failure("content_id", optional=True),
+        optional_failure("content_id"),
         text_failure("event_type"),
         F.when(
             ~event_type.isin(*schemas.EVENT_TYPES),
             F.concat(F.lit(f"{_PREFIX}unknown event_type: "), event_type),
         ),
-        F.when(
-            F.col("_severity_int").isNull(),
-            F.lit(f"{_PREFIX}severity must be integer"),
-        ),
-        F.when(
-            ~sj.is_json_null(attributes) & ~sj.is_object(attributes),
-            F.lit(f"{_PREFIX}attributes must be object"),
-        ),
-        F.when(
-            ~sj.is_json_null(attributes) & ~plain_strings,
-            F.lit(f"{_PREFIX}attribute values must be strings"),
-        ),
-        F.when(
-            ~F.col("_severity_int").between(0, 100),
-            F.lit(f"{_PREFIX}severity must be in [0,100]"),
+        fails(severity.isNull(), "severity must be integer"),
+        fails(
+            ~sj.is_none(attributes_kind) & ~sj.is_object(attributes_kind),
+            "attributes must be object",
         ),
+        fails(odd_attributes, "attribute values must be strings"),
+        fails(~severity.between(0, 100), "severity must be in [0,100]"),
     )
+    malformed = text.isNull() | (~F.col("_is_json") & ~sj.is_blank(text))
+    unsupported = F.col("_is_object") & ~version.isin(*schemas.SUPPORTED_EVENT_VERSIONS)
     failure = (
         F.when(
             F.col("value").isNull(),
             _failure("NULL_PAYLOAD", F.lit("Kafka record value is null")),
         )
+        .when(malformed, _failure("MALFORMED_JSON", F.lit("malformed JSON")))
         .when(
-            text.isNull() | (F.col("_doc").isNull() & ~blank),
-            _failure("MALFORMED_JSON", F.lit("malformed JSON")),
-        )
-        .when(
-            F.col("_is_object") & ~version.isin(*schemas.SUPPORTED_EVENT_VERSIONS),
+            unsupported,
             _failure(
                 "UNSUPPORTED_SCHEMA_VERSION",
                 F.concat(F.lit("unsupported schema_version: "), version.cast("string")),
             ),
         )
-        .otherwise(
-            F.when(
-                contract_failure.isNotNull(),
-                _failure("CONTRACT_VIOLATION", contract_failure),
-            )
+        .when(
+            contract_failure.isNotNull(),
+            _failure("CONTRACT_VIOLATION", contract_failure),
         )
     )
     staged = staged.withColumn("_failure", failure)
+    event_id = F.col("_event_id_text")
     event = F.struct(
         version.alias("schema_version"),
-        sj.text_of(F.col("_event_id")).alias("event_id"),
+        event_id.alias("event_id"),
         F.col("_occurred").alias("occurred_at"),
         F.col("_ingested").alias("ingested_at"),
         F.when(v1, F.lit(schemas.DEFAULT_TENANT))
-        .otherwise(sj.text_of(F.col("_tenant_id")))
+        .otherwise(F.col("_tenant_id_text"))
         .alias("tenant_id"),
-        F.when(v1, sj.text_of(F.col("_event_id")))
-        .otherwise(sj.text_of(F.col("_trace_id")))
-        .alias("trace_id"),
-        sj.text_of(F.col("_actor_id")).alias("actor_id"),
-        sj.text_of(F.col("_content_id")).alias("content_id"),
+        F.when(v1, event_id).otherwise(F.col("_trace_id_text")).alias("trace_id"),
+        F.col("_actor_id_text").alias("actor_id"),
+        F.col("_content_id_text").alias("content_id"),
         event_type.alias("event_type"),
-        F.col("_severity_int").alias("severity"),
-        F.coalesce(
-            attributes.try_cast("map<string,string>"),
-            F.create_map().cast("map<string,string>"),
-        ).alias("attributes"),
+        severity.alias("severity"),
+        F.when(~odd_attributes, attributes.try_cast("map<string,string>"))
+        .otherwise(F.create_map().cast("map<string,string>"))
+        .alias("attributes"),
     )
     outcome = F.struct(
         F.col("_failure.reason").alias("failure_reason"),
@@ -172,6 +164,23 @@ def decode_records(raw: DataFrame) -> DataFrame:
     return staged.select(*raw.columns, F.inline(F.array(outcome)))
 
 
+def document(raw: DataFrame) -> DataFrame:
+    """Adds ``_text``, ``_is_json`` (the payload is one JSON value), ``_is_object`` and
+    ``_doc`` (the payload when it is an object)."""
+    text, value = F.col("_text"), F.col("_any")
+    staged = raw.withColumn("_text", sj.utf8_text(F.col("value")))
+    staged = staged.withColumn("_wrapped", sj.in_object(text))
+    staged = staged.withColumn("_any", sj.single_value(text, F.col("_wrapped")))
+    is_object = value.isNotNull() & sj.opens_object(text)
+    return staged.select(
+        *raw.columns,
+        "_text",
+        value.isNotNull().alias("_is_json"),
+        is_object.alias("_is_object"),
+        F.when(is_object, value).alias("_doc"),
+    )
+
+
 def _failure(reason: str, message: Column) -> Column:
     return F.struct(F.lit(reason).alias("reason"), message.alias("message"))
 

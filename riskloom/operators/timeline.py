@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,15 +26,17 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.functions.instants import micros_to_millis
 from riskloom.operators import segments
-from riskloom.operators.capacity import evictions
+from riskloom.operators.capacity import evictions, with_evictions
 from riskloom.operators.dedup import first_arrivals
 from riskloom.operators.rules import Rule, validate_rules
+from riskloom.session import ensure_checkpoint_dir
 
 # Beyond the whole range of timestamps, so a longer window changes nothing and sums
 # with an event time stay inside 64 bits.
 _LONGEST_WINDOW_MS = 10**15
 # Rules per pass: each takes one bit of the match mask and two running sums.
 RULES_PER_PASS = 32
+_CAPPED_ORDER = ["point_ms", "is_arrival", "point_pos", "is_reading"]
 # Up to this many large actors the list is small enough to send to every executor.
 _BROADCAST_ACTORS = 200_000
 
@@ -43,7 +46,10 @@ class Evaluation:
     """What to evaluate and where one task stops being enough for one actor.
 
     ``arrival`` names the columns whose order is the arrival order; they must be unique
-    per row, and may end in event_id. An actor with more than ``actor_rows`` rows is split into segments.
+    per row, and may end in event_id. An actor with more than ``actor_rows`` rows is
+    split into segments. ``stage_input`` writes the few columns that are needed to the
+    checkpoint folder first: right when the events are expensive to produce, such as
+    decoded records, because they are read twice (actors are counted first).
     """
 
     rules: tuple[Rule, ...]
@@ -51,6 +57,7 @@ class Evaluation:
     history_cap: int = schemas.DEFAULT_HISTORY_CAP
     actor_rows: int = 1_000_000
     dedup: bool = True
+    stage_input: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "rules", validate_rules(self.rules, self.history_cap))
@@ -64,11 +71,6 @@ class Evaluation:
     def retention_ms(self) -> int:
         return max(_window(rule) for rule in self.rules)
 
-    @property
-    def split_above(self) -> int:
-        # Below the cap an actor can never fill its history.
-        return min(self.actor_rows, self.history_cap)
-
 
 def _window(rule: Rule) -> int:
     return min(rule.window_ms, _LONGEST_WINDOW_MS)
@@ -88,11 +90,16 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
         "severity",
         match_mask(spec.rules).alias("mask"),
     )
-    small, large, large_rows = _split_by_size(slim, events, spec.split_above)
-    result = _small_actors(small, spec)
-    if large is not None:
-        result = result.unionByName(_large_actors(large, large_rows, spec))
-    return result
+    if spec.stage_input:
+        ensure_checkpoint_dir(slim.sparkSession)
+        slim = events = slim.checkpoint()
+    parts = _by_size(slim, events, spec)
+    done = [_one_task_per_actor(parts.plain, spec, capped=False)]
+    if parts.capped is not None:
+        done.append(_one_task_per_actor(parts.capped, spec, capped=True))
+    if parts.large is not None:
+        done.append(_many_tasks_per_actor(parts, spec))
+    return reduce(DataFrame.unionByName, done)
 
 
 def match_mask(rules: Sequence[Rule]) -> Column:
@@ -104,92 +111,110 @@ def match_mask(rules: Sequence[Rule]) -> Column:
     return mask
 
 
-def _split_by_size(
-    slim: DataFrame, events: DataFrame, limit: int
-) -> tuple[DataFrame, DataFrame | None, int]:
-    """Rows of small actors, rows of large actors (or None), and the latter's number."""
-    counts = events.groupBy("actor_id").agg(F.count("*").alias("_rows"))
-    counts = counts.where(F.col("_rows") > limit)
-    actors, rows = counts.agg(F.count("*"), F.sum("_rows")).first()
-    if actors == 0:
-        return slim, None, 0
-    if actors <= _BROADCAST_ACTORS:
-        names = counts.select("actor_id").collect()
-        large = F.broadcast(slim.sparkSession.createDataFrame(names, "actor_id string"))
-    else:
-        segments.ensure_checkpoint_dir(slim.sparkSession)
-        large = counts.select("actor_id").checkpoint()
-    return (
-        slim.join(large, "actor_id", "left_anti"),
-        slim.join(large, "actor_id", "left_semi"),
-        rows,
-    )
+@dataclass(frozen=True)
+class _Parts:
+    """Rows by what their actor needs. Absent parts are None."""
 
+    plain: DataFrame  # fits one task and can never fill its history
+    capped: DataFrame | None  # fits one task
+    large: DataFrame | None  # does not fit one task
+    large_rows: int = 0
+    large_can_fill: bool = False
 
-# ---- One task per actor -------------------------------------------------------------
 
+def _by_size(slim: DataFrame, events: DataFrame, spec: Evaluation) -> _Parts:
+    """One count per actor decides; only unusually large actors leave the plain part."""
+    cap, limit = spec.history_cap, spec.actor_rows
+    rows = F.col("_rows")
+    counts = events.groupBy("actor_id").agg(F.count("*").alias("_rows"))
+    counts = counts.where(rows > min(cap, limit))
+    found = counts.agg(
+        F.count("*").alias("actors"),
+        F.count_if(rows > limit).alias("large"),
+        F.sum(F.when(rows > limit, rows)).alias("large_rows"),
+        F.max(rows).alias("most"),
+    ).first()
+    if found.actors == 0:
+        return _Parts(slim, None, None)
+    listed = counts.select("actor_id", (rows > limit).alias("_large"))
+    if found.actors <= _BROADCAST_ACTORS:
+        schema = "actor_id string, _large boolean"
+        listed = F.broadcast(slim.sparkSession.createDataFrame(listed.collect(), schema))
+    else:  # too many to send around; the joins shuffle instead
+        ensure_checkpoint_dir(slim.sparkSession)
+        listed = listed.checkpoint()
+    plain = slim.join(listed, "actor_id", "left_anti")
+
+    def of(large: bool) -> DataFrame:
+        wanted = listed.where(F.col("_large") if large else ~F.col("_large"))
+        return slim.join(wanted, "actor_id", "left_semi")
+
+    return _Parts(
+        plain,
+        of(False) if found.actors > found.large else None,
+        of(True) if found.large else None,
+        found.large_rows or 0,
+        found.most > cap,
+    )
 
-def _small_actors(slim: DataFrame, spec: Evaluation) -> DataFrame:
+
+def _one_task_per_actor(slim: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
     """Duplicate removal, running maximum and window sums after a single shuffle.
 
-    All three window steps are partitioned by actor (or finer), so the one exchange on
-    actor_id serves them all; explode keeps the partitioning.
+    All window steps are partitioned by actor (or finer), so the one exchange on
+    actor_id serves them all; explode keeps the partitioning. Only actors that may
+    fill their history pass through Python, and are shuffled once more after it.
     """
     rows = slim.repartition("actor_id")
     if spec.dedup:
         rows = first_arrivals(rows, spec.arrival)
-    so_far = (
-        Window.partitionBy("actor_id")
-        .orderBy(*spec.arrival)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    arrival_order = Window.partitionBy("actor_id").orderBy(*spec.arrival)
+    so_far = arrival_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("max_ms", F.max(_event_ms()).over(so_far))
-    points = _points(rows, spec, capped=False)
+    if capped:
+        rows = rows.withColumn("pos", F.row_number().over(arrival_order).cast("bigint"))
+        rows = with_evictions(rows, spec.history_cap, spec.retention_ms)
+        order = _CAPPED_ORDER
+    else:
+        rows = rows.withColumn("evicted", F.lit(0))
+        order = ["point_ms", "is_arrival", *spec.arrival]
     in_order = (
         Window.partitionBy("actor_id")
-        .orderBy("point_ms", "is_arrival", *spec.arrival)
+        .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     sums = [
         F.sum(delta).over(in_order).alias(name)
-        for name, delta in _deltas(spec, capped=False).items()
+        for name, delta in _deltas(spec, capped).items()
     ]
-    return _arrivals_only(points.select("*", *sums), spec).withColumn("evicted", F.lit(0))
-
-
-# ---- Many tasks per actor -----------------------------------------------------------
+    return _arrivals_only(_points(rows, spec, capped).select("*", *sums), spec)
 
 
-def _large_actors(slim: DataFrame, row_count: int, spec: Evaluation) -> DataFrame:
-    parts = max(1, math.ceil(row_count / spec.actor_rows))
-    rows = first_arrivals(slim, spec.arrival) if spec.dedup else slim
-    placed = segments.place(rows, parts, "actor_id", spec.arrival)
+def _many_tasks_per_actor(parts: _Parts, spec: Evaluation) -> DataFrame:
+    """The same over segments; see ``segments``. Arrival order is split first, for the
+    running maximum, then the order of the points, for the running sums."""
+    capped = parts.large_can_fill
+    pieces = math.ceil(parts.large_rows / spec.actor_rows)
+    rows = first_arrivals(parts.large, spec.arrival) if spec.dedup else parts.large
+    placed = segments.place(rows, pieces, "actor_id", spec.arrival)
     placed = segments.with_carry(placed, "actor_id", {"max_before": F.max(_event_ms())})
     order = segments.within("actor_id", spec.arrival)
     number = F.row_number().over(order).cast("bigint")
-    placed = placed.select(
+    arrivals = placed.select(
         *rows.columns,
         segments.SEGMENT,
         (F.shiftleft(F.col(segments.SEGMENT).cast("bigint"), 40) + number).alias("pos"),
         F.greatest("max_before", F.max(_event_ms()).over(order)).alias("max_ms"),
-    ).checkpoint()
-
-    pushed = evictions(placed, spec.history_cap).checkpoint()
-    victims = pushed.select(
-        "actor_id", F.col("victim_pos").alias("pos"), "evictor_pos", "evictor_ms"
     )
-    in_history = (
-        micros_to_millis(F.col("victim_us")) >= F.col("evictor_ms") - spec.retention_ms
-    )
-    evicting = pushed.where(in_history).select(
-        "actor_id", F.col("evictor_pos").alias("pos"), F.lit(1).alias("evicted")
-    )
-    rows = placed.drop(segments.SEGMENT).join(victims, ["actor_id", "pos"], "left")
+    if capped:
+        arrivals = _pushed_out(arrivals.checkpoint(), spec)
+    else:
+        arrivals = arrivals.withColumn("evicted", F.lit(0))
 
-    order_columns = ["point_ms", "is_arrival", "point_pos", "is_reading"]
-    points = _points(rows, spec, capped=True)
-    deltas = _deltas(spec, capped=True)
-    points = segments.place(points, 2 * parts, "actor_id", order_columns)
+    points = _points(arrivals.drop(segments.SEGMENT), spec, capped, segmented=True)
+    order_columns = _CAPPED_ORDER if capped else ["point_ms", "is_arrival", *spec.arrival]
+    deltas = _deltas(spec, capped)
+    points = segments.place(points, 2 * pieces, "actor_id", order_columns)
     points = segments.with_carry(
         points, "actor_id", {f"before_{n}": F.sum(d) for n, d in deltas.items()}
     )
@@ -198,11 +223,23 @@ def _large_actors(slim: DataFrame, row_count: int, spec: Evaluation) -> DataFram
         (F.sum(delta).over(in_order) + F.coalesce(f"before_{name}", F.lit(0))).alias(name)
         for name, delta in deltas.items()
     ]
-    read = _arrivals_only(points.select("*", *sums), spec, "pos")
+    return _arrivals_only(points.select("*", *sums), spec)
+
+
+def _pushed_out(arrivals: DataFrame, spec: Evaluation) -> DataFrame:
+    """Adds evictor_pos, evictor_ms and evicted, as ``capacity.with_evictions`` does."""
+    pushed = evictions(arrivals, spec.history_cap).checkpoint()
+    victims = pushed.select(
+        "actor_id", F.col("victim_pos").alias("pos"), "evictor_pos", "evictor_ms"
+    )
+    held = micros_to_millis(F.col("victim_us")) >= F.col("evictor_ms") - spec.retention_ms
+    evicting = pushed.where(held).select(
+        "actor_id", F.col("evictor_pos").alias("pos"), F.lit(1).alias("evicted")
+    )
     return (
-        read.join(evicting, ["actor_id", "pos"], "left")
+        arrivals.join(victims, ["actor_id", "pos"], "left")
+        .join(evicting, ["actor_id", "pos"], "left")
         .withColumn("evicted", F.coalesce("evicted", F.lit(0)))
-        .drop("pos")
     )
 
 
@@ -217,7 +254,9 @@ def _bit(index: int) -> Column:
     return F.col("mask").bitwiseAND(1 << index) != 0
 
 
-def _points(rows: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
+def _points(
+    rows: DataFrame, spec: Evaluation, capped: bool, segmented: bool = False
+) -> DataFrame:
     """One arrival point per event and one leaving point per event and window length.
 
     With a capacity, an event that is pushed out before it expires leaves at the
@@ -229,9 +268,14 @@ def _points(rows: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
     if capped:
         enters = F.coalesce(F.col("evictor_pos") != F.col("pos"), F.lit(True))
     rows = rows.withColumn("event_ms", _event_ms()).withColumn("enters", enters)
-    # Leaving points carry nothing that only an arrival is read for.
-    payload = ["event_id", "occurred_us", *spec.carried]
-    empty = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in payload]
+    # Leaving points carry nothing that is only read at an arrival. In segments they
+    # keep their place in arrival order, so that equal times can be split as well.
+    payload = ["event_id", "occurred_us", "evicted", *spec.carried]
+    placing = spec.arrival if segmented and not capped else ()
+    empty = [
+        F.col(c) if c in placing else F.lit(None).cast(rows.schema[c].dataType).alias(c)
+        for c in payload
+    ]
 
     def point(ms: Column, is_arrival: Column, window: int, columns: list, pos, reading):
         place = [ms.alias("point_ms"), is_arrival.alias("is_arrival")]
@@ -263,8 +307,6 @@ def _points(rows: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
             left = point(expires, F.lit(0), window, empty, None, 0)
         leaving.append(F.when(used, left))
     kept = ["actor_id", "severity", "mask", "event_ms", "max_ms", "enters"]
-    if capped:
-        kept.append("pos")
     return rows.select(
         *kept, F.explode(F.array(arriving, *leaving)).alias("_point")
     ).where("_point IS NOT NULL").select(*kept, "_point.*")
@@ -299,20 +341,20 @@ def _deltas(spec: Evaluation, capped: bool) -> dict[str, Column]:
     return deltas
 
 
-def _arrivals_only(points: DataFrame, spec: Evaluation, *extra: str) -> DataFrame:
+def _arrivals_only(points: DataFrame, spec: Evaluation) -> DataFrame:
     reading = "is_reading" if "is_reading" in points.columns else "is_arrival"
     per_rule = []
     for bit in range(len(spec.rules)):
         per_rule += [_bit(bit).alias(f"match_{bit}"), f"n_{bit}", f"sum_{bit}"]
     return points.where(F.col(reading) == 1).select(
         "actor_id",
-        *extra,
         "event_id",
         *spec.carried,
         "occurred_us",
         "severity",
         "max_ms",
         (F.col("event_ms") < F.col("max_ms") - spec.retention_ms).alias("late"),
+        "evicted",
         "history_n",
         "history_sum",
         *per_rule,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,7 +170,8 @@ def cross_topic_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_records(spark, sf_dir)
     union = records.merged([raw.where(F.col("topic") == t) for t in tables.TOPICS])
     events = decode.accepted_events(decode.decode_records(union), "arrived_us")
-    return _report(risk_signals(events, _spec(BURST)))
+    spec = dataclasses.replace(_spec(BURST), stage_input=True)
+    return _report(risk_signals(events, spec))
 
 
 # ---- Decode -------------------------------------------------------------------------

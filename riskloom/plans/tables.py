@@ -52,6 +52,18 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def _spread(table: DataFrame) -> DataFrame:
+    """Rows over all cores before record-wise work.
+
+    Only for a table that is read in fewer tasks than there are cores, such as one small
+    file; a large table is not shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, "event_id")
+
+
 def _per_event(table: DataFrame) -> DataFrame:
     """One row per table row: the event, its number and its arrival time."""
     number = F.col("event_id")
@@ -114,7 +126,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     What is wrong with a record depends on ``number % 97``.
     """
-    rows = _sent(_per_event(events_table(spark, sf_dir)), stale_copies=False)
+    rows = _sent(_per_event(_spread(events_table(spark, sf_dir))), stale_copies=False)
     number = F.col("number")
     kind = number % 97
 
