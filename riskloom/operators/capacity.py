@@ -9,9 +9,9 @@ therefore pushes out the smallest of ``cap + 1`` events, whatever has expired.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,18 +32,23 @@ def with_evictions(arrivals: DataFrame, cap: int, retention_ms: int) -> DataFram
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in arrivals.schema)
     schema = f"{fields}, evictor_pos bigint, evictor_ms bigint, evicted int"
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["occurred_us", "event_id", "pos"], ignore_index=True)
-        victims, evictors = _push_out(rows["pos"], rows.index[:0], cap)
+    def run(rows: pa.Table) -> pa.Table:
+        oldest_first = _by_age(rows)
+        rows = rows.take(oldest_first)
         pos, end = rows["pos"].to_numpy(), rows["max_ms"].to_numpy()
-        by_pos = pd.Series(pd.NA, index=rows.index, dtype="Int64")
-        by_ms, evicted = by_pos.copy(), pd.Series(0, index=rows.index, dtype="int32")
-        by_pos.iloc[victims], by_ms.iloc[victims] = pos[evictors], end[evictors]
-        held = rows["occurred_us"].to_numpy()[victims] // 1000 >= end[evictors] - retention_ms
-        evicted.iloc[[e for e, was_held in zip(evictors, held) if was_held]] = 1
-        return rows.assign(evictor_pos=by_pos, evictor_ms=by_ms, evicted=evicted)
+        victims, evictors = _push_out(np.argsort(pos), [], cap)
+        by_pos, by_ms = np.zeros(len(pos), "int64"), np.zeros(len(pos), "int64")
+        stays, evicted = np.ones(len(pos), bool), np.zeros(len(pos), "int32")
+        by_pos[victims], by_ms[victims], stays[victims] = pos[evictors], end[evictors], False
+        event_ms = rows["occurred_us"].to_numpy()[victims] // 1000
+        evicted[evictors[event_ms >= end[evictors] - retention_ms]] = 1
+        return (
+            rows.append_column("evictor_pos", pa.array(by_pos, mask=stays))
+            .append_column("evictor_ms", pa.array(by_ms, mask=stays))
+            .append_column("evicted", pa.array(evicted))
+        )
 
-    return arrivals.groupBy("actor_id").applyInPandas(run, schema)
+    return arrivals.groupBy("actor_id").applyInArrow(run, schema)
 
 
 def evictions(arrivals: DataFrame, cap: int) -> DataFrame:
@@ -60,40 +65,48 @@ def evictions(arrivals: DataFrame, cap: int) -> DataFrame:
         _carried_in(own, cap).withColumn("own", F.lit(False))
     )
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["occurred_us", "event_id", "pos"], ignore_index=True)
-        own = rows["own"]
-        victims, evictors = _push_out(rows["pos"][own], rows.index[~own], cap)
-        out, by = rows.iloc[victims], rows.iloc[evictors]
-        return pd.DataFrame(
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.take(_by_age(rows))
+        own, pos = rows["own"].to_numpy(), rows["pos"].to_numpy()
+        arriving = np.argsort(np.where(own, pos, -1), kind="stable")[(~own).sum() :]
+        victims, evictors = _push_out(arriving, np.flatnonzero(~own).tolist(), cap)
+        out, by = rows.take(victims), rows.take(evictors)
+        return pa.table(
             {
-                "actor_id": out["actor_id"].to_numpy(),
-                "victim_pos": out["pos"].to_numpy(),
-                "victim_us": out["occurred_us"].to_numpy(),
-                "evictor_pos": by["pos"].to_numpy(),
-                "evictor_ms": by["max_ms"].to_numpy(),
+                "actor_id": out["actor_id"],
+                "victim_pos": out["pos"],
+                "victim_us": out["occurred_us"],
+                "evictor_pos": by["pos"],
+                "evictor_ms": by["max_ms"],
             }
         )
 
-    return rows.groupBy("actor_id", SEGMENT).applyInPandas(run, _PUSHED)
+    return rows.groupBy("actor_id", SEGMENT).applyInArrow(run, _PUSHED)
+
+
+def _by_age(rows: pa.Table) -> np.ndarray:
+    """Row numbers from the oldest event to the newest."""
+    keys = [rows[c].to_numpy() for c in ("pos", "event_id", "occurred_us")]
+    return np.lexsort(keys)
 
 
 def _push_out(
-    arriving: pd.Series, carried: Iterable[int], cap: int
-) -> tuple[list[int], list[int]]:
+    arriving: np.ndarray, carried: list[int], cap: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Which rank is pushed out by which. Ranks number events from oldest to newest.
 
-    ``arriving`` maps the ranks of the arriving events to their arrival position.
+    ``arriving`` are the ranks of the arriving events in arrival order, ``carried``
+    those already held, ascending.
     """
-    heap = list(carried)  # ascending, so already a heap
+    heap = carried
     victims, evictors = [], []
-    for rank in arriving.index[arriving.argsort()]:
+    for rank in arriving.tolist():
         if len(heap) < cap:
             heapq.heappush(heap, rank)
         else:
             victims.append(heapq.heappushpop(heap, rank))
             evictors.append(rank)
-    return victims, evictors
+    return np.array(victims, "int64"), np.array(evictors, "int64")
 
 
 def _newest(rows: DataFrame, cap: int) -> DataFrame:
