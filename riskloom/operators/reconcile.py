@@ -22,23 +22,19 @@ def canonical_row() -> Column:
     return F.concat_ws("|", *COMPARED)
 
 
-def checksum(rows: DataFrame) -> DataFrame:
-    """Checksum of a multiset of rows, independent of their order.
+_LANES = 4
 
-    The SHA-256 of every canonical row is cut into four 60-bit lanes and the lanes are
-    added up. Sums combine map-side, so no sorted list of rows is needed.
-    """
+
+def _lanes(sides: tuple[str, ...]) -> list[Column]:
+    """The SHA-256 of every row, cut into 60-bit lanes that are added up per side."""
     digest = F.sha2(canonical_row(), 256)
-    lanes = [
-        F.sum(F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)"))
-        for i in range(4)
-    ]
-    return rows.agg(
-        F.count("*").alias("records"),
-        F.concat_ws("-", *[F.coalesce(lane, F.lit(0)).cast("string") for lane in lanes]).alias(
-            "checksum"
-        ),
-    )
+    lanes = []
+    for side in sides:
+        for i in range(_LANES):
+            lane = F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
+            mine = F.when(F.col("_side") == side, lane)
+            lanes.append(F.coalesce(F.sum(mine), F.lit(0)).alias(f"_{side}_{i}"))
+    return lanes
 
 
 def compare(expected: DataFrame, observed: DataFrame) -> DataFrame:
@@ -60,19 +56,64 @@ def compare(expected: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def report(expected: DataFrame, observed: DataFrame) -> DataFrame:
-    """Records, distinct actors and outcome of the comparison, with a checksum a side."""
-    outcomes = compare(expected, observed).groupBy("outcome").agg(
+    """Signals and actors per outcome, and a checksum per side.
+
+    The checksum of a side adds up the digests of its rows, so it does not depend on
+    their order and combines map-side; the reading of a store that sorts its rows is
+    not needed. Each side is read once: a signal is equal when both sides hold the
+    same number of rows with the same sum of digests.
+    """
+    sides = ("expected", "observed")
+    tagged = [
+        rows.select(*COMPARED, F.lit(side).alias("_side"))
+        for side, rows in zip(sides, (expected, observed))
+    ]
+    counts = [
+        F.count_if(F.col("_side") == side).alias(f"_{side}_rows") for side in sides
+    ]
+    actor = F.max_by("actor_id", "_side").alias("actor_id")  # the observed one, if any
+    signals = (
+        reduce(DataFrame.unionByName, tagged)
+        .groupBy("signal_id")
+        .agg(*counts, *_lanes(sides), actor)
+    )
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(f"_expected_{x}") == F.col(f"_observed_{x}") for x in ("rows", *range(_LANES))],
+    )
+    outcome = (
+        F.when(F.col("_observed_rows") == 0, "missing")
+        .when(F.col("_expected_rows") == 0, "unexpected")
+        .when(same, "equal")
+        .otherwise("different")
+    )
+    summed = [f"_{side}_{x}" for side in sides for x in ("rows", *range(_LANES))]
+    outcomes = signals.groupBy(outcome.alias("outcome")).agg(
         F.count("*").alias("records"),
-        F.countDistinct(F.coalesce("observed.actor_id", "expected.actor_id")).alias("actors"),
-        F.lit(None).cast("string").alias("checksum"),
+        F.countDistinct("actor_id").alias("actors"),
+        *[F.sum(c).cast("decimal(38,0)").alias(c) for c in summed],
     )
-    sides = [
-        checksum(rows).select(
-            F.lit(name).alias("outcome"),
-            "records",
-            F.lit(None).cast("bigint").alias("actors"),
-            "checksum",
+    # At most four rows from here on; the rolled-up row has the totals of both sides.
+    totals = outcomes.rollup("outcome").agg(
+        F.grouping("outcome").alias("_total"),
+        F.sum("records").alias("records"),
+        F.sum("actors").alias("actors"),
+        *[F.sum(c).alias(c) for c in summed],
+    )
+
+    def row(name: Column, records: Column, actors: Column, checksum: Column) -> Column:
+        return F.struct(
+            name.alias("outcome"),
+            records.cast("bigint").alias("records"),
+            actors.cast("bigint").alias("actors"),
+            checksum.cast("string").alias("checksum"),
         )
-        for name, rows in (("side:expected", expected), ("side:observed", observed))
-    ]
-    return reduce(DataFrame.unionByName, [outcomes, *sides])
+
+    def side_row(side: str) -> Column:
+        lanes = [F.col(f"_{side}_{i}").cast("string") for i in range(_LANES)]
+        records = F.coalesce(F.col(f"_{side}_rows"), F.lit(0))
+        return row(F.lit(f"side:{side}"), records, F.lit(None), F.concat_ws("-", *lanes))
+
+    own = F.array(row(F.col("outcome"), F.col("records"), F.col("actors"), F.lit(None)))
+    by_side = F.array(*[side_row(side) for side in sides])
+    return totals.select(F.inline(F.when(F.col("_total") == 1, by_side).otherwise(own)))

@@ -55,7 +55,7 @@ class Evaluation:
     rules: tuple[Rule, ...]
     arrival: tuple[str, ...] = ("arrival",)
     history_cap: int = schemas.DEFAULT_HISTORY_CAP
-    actor_rows: int = 1_000_000
+    actor_rows: int = 500_000
     dedup: bool = True
     stage_input: bool = False
 
