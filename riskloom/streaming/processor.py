@@ -2,7 +2,7 @@
 
 Runs in processing-time mode on purpose: event-time mode would drop events behind the
 watermark, which must still be evaluated, and state may only expire by processing time.
-The watermark is read for cleaning up actors that have gone quiet.
+The watermark is only read for cleaning up actors that have gone quiet.
 """
 
 from __future__ import annotations
@@ -41,24 +41,75 @@ _EMITTED = T.StructType(
 _HELD = "occurred_us long, event_id string, severity int, mask long"
 
 
+_ROW = T.StructType(
+    [
+        T.StructField("actor_id", T.StringType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("occurred_us", T.LongType()),
+        T.StructField("severity", T.IntegerType()),
+        T.StructField("mask", T.LongType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("watermark_ms", T.LongType()),
+    ]
+)
+# Tasks the seen ids of one actor are spread over.
+SEEN_BUCKETS = 64
+
+
+class DuplicateFilter(StatefulProcessor):
+    """Passes the first arrival of an event id and forgets the id after a time to live.
+
+    Keyed by actor and a bucket of the event id: asking the state for every single id
+    is the expensive part, and this way a busy actor has many tasks do it. Rows are
+    stamped with the watermark, which a second stateful operator cannot ask for.
+    """
+
+    def __init__(self, ttl_ms: int) -> None:
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getMapState("seen", "event_id string", "at long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(rows).sort_values(list(SOURCE_ORDER), kind="stable")
+        batch = batch.drop_duplicates("event_id")
+        now = (timerValues.getCurrentProcessingTimeInMs(),)
+        fresh = []
+        for event_id in batch["event_id"]:
+            fresh.append(not self.seen.containsKey((event_id,)))
+            if fresh[-1]:
+                self.seen.updateValue((event_id,), now)
+        passed = batch.loc[fresh]
+        watermark_ms = timerValues.getCurrentWatermarkInMs()
+        yield passed.assign(watermark_ms=watermark_ms)[_ROW.fieldNames()]
+
+    def close(self) -> None:
+        pass
+
+
 class RuleProcessor(StatefulProcessor):
-    """Per actor: seen ids with a time to live, rolling history, largest event time.
+    """Per actor: rolling history and largest event time.
+
+    The history state is read once and appended to once per micro-batch. What has
+    expired or was pushed out by the cap is recognised when it is read, and the state
+    is rewritten only when most of it is dead.
 
-    The history state is appended to. What has expired or was pushed out by the cap is
-    recognised when it is read, and the state is rewritten only when most of it is
-    dead, so a quiet micro-batch does not rewrite a long history.
+    Quiet actors are cleaned up by a timer, up to the watermark on the rows that other
+    actors of the same task bring into the micro-batch; without any, it tries later.
     """
 
     def __init__(
-        self, rules: Sequence[Rule], cap: int, dedup_ttl_ms: int, cleanup_ms: int, slack_ms: int
+        self, rules: Sequence[Rule], cap: int, cleanup_ms: int, slack_ms: int
     ) -> None:
         self.rules, self.cap = tuple(rules), cap
-        self.dedup_ttl_ms, self.cleanup_ms, self.slack_ms = dedup_ttl_ms, cleanup_ms, slack_ms
+        self.cleanup_ms, self.slack_ms = cleanup_ms, slack_ms
         self.retention_ms = max(rule.window_ms for rule in rules)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getMapState("seen", "event_id string", "at long", self.dedup_ttl_ms)
+        self.handle, self.watermark_ms = handle, None
         self.history = handle.getListState("history", _HELD)
         # Largest event time, rows in the history state, whether a timer is set.
         self.progress = handle.getValueState("progress", "max_ms long, stored long, timer boolean")
@@ -67,44 +118,38 @@ class RuleProcessor(StatefulProcessor):
         actor = key[0]
         max_ms, stored, timer = self._progress()
         batch = pd.concat(rows).sort_values(list(SOURCE_ORDER), kind="stable")
-        windows, added, emitted = None, [], []
-        for arrival, row in enumerate(batch.itertuples(index=False)):
-            if self.seen.containsKey((row.event_id,)):
-                continue
-            self.seen.updateValue((row.event_id,), (timerValues.getCurrentProcessingTimeInMs(),))
-            if windows is None:
-                held = (Held(*entry) for entry in self.history.get())
-                windows = ActorWindows(self.rules, self.cap, max_ms, held)
-            event = Held(row.occurred_us, row.event_id, row.severity, row.mask)
-            added.append(event)
+        self.watermark_ms = max(self.watermark_ms or 0, int(batch["watermark_ms"].max()))
+        held = (Held(*entry) for entry in self.history.get()) if stored else ()
+        windows = ActorWindows(self.rules, self.cap, max_ms, held)
+        events = [
+            Held(*row) for row in batch[list(Held._fields)].itertuples(index=False, name=None)
+        ]
+        emitted = []
+        for arrival, event in enumerate(events):
             for pos, count, total, evicted in windows.arrive(event):
-                rule_id, score, reason = signal_row(
-                    self.rules, self.cap, pos, count, total, evicted
-                )
+                what = signal_row(self.rules, self.cap, pos, count, total, evicted)
                 emitted.append(
-                    (actor, row.event_id, rule_id, score, reason, count, total)
-                    + (windows.max_ms, arrival, pos)
+                    (actor, event.event_id, *what, count, total, windows.max_ms, arrival, pos)
                 )
-        if windows is not None:
-            live = windows.history.events
-            if stored + len(added) > 2 * len(live) + 64:
-                self._store(live)
-                stored = len(live)
-            else:
-                self.history.appendList([tuple(e) for e in added])
-                stored += len(added)
-            if not timer and live:
-                self._set_timer(timerValues)
-                timer = True
-            self.progress.update((windows.max_ms, stored, timer))
+        live = windows.history.events
+        if stored + len(events) > 2 * len(live) + 64:
+            self._store(live)
+            stored = len(live)
+        else:
+            self.history.appendList([tuple(e) for e in events])
+            stored += len(events)
+        if live and not timer:
+            self._set_timer(timerValues)
+            timer = True
+        self.progress.update((windows.max_ms, stored, timer))
         yield pd.DataFrame(emitted, columns=_EMITTED.fieldNames())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Reclaim history the watermark has passed; the largest event time stays."""
-        max_ms, stored, _ = self._progress()
-        cutoff_ms = timerValues.getCurrentWatermarkInMs() - self.retention_ms - self.slack_ms
-        if max_ms is not None:
-            cutoff_ms = max(cutoff_ms, max_ms - self.retention_ms)
+        max_ms, _, _ = self._progress()
+        cutoff_ms = max_ms - self.retention_ms
+        if self.watermark_ms is not None:
+            cutoff_ms = max(cutoff_ms, self.watermark_ms - self.retention_ms - self.slack_ms)
         held = [Held(*entry) for entry in self.history.get()]
         live = [e for e in held if e.occurred_us >= cutoff_ms * 1000]
         if len(live) < len(held):
@@ -145,6 +190,7 @@ def stream_signals(
     """
     if dedup_ttl_ms <= 0:
         raise ValueError("dedup TTL must be positive")
+    bucket = F.pmod(F.xxhash64("event_id"), F.lit(SEEN_BUCKETS))
     slim = events.withWatermark("occurred_at", WATERMARK_DELAY).select(
         "actor_id",
         "event_id",
@@ -153,12 +199,19 @@ def stream_signals(
         F.col("severity").cast("int").alias("severity"),
         match_mask(spec.rules).alias("mask"),
         *SOURCE_ORDER,
+        bucket.alias("bucket"),
     )
-    processor = RuleProcessor(
-        spec.rules, spec.history_cap, dedup_ttl_ms, cleanup_ms, slack_ms
+    fresh = slim.groupBy("actor_id", "bucket").transformWithStateInPandas(
+        DuplicateFilter(dedup_ttl_ms),
+        outputStructType=_ROW,
+        outputMode="append",
+        timeMode="ProcessingTime",
     )
-    emitted = slim.groupBy("actor_id").transformWithStateInPandas(
-        processor, outputStructType=_EMITTED, outputMode="append", timeMode="ProcessingTime"
+    emitted = fresh.groupBy("actor_id").transformWithStateInPandas(
+        RuleProcessor(spec.rules, spec.history_cap, cleanup_ms, slack_ms),
+        outputStructType=_EMITTED,
+        outputMode="append",
+        timeMode="ProcessingTime",
     )
     return emitted.select(
         signal_id(F.col("triggering_event_id"), F.col("rule_id")).alias("signal_id"),
