@@ -12,7 +12,7 @@ from riskloom.operators.decode import accepted_events, decode_records
 from riskloom.operators.timeline import Evaluation
 from riskloom.plans import tables
 from riskloom.plans.tables import POLICY
-from riskloom.session import ROCKSDB_PROVIDER, ensure_checkpoint_dir
+from riskloom.session import ensure_checkpoint_dir, prepare_streaming
 from riskloom.sources import records
 from riskloom.streaming import pipeline
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable
@@ -30,7 +30,7 @@ class Replay:
     def __init__(
         self, spark: SparkSession, sf_dir: str, slices: int = 1, **options: int
     ) -> None:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        prepare_streaming(spark)
         pipeline.bounded_settings(spark)
         ensure_checkpoint_dir(spark)
         root = f"{spark.sparkContext.getCheckpointDir()}/replay-{uuid.uuid4()}"

@@ -15,9 +15,13 @@ REQUIRED_SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
+# Needed by the stateful stream. Uploading only changes makes commits cheap.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -27,6 +31,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prepare_streaming(spark: SparkSession) -> SparkSession:
+    """Settings for stateful streams, on top of ``prepare``."""
+    for key, value in STREAM_SETTINGS.items():
+        spark.conf.set(key, value)
+    return prepare(spark)
+
+
 def local_session(
     app_name: str = "riskloom", cores: int | str = "*", **extra: str
 ) -> SparkSession:
@@ -42,9 +53,8 @@ def local_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
-    for key, value in {**REQUIRED_SETTINGS, **extra}.items():
+    for key, value in {**REQUIRED_SETTINGS, **STREAM_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -55,33 +55,33 @@ _ROW = T.StructType(
         T.StructField("watermark_ms", T.LongType()),
     ]
 )
-# Tasks the seen ids of one actor are spread over.
-SEEN_BUCKETS = 64
 
 
 class DuplicateFilter(StatefulProcessor):
-    """Passes the first arrival of an event id and forgets the id after a time to live.
+    """Passes the first arrival of an actor's event id; forgets it after a time to live.
 
-    Keyed by actor and a bucket of the event id: asking the state for every single id
-    is the expensive part, and this way a busy actor has many tasks do it. Rows are
-    stamped with the watermark, which a second stateful operator cannot ask for.
+    Keyed by a hash of actor and event id: asking the state for every single id is the
+    expensive part, and this way the ids of a busy actor are spread over all tasks.
+    Rows are stamped with the watermark, which a second stateful operator cannot ask
+    for.
     """
 
     def __init__(self, ttl_ms: int) -> None:
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "event_id string", "at long", self.ttl_ms)
+        identity = "actor_id string, event_id string"
+        self.seen = handle.getMapState("seen", identity, "at long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(rows).sort_values(list(SOURCE_ORDER), kind="stable")
-        batch = batch.drop_duplicates("event_id")
+        batch = batch.drop_duplicates(["actor_id", "event_id"])
         now = (timerValues.getCurrentProcessingTimeInMs(),)
         fresh = []
-        for event_id in batch["event_id"]:
-            fresh.append(not self.seen.containsKey((event_id,)))
+        for identity in zip(batch["actor_id"], batch["event_id"]):
+            fresh.append(not self.seen.containsKey(identity))
             if fresh[-1]:
-                self.seen.updateValue((event_id,), now)
+                self.seen.updateValue(identity, now)
         passed = batch.loc[fresh]
         watermark_ms = timerValues.getCurrentWatermarkInMs()
         yield passed.assign(watermark_ms=watermark_ms)[_ROW.fieldNames()]
@@ -181,16 +181,19 @@ def stream_signals(
     dedup_ttl_ms: int = schemas.DEFAULT_TTL_MS,
     cleanup_ms: int = 60_000,
     slack_ms: int = 0,
+    seen_buckets: int = 64,
 ) -> DataFrame:
     """Signals of a stream of accepted events that kept their source coordinates.
 
     Records of one actor within a micro-batch are taken in source order: record time,
     topic, partition, offset. ``slack_ms`` delays the clean-up of quiet actors for
     sources whose partitions run far apart, as Spark's watermark follows the fastest.
+    ``seen_buckets`` bounds how many tasks share the duplicate filter; give several per
+    core, and keep it for the life of a checkpoint.
     """
     if dedup_ttl_ms <= 0:
         raise ValueError("dedup TTL must be positive")
-    bucket = F.pmod(F.xxhash64("event_id"), F.lit(SEEN_BUCKETS))
+    bucket = F.pmod(F.xxhash64("actor_id", "event_id"), F.lit(seen_buckets))
     slim = events.withWatermark("occurred_at", WATERMARK_DELAY).select(
         "actor_id",
         "event_id",
@@ -201,7 +204,7 @@ def stream_signals(
         *SOURCE_ORDER,
         bucket.alias("bucket"),
     )
-    fresh = slim.groupBy("actor_id", "bucket").transformWithStateInPandas(
+    fresh = slim.groupBy("bucket").transformWithStateInPandas(
         DuplicateFilter(dedup_ttl_ms),
         outputStructType=_ROW,
         outputMode="append",
