@@ -25,16 +25,24 @@ def canonical_row() -> Column:
 _LANES = 4
 
 
-def _lanes(sides: tuple[str, ...]) -> list[Column]:
-    """The SHA-256 of every row, cut into 60-bit lanes that are added up per side."""
-    digest = F.sha2(canonical_row(), 256)
-    lanes = []
-    for side in sides:
-        for i in range(_LANES):
-            lane = F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")
-            mine = F.when(F.col("_side") == side, lane)
-            lanes.append(F.coalesce(F.sum(mine), F.lit(0)).alias(f"_{side}_{i}"))
-    return lanes
+def _tagged(rows: DataFrame, side: str) -> DataFrame:
+    """Rows with their SHA-256 cut into 60-bit lanes."""
+    digested = rows.select("signal_id", "actor_id", F.sha2(canonical_row(), 256).alias("_d"))
+    lanes = [
+        F.conv(F.substring("_d", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)").alias(f"_{i}")
+        for i in range(_LANES)
+    ]
+    return digested.select("signal_id", "actor_id", *lanes, F.lit(side).alias("_side"))
+
+
+def _lane_sums(sides: tuple[str, ...]) -> list[Column]:
+    return [
+        F.coalesce(F.sum(F.when(F.col("_side") == side, F.col(f"_{i}"))), F.lit(0)).alias(
+            f"_{side}_{i}"
+        )
+        for side in sides
+        for i in range(_LANES)
+    ]
 
 
 def compare(expected: DataFrame, observed: DataFrame) -> DataFrame:
@@ -64,10 +72,7 @@ def report(expected: DataFrame, observed: DataFrame) -> DataFrame:
     same number of rows with the same sum of digests.
     """
     sides = ("expected", "observed")
-    tagged = [
-        rows.select(*COMPARED, F.lit(side).alias("_side"))
-        for side, rows in zip(sides, (expected, observed))
-    ]
+    tagged = [_tagged(rows, side) for side, rows in zip(sides, (expected, observed))]
     counts = [
         F.count_if(F.col("_side") == side).alias(f"_{side}_rows") for side in sides
     ]
@@ -75,7 +80,7 @@ def report(expected: DataFrame, observed: DataFrame) -> DataFrame:
     signals = (
         reduce(DataFrame.unionByName, tagged)
         .groupBy("signal_id")
-        .agg(*counts, *_lanes(sides), actor)
+        .agg(*counts, *_lane_sums(sides), actor)
     )
     same = reduce(
         lambda a, b: a & b,

@@ -178,16 +178,8 @@ def _one_task_per_actor(slim: DataFrame, spec: Evaluation, capped: bool) -> Data
     else:
         rows = rows.withColumn("evicted", F.lit(0))
         order = ["point_ms", "is_arrival", *spec.arrival]
-    in_order = (
-        Window.partitionBy("actor_id")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    sums = [
-        F.sum(delta).over(in_order).alias(name)
-        for name, delta in _deltas(spec, capped).items()
-    ]
-    return _arrivals_only(_points(rows, spec, capped).select("*", *sums), spec)
+    sums = _running(_deltas(spec, capped), "actor_id", order)
+    return _arrivals_only(_points(rows, spec, capped).selectExpr("*", *sums), spec)
 
 
 def _many_tasks_per_actor(parts: _Parts, spec: Evaluation) -> DataFrame:
@@ -216,14 +208,12 @@ def _many_tasks_per_actor(parts: _Parts, spec: Evaluation) -> DataFrame:
     deltas = _deltas(spec, capped)
     points = segments.place(points, 2 * pieces, "actor_id", order_columns)
     points = segments.with_carry(
-        points, "actor_id", {f"before_{n}": F.sum(d) for n, d in deltas.items()}
+        points, "actor_id", {f"before_{n}": F.expr(f"sum({d})") for n, d in deltas.items()}
     )
-    in_order = segments.within("actor_id", order_columns)
-    sums = [
-        (F.sum(delta).over(in_order) + F.coalesce(f"before_{name}", F.lit(0))).alias(name)
-        for name, delta in deltas.items()
-    ]
-    return _arrivals_only(points.select("*", *sums), spec)
+    sums = _running(deltas, f"actor_id, {segments.SEGMENT}", order_columns)
+    kept = [_quoted(c) for c in points.columns if not c.startswith("before_")]
+    totals = [f"{n} + coalesce(before_{n}, 0) AS {n}" for n in deltas]
+    return _arrivals_only(points.selectExpr("*", *sums).selectExpr(*kept, *totals), spec)
 
 
 def _pushed_out(arrivals: DataFrame, spec: Evaluation) -> DataFrame:
@@ -250,8 +240,8 @@ def _event_ms() -> Column:
     return micros_to_millis(F.col("occurred_us"))
 
 
-def _bit(index: int) -> Column:
-    return F.col("mask").bitwiseAND(1 << index) != 0
+def _bit(index: int) -> str:
+    return f"(mask & {1 << index}L) <> 0"
 
 
 def _points(
@@ -320,20 +310,22 @@ def _windows(spec: Evaluation) -> dict[int, int]:
     return windows
 
 
-def _deltas(spec: Evaluation, capped: bool) -> dict[str, Column]:
-    """Change of every running value at a point."""
-    one, severity = F.lit(1).cast("bigint"), F.col("severity").cast("bigint")
-    arrival = F.col("is_reading") == 1 if capped else F.col("is_arrival") == 1
+def _deltas(spec: Evaluation, capped: bool) -> dict[str, str]:
+    """Change of every running value at a point, as SQL text."""
+    arrival = "is_reading = 1" if capped else "is_arrival = 1"
 
-    def change(window: int, counted: Column, amount: Column) -> Column:
-        inside = F.col("enters") & (F.col("event_ms") >= F.col("max_ms") - window)
-        leaves = ~arrival & (F.col("window_ms") == window)
-        step = F.when(arrival & inside, amount).when(leaves, -amount)
-        return F.coalesce(F.when(counted, step), F.lit(0))
+    def change(window: int, counted: str, amount: str) -> str:
+        inside = f"enters AND event_ms >= max_ms - {window}"
+        return (
+            f"CASE WHEN NOT ({counted}) THEN 0 "
+            f"WHEN {arrival} THEN CASE WHEN {inside} THEN {amount} ELSE 0 END "
+            f"WHEN window_ms = {window} THEN -{amount} ELSE 0 END"
+        )
 
+    one, severity = "1L", "CAST(severity AS BIGINT)"
     deltas = {
-        "history_n": change(spec.retention_ms, F.lit(True), one),
-        "history_sum": change(spec.retention_ms, F.lit(True), severity),
+        "history_n": change(spec.retention_ms, "true", one),
+        "history_sum": change(spec.retention_ms, "true", severity),
     }
     for bit, rule in enumerate(spec.rules):
         deltas[f"n_{bit}"] = change(_window(rule), _bit(bit), one)
@@ -341,19 +333,32 @@ def _deltas(spec: Evaluation, capped: bool) -> dict[str, Column]:
     return deltas
 
 
+def _quoted(column: str) -> str:
+    return f"`{column}`"
+
+
+def _running(deltas: dict[str, str], group: str, order: Sequence[str]) -> list[str]:
+    """Sums of the deltas from the first point up to each point, as SQL text."""
+    window = (
+        f"PARTITION BY {group} ORDER BY {', '.join(map(_quoted, order))} "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    )
+    return [f"sum({delta}) OVER ({window}) AS {name}" for name, delta in deltas.items()]
+
+
 def _arrivals_only(points: DataFrame, spec: Evaluation) -> DataFrame:
     reading = "is_reading" if "is_reading" in points.columns else "is_arrival"
     per_rule = []
     for bit in range(len(spec.rules)):
-        per_rule += [_bit(bit).alias(f"match_{bit}"), f"n_{bit}", f"sum_{bit}"]
-    return points.where(F.col(reading) == 1).select(
+        per_rule += [f"{_bit(bit)} AS match_{bit}", f"n_{bit}", f"sum_{bit}"]
+    return points.where(f"{reading} = 1").selectExpr(
         "actor_id",
         "event_id",
-        *spec.carried,
+        *map(_quoted, spec.carried),
         "occurred_us",
         "severity",
         "max_ms",
-        (F.col("event_ms") < F.col("max_ms") - spec.retention_ms).alias("late"),
+        f"event_ms < max_ms - {spec.retention_ms} AS late",
         "evicted",
         "history_n",
         "history_sum",

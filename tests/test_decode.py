@@ -6,6 +6,10 @@ import pytest
 
 from riskloom import schemas
 from riskloom.operators import contracts, decode, quarantine
+from riskloom.operators.rules import Rule
+from riskloom.operators.signals import risk_signals
+from riskloom.operators.timeline import Evaluation
+from riskloom.sources.records import SOURCE_ORDER
 
 AT = dt.datetime(2026, 8, 18, 12)
 BASE = {
@@ -253,3 +257,16 @@ def test_contracts_separate_the_versions(spark):
     assert violations(2) == [
         ["schema_version", "tenant_id"], [], ["schema_version", "severity", "tenant_id"], ["object"],
     ]
+
+
+def test_decoded_records_in_source_order(spark):
+    """From raw records to signals, ordered by source coordinates."""
+    payloads = [text(event_id=f"e{i % 5}", severity=40) for i in range(7)] + ["not-json"]
+    decoded_rows = decode.decode_records(raw_frame(spark, payloads))
+    events = decode.accepted_events(decoded_rows, *SOURCE_ORDER)
+    rule = Rule("r", 60_000, 3, 120, 90)
+    for options in ({}, {"actor_rows": 2}, {"history_cap": 4, "actor_rows": 2}):
+        spec = Evaluation((rule,), arrival=SOURCE_ORDER, stage_input=True, **options)
+        rows = risk_signals(events, spec).where("rule_pos >= 0").orderBy("offset").collect()
+        expected = [("e2", 3), ("e3", 4), ("e4", min(5, options.get("history_cap", 5)))]
+        assert [(r.triggering_event_id, r.observed_event_count) for r in rows] == expected
