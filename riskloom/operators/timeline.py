@@ -36,6 +36,8 @@ from riskloom.session import ensure_checkpoint_dir
 _LONGEST_WINDOW_MS = 10**15
 # Rules per pass: each takes one bit of the match mask and two running sums.
 RULES_PER_PASS = 32
+# A shuffle cannot have any number of partitions; beyond this, segments grow instead.
+_MOST_SEGMENTS = 50_000
 _CAPPED_ORDER = ["point_ms", "is_arrival", "point_pos", "is_reading"]
 # Up to this many large actors the list is small enough to send to every executor.
 _BROADCAST_ACTORS = 200_000
@@ -50,6 +52,7 @@ class Evaluation:
     split into segments. ``stage_input`` writes the few columns that are needed to the
     checkpoint folder first: right when the events are expensive to produce, such as
     decoded records, because they are read twice (actors are counted first).
+    ``dedup=False`` is for events that ``dedup.accepted_arrivals`` has already passed.
     """
 
     rules: tuple[Rule, ...]
@@ -81,14 +84,17 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
 
     Columns: actor_id, event_id, the arrival columns, occurred_us, severity, max_ms,
     late, evicted, history_n, history_sum, and for rule i: match_i, n_i, sum_i.
+    ``signals.risk_signals`` takes policies of any length; this is one pass of it.
     """
+    if len(spec.rules) > RULES_PER_PASS + 1:
+        raise ValueError(f"more than {RULES_PER_PASS} rules in one pass")
     slim = events.select(
         "actor_id",
         "event_id",
         *spec.carried,
         F.unix_micros("occurred_at").alias("occurred_us"),
         "severity",
-        match_mask(spec.rules).alias("mask"),
+        _match_mask(spec.rules).alias("mask"),
     )
     if spec.stage_input:
         ensure_checkpoint_dir(slim.sparkSession)
@@ -102,7 +108,7 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
-def match_mask(rules: Sequence[Rule]) -> Column:
+def _match_mask(rules: Sequence[Rule]) -> Column:
     """Matching rules as bits, so that no event column but the mask is shuffled."""
     event_type, attributes = F.col("event_type"), F.col("attributes")
     mask = F.lit(0).cast("bigint")
@@ -186,7 +192,7 @@ def _many_tasks_per_actor(parts: _Parts, spec: Evaluation) -> DataFrame:
     """The same over segments; see ``segments``. Arrival order is split first, for the
     running maximum, then the order of the points, for the running sums."""
     capped = parts.large_can_fill
-    pieces = math.ceil(parts.large_rows / spec.actor_rows)
+    pieces = min(math.ceil(parts.large_rows / spec.actor_rows), _MOST_SEGMENTS)
     rows = first_arrivals(parts.large, spec.arrival) if spec.dedup else parts.large
     placed = segments.place(rows, pieces, "actor_id", spec.arrival)
     placed = segments.with_carry(placed, "actor_id", {"max_before": F.max(_event_ms())})

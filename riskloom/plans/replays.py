@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from riskloom import schemas
 from riskloom.operators.decode import accepted_events, decode_records
@@ -48,10 +49,21 @@ class Replay:
         for i in range(slices):
             arrived = F.col("arrived_us").between(first + i * step, first + (i + 1) * step - 1)
             raw.where(arrived).select(_RAW).write.mode("append").parquet(self.records)
-            stream = records.file_stream(spark, self.records)
-            pipeline.start_signals(
+            self._start(spec, options).awaitTermination()
+
+    def _start(self, spec: Evaluation, options: dict[str, int]) -> StreamingQuery:
+        """Starts the query with a state partition per core; a query keeps the settings
+        it was started with."""
+        partitions = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(partitions)
+        self.spark.conf.set(partitions, self.spark.sparkContext.defaultParallelism)
+        try:
+            stream = records.file_stream(self.spark, self.records)
+            return pipeline.start_signals(
                 stream, spec, self.stores, self.checkpoint, bounded=True, **options
-            ).awaitTermination()
+            )
+        finally:
+            self.spark.conf.set(partitions, before)
 
     def events(self) -> DataFrame:
         raw = records.file_batch(self.spark, self.records)

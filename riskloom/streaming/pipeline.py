@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass
 
@@ -102,13 +103,22 @@ def pending_records(progress) -> int:
     """Records behind, over all sources of a streaming progress report."""
     behind = 0
     for source in progress.sources:
-        latest, done = source.latestOffset, source.endOffset
-        if isinstance(latest, dict) and isinstance(done, dict):
-            for topic, partitions in latest.items():
-                for partition, offset in partitions.items():
-                    behind += offset - done.get(topic, {}).get(partition, 0)
+        done = _offsets(source.endOffset)
+        for topic, partitions in _offsets(source.latestOffset).items():
+            for partition, offset in partitions.items():
+                behind += offset - done.get(topic, {}).get(partition, 0)
     return behind
 
 
+def _offsets(reported: str | None) -> dict:
+    """Kafka's ``{topic: {partition: offset}}``; empty for any other source."""
+    try:
+        offsets = json.loads(reported or "{}")
+    except json.JSONDecodeError:
+        return {}
+    kafka = isinstance(offsets, dict) and all(isinstance(v, dict) for v in offsets.values())
+    return offsets if kafka else {}
+
+
 def completed_batches(query: StreamingQuery) -> int:
     return len({progress.batchId for progress in query.recentProgress})

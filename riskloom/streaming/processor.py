@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from riskloom import schemas
 from riskloom.functions.identity import signal_id
 from riskloom.operators.rules import Rule
-from riskloom.operators.timeline import Evaluation, match_mask
+from riskloom.operators.timeline import Evaluation
 from riskloom.sources.records import SOURCE_ORDER
 from riskloom.streaming.windows import ActorWindows, Held, signal_row
 
@@ -38,7 +38,7 @@ _EMITTED = T.StructType(
         T.StructField("rule_pos", T.IntegerType()),
     ]
 )
-_HELD = "occurred_us long, event_id string, severity int, mask long"
+_HELD = "occurred_us long, event_id string, severity int, matched string"
 
 
 _ROW = T.StructType(
@@ -47,7 +47,7 @@ _ROW = T.StructType(
         T.StructField("event_id", T.StringType()),
         T.StructField("occurred_us", T.LongType()),
         T.StructField("severity", T.IntegerType()),
-        T.StructField("mask", T.LongType()),
+        T.StructField("matched", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
@@ -193,6 +193,10 @@ def stream_signals(
     """
     if dedup_ttl_ms <= 0:
         raise ValueError("dedup TTL must be positive")
+    matched = [
+        F.when(rule.matches(F.col("event_type"), F.col("attributes")), "1").otherwise("0")
+        for rule in spec.rules
+    ]
     bucket = F.pmod(F.xxhash64("actor_id", "event_id"), F.lit(seen_buckets))
     slim = events.withWatermark("occurred_at", WATERMARK_DELAY).select(
         "actor_id",
@@ -200,7 +204,7 @@ def stream_signals(
         "occurred_at",
         F.unix_micros("occurred_at").alias("occurred_us"),
         F.col("severity").cast("int").alias("severity"),
-        match_mask(spec.rules).alias("mask"),
+        F.concat(*matched).alias("matched"),
         *SOURCE_ORDER,
         bucket.alias("bucket"),
     )

@@ -20,7 +20,7 @@ class Held(NamedTuple):
     occurred_us: int
     event_id: str
     severity: int
-    mask: int
+    matched: str  # "1" or "0" per rule
 
 
 class _Window:
@@ -58,7 +58,7 @@ class ActorWindows:
             kept = [e for e in kept if e.occurred_us >= (max_ms - self.retention_ms) * 1000]
         self.history = _Window(kept[-cap:])
         self.windows = [
-            _Window(e for e in self.history.events if e.mask >> bit & 1)
+            _Window(e for e in self.history.events if e.matched[bit] == "1")
             for bit in range(len(rules))
         ]
 
@@ -71,7 +71,7 @@ class ActorWindows:
             return []
         self.history.add(event)
         for bit, window in enumerate(self.windows):
-            if event.mask >> bit & 1:
+            if event.matched[bit] == "1":
                 window.add(event)
         signals = []
         if len(self.history.events) > self.cap:
@@ -85,7 +85,7 @@ class ActorWindows:
             window.drop_before(self.max_ms - rule.window_ms)
             count, total = len(window.events), window.severity
             fires = count >= rule.minimum_events and total >= rule.minimum_severity_sum
-            if event.mask >> bit & 1 and fires:
+            if event.matched[bit] == "1" and fires:
                 signals.append((bit, count, total, 0))
         return signals
 

@@ -2,11 +2,16 @@ import datetime as dt
 import math
 import random
 import statistics as py
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import dedup, metrics, reconcile, statistics
+from riskloom.operators.rules import Rule
+from riskloom.operators.signals import risk_signals
+from riskloom.operators.timeline import Evaluation
+from riskloom.streaming.pipeline import pending_records
 
 
 def test_order_statistics_in_segments(spark):
@@ -74,6 +79,30 @@ def test_duplicates_are_forgotten_after_the_time_to_live(spark):
     assert sorted(map(tuple, accepted.collect())) == sorted(expected)
 
 
+def test_forgotten_events_count_again(spark):
+    rows = [("a", "e1", 0, 0), ("a", "e1", 0, 50), ("a", "e1", 0, 200), ("a", "e2", 1, 300)]
+    frame = spark.createDataFrame(rows, "actor_id string, event_id string, ms bigint, at bigint")
+    events = dedup.accepted_arrivals(frame, ["at"], "at", 150).select(
+        "*",
+        F.timestamp_millis("ms").alias("occurred_at"),
+        F.lit("POLICY_MATCH").alias("event_type"),
+        F.lit(5).alias("severity"),
+        F.create_map().cast("map<string,string>").alias("attributes"),
+    )
+    for options in ({}, {"actor_rows": 1}):
+        spec = Evaluation((Rule("r", 1000, 1, 0, 5),), ("at",), dedup=False, **options)
+        found = [r.observed_event_count for r in risk_signals(events, spec).orderBy("at").collect()]
+        assert found == [1, 2, 3]
+
+
+def test_pending_records():
+    sources = [
+        SimpleNamespace(latestOffset='{"t":{"0":5,"1":2}}', endOffset='{"t":{"0":1}}'),
+        SimpleNamespace(latestOffset="not kafka", endOffset=None),
+    ]
+    assert pending_records(SimpleNamespace(sources=sources)) == 6
+
+
 def test_reconciliation(spark):
     schema = "signal_id string, actor_id string, triggering_event_id string, rule_id string, risk_score int, observed_event_count bigint, observed_severity_sum bigint"
     rows = [(f"s{i}", f"a{i % 2}", f"e{i}", "r", 80, i, i) for i in range(6)]
