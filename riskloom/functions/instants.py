@@ -50,10 +50,6 @@ def instant_text(timestamp: Column) -> Column:
     return F.concat(seconds, fraction, F.lit("Z"))
 
 
-def from_millis(millis: Column) -> Column:
-    return F.timestamp_millis(millis)
-
-
 def micros_to_millis(micros: Column) -> Column:
     """Epoch milliseconds, rounded down also before 1970."""
     whole = micros - F.pmod(micros, F.lit(1000))

@@ -12,6 +12,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,7 @@ def with_evictions(arrivals: DataFrame, cap: int, retention_ms: int) -> DataFram
     schema = f"{fields}, evictor_pos bigint, evictor_ms bigint, evicted int"
 
     def run(rows: pa.Table) -> pa.Table:
-        oldest_first = _by_age(rows)
-        rows = rows.take(oldest_first)
+        rows = rows.take(_by_age(rows))
         pos, end = rows["pos"].to_numpy(), rows["max_ms"].to_numpy()
         victims, evictors = _push_out(np.argsort(pos), [], cap)
         by_pos, by_ms = np.zeros(len(pos), "int64"), np.zeros(len(pos), "int64")
@@ -84,10 +84,10 @@ def evictions(arrivals: DataFrame, cap: int) -> DataFrame:
     return rows.groupBy("actor_id", SEGMENT).applyInArrow(run, _PUSHED)
 
 
-def _by_age(rows: pa.Table) -> np.ndarray:
+def _by_age(rows: pa.Table) -> pa.Array:
     """Row numbers from the oldest event to the newest."""
-    keys = [rows[c].to_numpy() for c in ("pos", "event_id", "occurred_us")]
-    return np.lexsort(keys)
+    keys = ["occurred_us", "event_id", "pos"]
+    return pc.sort_indices(rows, sort_keys=[(key, "ascending") for key in keys])
 
 
 def _push_out(

@@ -89,7 +89,8 @@ def contract_violations(raw: DataFrame, version: int) -> DataFrame:
 def report(raw: DataFrame, version: int) -> DataFrame:
     """Violations per check of one contract, plus the number of valid records."""
     checked = contract_violations(raw, version)
-    names = F.when(F.size("violations") == 0, F.array(F.lit("valid"))).otherwise(F.col("violations"))
+    valid = F.size("violations") == 0
+    names = F.when(valid, F.array(F.lit("valid"))).otherwise(F.col("violations"))
     return (
         checked.select(F.explode(names).alias("check"))
         .groupBy("check")

@@ -83,7 +83,9 @@ def processing_latency_ms(processed_ms: Column, ingested_ms: Column) -> Column:
     return F.greatest(F.lit(0), processed_ms - ingested_ms)
 
 
-def event_time_lag(events: DataFrame, processed_ms: str, occurred_ms: str, *order: str) -> DataFrame:
+def event_time_lag(
+    events: DataFrame, processed_ms: str, occurred_ms: str, *order: str
+) -> DataFrame:
     """Lag of the last processed event, never below zero."""
     lag = F.greatest(F.lit(0), F.col(processed_ms) - F.col(occurred_ms))
     return events.agg(F.max_by(lag, F.struct(*order)).alias("event_time_lag_ms"))

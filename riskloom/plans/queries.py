@@ -272,12 +272,13 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence with every second row damaged in one of four ways, then checked."""
     damage = (F.col("source_offset") / 2).cast("bigint") % 8
+    damaged = ("quarantine_id", "payload_sha256", "original_payload_bytes", "payload_base64")
     rows = _quarantined(spark, sf_dir).select(
         F.col("quarantine_id").alias("id"),
         *[
             c
             for c in schemas.QUARANTINE_EVENT.fieldNames()
-            if c not in ("quarantine_id", "payload_sha256", "original_payload_bytes", "payload_base64")
+            if c not in damaged
         ],
         F.when(damage == 0, F.concat("quarantine_id", F.lit("0")))
         .otherwise(F.col("quarantine_id"))
@@ -288,7 +289,9 @@ def quarantine_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("original_payload_bytes") - F.when(damage == 4, 1).otherwise(0)).alias(
             "original_payload_bytes"
         ),
-        F.when(damage == 6, F.lit("***")).otherwise(F.col("payload_base64")).alias("payload_base64"),
+        F.when(damage == 6, F.lit("***"))
+        .otherwise(F.col("payload_base64"))
+        .alias("payload_base64"),
     )
     return rows.select(
         "id", F.coalesce(quarantine.integrity_failure(), F.lit("sound")).alias("integrity")
@@ -311,12 +314,9 @@ def quarantine_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _quarantined(spark, sf_dir)
     again = rows.where(F.col("source_offset") % 3 == 0)
     delivered = rows.unionByName(again)
-    once = quarantine.distinct_identities(delivered)
-    return (
-        delivered.groupBy("failure_reason")
-        .agg(F.count("*").alias("deliveries"))
-        .join(once.groupBy("failure_reason").agg(F.count("*").alias("identities")), "failure_reason")
-    )
+    once = quarantine.distinct_identities(delivered).groupBy("failure_reason")
+    deliveries = delivered.groupBy("failure_reason").agg(F.count("*").alias("deliveries"))
+    return deliveries.join(once.agg(F.count("*").alias("identities")), "failure_reason")
 
 
 # ---- Rules --------------------------------------------------------------------------
@@ -365,7 +365,8 @@ def rule_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("mean") - 20).cast("bigint").alias("minimum_severity_sum"),
         (F.col("n") + 20).cast("int").alias("risk_score"),
         F.transform(
-            "kinds", lambda k: F.when((actor % 17 == 0) & (k == "view"), F.lit("NOPE")).otherwise(known[k])
+            "kinds",
+            lambda k: F.when((actor % 17 == 0) & (k == "view"), F.lit("NOPE")).otherwise(known[k]),
         ).alias("event_types"),
         F.create_map().cast("map<string,string>").alias("required_attributes"),
     )
@@ -386,7 +387,10 @@ def dedup_first_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = tables.safety_events(spark, sf_dir, stale_copies=True).select(
-        "actor_id", "event_id", "arrived_us", micros_to_millis(F.col("arrived_us")).alias("arrived_ms")
+        "actor_id",
+        "event_id",
+        "arrived_us",
+        micros_to_millis(F.col("arrived_us")).alias("arrived_ms"),
     )
     accepted = dedup.accepted_arrivals(events, ARRIVAL, "arrived_ms", schemas.DEFAULT_TTL_MS)
     return accepted.select("actor_id", "event_id", "arrived_us")
@@ -433,14 +437,21 @@ def short_rule_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _timeline(spark, sf_dir)
     short = micros_to_millis(F.col("occurred_us")) < F.col("max_ms") - POLICY[1].window_ms
     return rows.where(F.col("match_1") & short & ~F.col("late")).select(
-        "actor_id", "event_id", "max_ms", F.col("n_1").alias("counted"), F.col("sum_1").alias("severity_sum")
+        "actor_id",
+        "event_id",
+        "max_ms",
+        F.col("n_1").alias("counted"),
+        F.col("sum_1").alias("severity_sum"),
     )
 
 
 @query
 def late_beyond_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _timeline(spark, sf_dir).where("late").select(
-        "actor_id", "event_id", micros_to_millis(F.col("occurred_us")).alias("occurred_ms"), "max_ms"
+        "actor_id",
+        "event_id",
+        micros_to_millis(F.col("occurred_us")).alias("occurred_ms"),
+        "max_ms",
     )
 
 

@@ -88,7 +88,8 @@ def _sent(rows: DataFrame, stale_copies: bool) -> DataFrame:
     number = F.col("number")
 
     def arrival(copy: int, after: int) -> Column:
-        return F.struct(F.lit(copy).alias("copy"), (F.col("arrived_us") + after).alias("arrived_us"))
+        arrived = F.col("arrived_us") + after
+        return F.struct(F.lit(copy).alias("copy"), arrived.alias("arrived_us"))
 
     arrivals = [
         arrival(0, 0),
@@ -107,11 +108,12 @@ def _sent(rows: DataFrame, stale_copies: bool) -> DataFrame:
 def safety_events(spark: SparkSession, sf_dir: str, stale_copies: bool = False) -> DataFrame:
     """Events as they arrive: delayed, some twice. Arrival order is ``ARRIVAL``."""
     rows = _sent(_per_event(events_table(spark, sf_dir)), stale_copies)
+    ingested_us = F.col("occurred_us") + (F.col("number") % 5) * 700_000
     return rows.select(
         "event_id",
         "actor_id",
         F.timestamp_micros("occurred_us").alias("occurred_at"),
-        F.timestamp_micros(F.col("occurred_us") + (F.col("number") % 5) * 700_000).alias("ingested_at"),
+        F.timestamp_micros(ingested_us).alias("ingested_at"),
         "event_type",
         "severity",
         F.create_map(F.lit("k"), F.col("k")).alias("attributes"),
@@ -146,7 +148,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = pick(
         F.when(v2, F.lit("2")).otherwise(F.lit("1")), (3, F.lit("99")), (14, F.lit('"1"'))
     )
-    tenant = F.concat(F.lit(',"tenant_id":"tenant-'), F.pmod(number, F.lit(5)).cast("string"), F.lit('"'))
+    tenant = F.concat(F.lit(',"tenant_id":"tenant-'), (number % 5).cast("string"), F.lit('"'))
     trace = F.when(number % 4 == 1, F.lit(',"trace_id":null')).otherwise(
         F.concat(F.lit(',"trace_id":"trace-'), number.cast("string"), F.lit('"'))
     )
@@ -170,7 +172,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 15, F.lit(',"actor_id":" "'))
         .otherwise(F.concat(F.lit(',"actor_id":'), quoted(F.col("actor_id")))),
         F.when(kind == 21, F.lit(',"content_id":null')).otherwise(
-            F.concat(F.lit(',"content_id":"content-'), F.pmod(number, F.lit(100)).cast("string"), F.lit('"'))
+            F.concat(F.lit(',"content_id":"content-'), (number % 100).cast("string"), F.lit('"'))
         ),
         F.lit(',"event_type":'),
         quoted(pick(F.col("event_type"), (9, F.lit("NOPE")))),
@@ -198,7 +200,8 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (6, F.lit("")),
         (7, F.lit("[1]")),
     )
-    text = F.when(number % OVERSIZED_EVERY == 19, F.repeat(F.lit("x"), OVERSIZED_BYTES)).otherwise(text)
+    oversized = F.repeat(F.lit("x"), OVERSIZED_BYTES)
+    text = F.when(number % OVERSIZED_EVERY == 19, oversized).otherwise(text)
     topic = F.array(*[F.lit(t) for t in TOPICS])[(number % 3).cast("int")]
     return rows.select(
         F.col("actor_id").cast("binary").alias("key"),

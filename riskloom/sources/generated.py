@@ -14,7 +14,9 @@ LOAD_START_MS = 1_787_054_400_000
 _HOUR_MS = 3_600_000
 
 
-def _events(rows: DataFrame, event_id: Column, actor_id: Column, ms: Column, severity: Column) -> DataFrame:
+def _events(
+    rows: DataFrame, event_id: Column, actor_id: Column, ms: Column, severity: Column
+) -> DataFrame:
     return rows.select(
         event_id.alias("event_id"),
         actor_id.alias("actor_id"),
@@ -62,7 +64,9 @@ def skewed(spark: SparkSession, events: int = 30_000, hot: int = 10) -> DataFram
     return _events(rows, _numbered("event-", i), actor, _slightly_late_ms(i), i % 100)
 
 
-def retention(spark: SparkSession, actors: int = 100, recent: int = 20, stale: int = 10) -> DataFrame:
+def retention(
+    spark: SparkSession, actors: int = 100, recent: int = 20, stale: int = 10
+) -> DataFrame:
     """Per actor some recent events, then events three hours older."""
     per_actor = recent + stale
     rows = spark.range(actors * per_actor).withColumn("arrival", F.col("id"))

@@ -89,7 +89,8 @@ class HotStateTable:
         accepted = (
             newest.join(before, "actor_id", "left")
             .where(F.col("_held_ms").isNull() | (F.col("_held_ms") <= F.col("emitted_at_ms")))
-            .select("key", "actor_id", "emitted_at_ms", "payload", F.lit(now_ms).alias("written_ms"))
+            .select("key", "actor_id", "emitted_at_ms", "payload")
+            .withColumn("written_ms", F.lit(now_ms).cast("bigint"))
         )
         accepted.write.mode("overwrite").parquet(self._folder("batch", batch_id))
         if (batch_id + 1) % self.snapshot_every == 0:
