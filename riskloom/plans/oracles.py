@@ -515,7 +515,7 @@ SELECT event_type, max(n) AS n, {percentiles}, max(latency_ms) AS max FROM o GRO
     AS coefficient_of_variation_percent,
   min(value) AS min, max(value) AS max FROM events GROUP BY 1""",
         "sequence_drift": """WITH s AS (SELECT event_type, CAST(ts AS DATE) AS day,
-    count(*) / CAST(86400 AS DOUBLE) AS rate FROM events GROUP BY 1, 2),
+    CAST(count(*) AS DOUBLE) AS rate FROM events GROUP BY 1, 2),
 i AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day) AS i,
   count(*) OVER (PARTITION BY event_type) AS size FROM s),
 h AS (SELECT event_type, count(*) AS n, avg(rate) FILTER (i <= size // 2) AS a,

@@ -596,9 +596,9 @@ def sequence_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = (
         tables.events_table(spark, sf_dir)
         .groupBy("event_type", F.to_date("ts").alias("day"))
-        .agg((F.count("*") / 86_400).alias("events_per_second"))
+        .agg(F.count("*").cast("double").alias("events_per_day"))
     )
-    result = statistics.drift(series, "event_type", ["day"], "events_per_second")
+    result = statistics.drift(series, "event_type", ["day"], "events_per_day")
     rounded = [c for c in result.columns if c not in ("event_type", "n")]
     return result.withColumns({c: F.round(c, 6) for c in rounded})
 
