@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, near_dup, scratch, substring
+from riskloom.llm import decontaminate, near_dup, quality, queries, scratch, substring
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality.scored(docs, quality.fit(docs, labels), "__score")
+    return found.where(F.col("__score") >= quality.THRESHOLD).drop("__score")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +36,17 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean_documents(docs, items)
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as token ids, with digests of ids and decoded text."""
+    return queries.encoded_documents(docs)
+
+
 STAGES = [
-    ("near duplicates", near_duplicates),
-    ("repeated passages", repeated_passages),
-    ("benchmark leaks", benchmark_leaks),
+    ("quality classifier", good_quality),
+    ("MinHash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("benchmark decontamination", benchmark_leaks),
+    ("BPE encoding", token_ids),
 ]
 
 # Trained scores, sketches and content-defined cuts have no SQL; tests/llm compares the

@@ -101,21 +101,26 @@ def _long_word(data: np.ndarray) -> np.uint64:
     return _U64(total % (1 << 64))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """All words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+def spans_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of every word, and the byte after its last, of all texts."""
     inside = _IS_WORD[data]
     if not len(inside):
-        none = np.empty(0, dtype=np.int64)
-        return Words(none.astype(_U64), none, none, np.zeros(len(offsets), dtype=np.int64))
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     begins, stops = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     stops[:-1] &= ~inside[1:]
     cut = offsets[(offsets > 0) & (offsets < len(data))]  # words end where a text ends
     begins[cut] |= inside[cut]
     stops[cut - 1] |= inside[cut - 1]
-    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
-    hashes = _word_hashes(data, starts, ends)
-    return Words(hashes, starts, ends, np.searchsorted(starts, offsets))
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """All words of the texts ``data[offsets[i]:offsets[i + 1]]``."""
+    starts, ends = spans_of(data, offsets)
+    return Words(
+        _word_hashes(data, starts, ends), starts, ends, np.searchsorted(starts, offsets)
+    )
 
 
 def combined(columns: list[np.ndarray]) -> np.ndarray:

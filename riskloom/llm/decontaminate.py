@@ -21,7 +21,6 @@ of either table are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -373,5 +372,16 @@ def contamination(
     )
 
 
-def digest_of(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+def clean_documents(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """The documents that are not contaminated; columns stay as they are.
+
+    Rows of one ``doc_id`` go if one of them is contaminated. Rows without ``doc_id``
+    cannot be told apart and stay.
+    """
+    found = contamination(documents, items)
+    bad = found.where("contaminated and doc_id is not null").select("doc_id").distinct()
+    return documents.join(bad, "doc_id", "left_anti").select(*_as_they_are(documents))
+
+
+def _as_they_are(documents: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in documents.columns]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from riskloom.llm.licence_texts import NOTICES, TEXTS
+from riskloom.llm.licences import SPELLINGS
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -51,7 +54,75 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
+def _escaped(text: str) -> str:
+    return (
+        rf"regexp_replace({text}, '([<\[])(\\*)(/?s>|/?INST\]|image>|audio>|document>)', "
+        rf"'\1\\\2\3', 'g')"
+    )
+
+
+OP9 = f"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+c AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text)
+      FILTER (WHERE role = 'assistant'), '') AS learned,
+    sum(length({_escaped("role")}) + 1 + length({_escaped("text")})
+      + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END) AS formatted_chars
+  FROM t GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars,
+  sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM c
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_lines(text: str) -> str:
+    lines = (
+        r"(?m)^[^\p{L}\p{N}\n©]*(?:©|\(c\)|copyright\s*(?:\(c\)|©|\d|:|<|\[|\{|by\b)|"
+        r"all rights reserved)[^\n]*$"
+    )
+    out = f"regexp_replace(lower({text}), '{lines}', '', 'g')"
+    for spelling, common in SPELLINGS.items():
+        out = f"replace({out}, '{spelling}', '{common}')"
+    return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+
+
+def _joined(lines: str) -> str:
+    return rf"nullif(trim(regexp_replace({lines}, '\s+', ' ', 'g')), '')"
+
+
+_KNOWN = ", ".join(
+    f"({_quoted(name)}, {_quoted(text)})"
+    for table in (TEXTS, NOTICES)
+    for name, texts in table.items()
+    for text in texts
+)
+
+OP10 = f"""
+WITH known AS (
+  SELECT {_joined(_canonical_lines("text"))} AS form, min(licence) AS licence
+  FROM (VALUES {_KNOWN}) AS k(licence, text) GROUP BY 1),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical_lines("text")} AS lines
+  FROM documents),
+inner_ AS (
+  SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences_inside
+  FROM (SELECT r, trim(unnest(string_split(lines, chr(10)))) AS form FROM d)
+  JOIN known USING (form) GROUP BY r)
+SELECT doc_id, sha256({_joined("lines")}) AS licence_digest, licence,
+  coalesce(licences_inside, '') AS licences_inside
+FROM d LEFT JOIN known ON known.form = {_joined("lines")} LEFT JOIN inner_ USING (r)
+"""
+
 ORACLES = {
     "op5_minhash_near_dedup": OP5,
     "op8_benchmark_decontamination": OP8,
+    "op9_chat_formatting": OP9,
+    "op10_license_scans": OP10,
 }
