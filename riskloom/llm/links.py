@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import scratch
 
+# Steps in one plan before its result is written and compared with the one before.
+STEPS_PER_TABLE = 2
+
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with the least neighbour of u, or u itself if that is less."""
@@ -45,20 +48,18 @@ def components(edges: DataFrame) -> DataFrame:
     Pairs with a null side or of a node with itself say nothing. Nodes without a pair are
     not in the result. Repeated pairs count once.
     """
-    current = (
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
+    current = edges.where("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    current = scratch.staged(current, "edges")
-    seen = _digest(current)
-    while seen[0]:
-        current = scratch.staged(_small_star(_large_star(current)), "edges")
+    seen = None
+    while True:
+        for _ in range(STEPS_PER_TABLE):
+            current = _small_star(_large_star(current))
+        current = scratch.staged(current, "edges")
         now = _digest(current)
-        if now == seen:
+        if now == seen or not now[0]:
             break
         seen = now
-    roots = current.select(F.col("v").alias("node")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        roots.select("node", F.col("node").alias("component"))
+        current.select("v", "v").distinct()
     )

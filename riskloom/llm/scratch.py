@@ -29,7 +29,7 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     """Write the frame and return the written table."""
     spark = frame.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    frame.write.option("compression", "zstd").parquet(path)
+    frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
