@@ -2,35 +2,49 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators import segments
+# Buckets per doubling of the absolute value.
+_BUCKETS_PER_DOUBLING = 4096
 
 
-def _ranked_values(
-    rows: DataFrame, group: str, value: str, segment_values: int
-) -> DataFrame:
+def _known(rows: DataFrame, value: str) -> DataFrame:
+    """Rows with a value: neither NULL nor NaN is one."""
+    return rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+
+
+def _bucket(value: str) -> Column:
+    """A number that never falls as the value grows, of bounded range: its logarithm."""
+    number = F.col(value).cast("double")
+    height = F.floor(F.log2(F.abs(number) + 1) * _BUCKETS_PER_DOUBLING)
+    return F.signum(number) * height
+
+
+def _ranked_values(rows: DataFrame, group: str, value: str) -> DataFrame:
     """Distinct values per group with the ranks they cover: ``rank_from``..``rank_to``.
 
-    Equal values are counted before anything is ordered, so one value may hold any
-    share of the rows; the distinct values are ordered in segments.
+    Equal values are counted before anything is ordered, so one value may hold any share
+    of the rows. Distinct values are ordered within buckets of their logarithm, and the
+    buckets' totals, of which a group has a bounded number, are cumulated.
     """
-    segments.ensure_checkpoint_dir(rows.sparkSession)
-    counts = rows.groupBy(group, value).agg(F.count("*").alias("_n")).checkpoint()
-    parts = max(1, math.ceil(counts.count() / segment_values))
-    placed = segments.place(counts, parts, group, [value])
-    if parts > 1:
-        placed = segments.with_carry(placed, group, {"_before": F.sum("_n")})
-        before = F.coalesce("_before", F.lit(0))
-    else:
-        before = F.lit(0)
-    up_to = F.sum("_n").over(segments.within(group, [value])) + before
-    return placed.select(group, value, "_n", up_to.alias("rank_to")).withColumn(
-        "rank_from", F.col("rank_to") - F.col("_n") + 1
+    counts = _known(rows, value).groupBy(group, value).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_bucket", _bucket(value))
+    totals = counts.groupBy(group, "_bucket").agg(F.sum("_n").alias("_in_bucket"))
+    earlier = (
+        Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = totals.select(
+        group, "_bucket", F.coalesce(F.sum("_in_bucket").over(earlier), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy(group, "_bucket").orderBy(value)
+    up_to = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (
+        counts.join(before, [group, "_bucket"])
+        .select(group, value, "_n", (up_to + F.col("_before")).alias("rank_to"))
+        .withColumn("rank_from", F.col("rank_to") - F.col("_n") + 1)
     )
 
 
@@ -44,14 +58,13 @@ def _with_totals(ranked: DataFrame, group: str) -> DataFrame:
 
 
 def nearest_rank(
-    rows: DataFrame,
-    group: str,
-    value: str,
-    quantiles: dict[str, float],
-    segment_values: int = 1_000_000,
+    rows: DataFrame, group: str, value: str, quantiles: dict[str, float]
 ) -> DataFrame:
-    """Nearest-rank percentiles per group: the value at rank max(1, ceil(q * n))."""
-    ranked = _with_totals(_ranked_values(rows, group, value, segment_values), group)
+    """Nearest-rank percentiles per group: the value at rank max(1, ceil(q * n)).
+
+    NULL and NaN are no values; a group without values has no row.
+    """
+    ranked = _with_totals(_ranked_values(rows, group, value), group)
 
     def rank(q: float) -> Column:
         return F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("_total")))
@@ -63,11 +76,13 @@ def nearest_rank(
     )
 
 
-def summary(
-    rows: DataFrame, group: str, value: str, segment_values: int = 1_000_000
-) -> DataFrame:
-    """n, mean, median, sample deviation, coefficient of variation, min and max."""
-    ranked = _with_totals(_ranked_values(rows, group, value, segment_values), group)
+def summary(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """n, mean, median, sample deviation, coefficient of variation, min and max.
+
+    NULL and NaN are no values; a group without values has no row.
+    """
+    rows = _known(rows, value)
+    ranked = _with_totals(_ranked_values(rows, group, value), group)
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor(F.col("_total") / 2) + 1
     medians = ranked.groupBy(group).agg(

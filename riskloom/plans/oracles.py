@@ -374,6 +374,13 @@ FROM ({_contract(1)} UNION ALL {_contract(2)}) GROUP BY 1, 2""",
     AS decode_failure,
   CASE WHEN d IN (0, 3) THEN '' ELSE payload_sha256 END AS payload_sha256,
   CASE WHEN d IN (0, 3) THEN -1 ELSE original_payload_bytes END AS original_payload_bytes
+FROM (SELECT *, (source_offset // 2) % 6 AS d FROM poison)""",
+        "quarantine_faults": f"""{_WITH_RAW} SELECT quarantine_id AS key, CASE d
+    WHEN 0 THEN 'invalid quarantine record: quarantine_id must not be blank'
+    WHEN 1 THEN 'invalid quarantine record: unknown failure_reason'
+    WHEN 2 THEN 'invalid quarantine record: payload_sha256 must be 64 lowercase hex characters'
+    WHEN 3 THEN 'invalid quarantine record: payload_base64 must be valid base64'
+    ELSE '' END AS decode_failure
 FROM (SELECT *, (source_offset // 2) % 6 AS d FROM poison)""",
         "quarantine_integrity": f"""{_WITH_RAW} SELECT quarantine_id AS id, CASE d
     WHEN 0 THEN 'quarantine_id must match the source coordinate'
@@ -396,6 +403,14 @@ FROM (SELECT *, (source_offset // 2) % 8 AS d FROM poison)""",
   count(*) AS arrivals, count(DISTINCT actor_id) AS actors FROM sent
 WHERE CAST(k AS INTEGER) IN (SELECT * FROM range(0, 100, 9))
   AND event_type IN ('CONTENT_REPORT', 'USER_BLOCK') GROUP BY 1, 2""",
+        "rule_validation_gaps": """WITH per AS (SELECT user_id AS u, count(*) AS n,
+    floor(avg(value)) AS mean FROM events GROUP BY 1)
+SELECT CAST(u AS INTEGER) AS rule_pos, concat_ws('; ',
+  CASE WHEN u % 11 = 0 OR u % 13 = 0 THEN 'rule_id must be non-blank text' END,
+  CASE WHEN u % 3 = 0 OR u % 5 = 0 OR u % 7 = 0 OR mean < 0 THEN 'invalid rule thresholds' END,
+  CASE WHEN u % 4 = 0 THEN 'risk_score must be in [0,100]' END,
+  CASE WHEN u % 5 = 0 THEN 'minimum_events above history cap' END) AS violations
+FROM per""",
         "rule_validation_report": f"""WITH per AS (SELECT user_id AS u, count(*) AS n,
     floor(avg(value)) AS mean, bool_or(event_type = 'view') AS has_view
   FROM events GROUP BY 1),
@@ -514,6 +529,21 @@ SELECT event_type, max(n) AS n, {percentiles}, max(latency_ms) AS max FROM o GRO
   CASE WHEN avg(value) > 0 THEN round(coalesce(stddev_samp(value), 0) / avg(value) * 100, 6) END
     AS coefficient_of_variation_percent,
   min(value) AS min, max(value) AS max FROM events GROUP BY 1""",
+        "summary_with_gaps": """WITH v AS (SELECT event_type,
+    CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)
+SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean,
+  round(median(value), 6) AS median,
+  round(coalesce(stddev_samp(value), 0), 6) AS sample_standard_deviation,
+  avg(value) > 0 AS coefficient_of_variation_applicable,
+  CASE WHEN avg(value) > 0 THEN round(coalesce(stddev_samp(value), 0) / avg(value) * 100, 6) END
+    AS coefficient_of_variation_percent,
+  min(value) AS min, max(value) AS max FROM v GROUP BY 1""",
+        "percentiles_with_gaps": """WITH o AS (
+  SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) AS r,
+    count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE event_id % 7 <> 0)
+SELECT event_type, max(n) AS n, max(value) FILTER (r = ceil(0.5 * n)) AS p50,
+  max(value) FILTER (r = ceil(0.95 * n)) AS p95,
+  max(value) FILTER (r = ceil(0.99 * n)) AS p99, max(value) AS max FROM o GROUP BY 1""",
         "sequence_drift": """WITH s AS (SELECT event_type, CAST(ts AS DATE) AS day,
     CAST(count(*) AS DOUBLE) AS rate FROM events GROUP BY 1, 2),
 i AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY day) AS i,

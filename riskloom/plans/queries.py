@@ -268,6 +268,43 @@ def quarantine_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def quarantine_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded evidence with two faults, or one that is easily overlooked, read back."""
+    value = F.col("value")
+    damage = (F.regexp_extract("key", r":(\d+)$", 1).cast("bigint") / 2).cast("bigint") % 6
+
+    def changed(*changes: tuple[str, str]):
+        out = value
+        for pattern, replacement in changes:
+            out = F.regexp_replace(out, pattern, replacement)
+        return out
+
+    damaged = (
+        F.when(
+            damage == 0,
+            changed(
+                (r'"quarantine_id":"[^"]*"', '"quarantine_id":" "'),
+                (r'"source_partition":\d+', '"source_partition":"x"'),
+            ),
+        )
+        .when(
+            damage == 1,
+            changed(
+                (r'"failure_reason":"[^"]*"', '"failure_reason":"OTHER"'),
+                (r'"failure_message":"[^"]*"', '"failure_message":5'),
+            ),
+        )
+        .when(damage == 2, changed((r'("payload_sha256":"[0-9a-f]+)"', r'$1\\n"')))
+        .when(damage == 3, changed((r'"payload_base64":"', '"payload_base64":" ')))
+        .otherwise(value)
+    )
+    encoded = quarantine.encode(_quarantined(spark, sf_dir)).withColumn("value", damaged)
+    return quarantine.decode(encoded).select(
+        "key", F.coalesce("decode_failure", F.lit("")).alias("decode_failure")
+    )
+
+
 @query
 def quarantine_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Evidence with every second row damaged in one of four ways, then checked."""
@@ -375,6 +412,32 @@ def rule_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rule_validation_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate rules of every actor with missing thresholds and blank ids, validated."""
+    actor = F.col("user_id")
+    per_actor = (
+        tables.events_table(spark, sf_dir)
+        .groupBy("user_id")
+        .agg(F.count("*").alias("n"), F.floor(F.avg("value")).cast("bigint").alias("mean"))
+    )
+    candidates = per_actor.select(
+        actor.cast("int").alias("rule_pos"),
+        F.when(actor % 11 == 0, F.lit("\t\n"))
+        .when(actor % 13 != 0, F.concat(F.lit("rule-user-"), actor.cast("string")))
+        .alias("rule_id"),
+        F.when(actor % 3 != 0, F.lit(HOUR_MS)).cast("bigint").alias("window_ms"),
+        F.when(actor % 5 != 0, F.col("n")).alias("minimum_events"),
+        F.when(actor % 7 != 0, F.col("mean")).alias("minimum_severity_sum"),
+        F.when(actor % 4 != 0, F.lit(50)).cast("int").alias("risk_score"),
+        F.array().cast("array<string>").alias("event_types"),
+        F.create_map().cast("map<string,string>").alias("required_attributes"),
+    )
+    found = rules.violations(candidates, history_cap=1_000_000_000)
+    listed = F.array_join(F.array_remove("violations", "duplicate rule_id"), "; ")
+    return found.select("rule_pos", listed.alias("violations"))
+
+
 # ---- Duplicates ---------------------------------------------------------------------
 
 
@@ -590,6 +653,28 @@ def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumns({c: F.round(c, 6) for c in rounded})
 
 
+def _values_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gap = F.col("event_id") % 7 == 0
+    return tables.events_table(spark, sf_dir).select(
+        "event_type", F.when(~gap, F.col("value")).alias("value")
+    )
+
+
+@query
+def summary_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of values some of which are missing."""
+    result = statistics.summary(_values_with_gaps(spark, sf_dir), "event_type", "value")
+    rounded = ("mean", "median", "sample_standard_deviation", "coefficient_of_variation_percent")
+    return result.withColumns({c: F.round(c, 6) for c in rounded})
+
+
+@query
+def percentiles_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantiles = {"p50": 0.50, "p95": 0.95, "p99": 0.99}
+    values = _values_with_gaps(spark, sf_dir)
+    return statistics.nearest_rank(values, "event_type", "value", quantiles)
+
+
 @query
 def sequence_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trend of the daily event rate per event type."""
