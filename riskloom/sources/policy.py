@@ -22,73 +22,85 @@ RULE_FIELDS = (
 # ---- End of fixed values ----
 
 
+def _is_whole(value: object) -> bool:
+    return isinstance(value, int) and not isinstance(value, bool)
+
+
+def _is_text_map(value: object) -> bool:
+    return isinstance(value, dict) and all(isinstance(v, str) for v in value.values())
+
+
+def _names_events(value: object) -> bool:
+    return isinstance(value, list) and all(v in schemas.EVENT_TYPES for v in value)
+
+
+# What every field of a rule must be; fields with a default may be absent.
+_REQUIRED = object()
+_CHECKS = {
+    "rule_id": (
+        _REQUIRED,
+        lambda v: isinstance(v, str) and bool(v.strip()),
+        "a text that is not blank",
+    ),
+    **{name: (_REQUIRED, _is_whole, "a whole number") for name in RULE_FIELDS[1:5]},
+    "event_types": ([], _names_events, "a list of known event types"),
+    "required_attributes": ({}, _is_text_map, "an object of texts"),
+}
+
+
 class PolicyError(ValueError):
-    """The policy file does not hold a usable rule set."""
+    """The policy file does not hold a usable rule set; says everything that is wrong."""
 
 
 def load_policy(spark: SparkSession, path: str) -> tuple[Rule, ...]:
     """Read one policy file through Spark, so any file system Spark knows works."""
-    rows = spark.read.text(path, wholetext=True).take(2)
-    if len(rows) != 1:
-        raise PolicyError("expected exactly one policy file")
-    return parse_policy(rows[0][0])
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) != 1:
+        raise PolicyError(f"{path} must be one file")
+    return parse_policy(files[0].value)
 
 
 def parse_policy(text: str) -> tuple[Rule, ...]:
+    """The rules of a policy text. What follows its JSON value is ignored."""
     try:
-        root, _ = json.JSONDecoder().raw_decode(text.lstrip())
+        policy, _ = json.JSONDecoder().raw_decode(text.lstrip())
     except json.JSONDecodeError as error:
-        raise PolicyError(f"malformed JSON: {error}") from error
-    if not isinstance(root, dict):
-        raise PolicyError("rule config must be an object")
-    _only_known(root, ("rules",), "root")
-    entries = root.get("rules")
-    if not isinstance(entries, list) or not entries:
-        raise PolicyError("rules must be a non-empty array")
-    rules: list[Rule] = []
-    for entry in entries:
-        rule = _rule(entry)
-        if any(rule.rule_id == other.rule_id for other in rules):
-            raise PolicyError(f"duplicate rule_id: {rule.rule_id}")
-        rules.append(rule)
+        raise PolicyError(f"the policy is no JSON: {error}") from error
+    entries = policy.get("rules") if isinstance(policy, dict) else None
+    if not isinstance(entries, list) or not entries or len(policy) > 1:
+        raise PolicyError("a policy is an object with nothing but a list of rules")
+    wrong = [
+        f"rule {place}: {problem}"
+        for place, entry in enumerate(entries)
+        for problem in _problems(entry)
+    ]
+    if wrong:
+        raise PolicyError("; ".join(wrong))
+    rules = [_rule(entry) for entry in entries]
+    repeated = {r.rule_id for r in rules if sum(o.rule_id == r.rule_id for o in rules) > 1}
+    if repeated:
+        raise PolicyError(f"rule ids occur more than once: {sorted(repeated)}")
     return tuple(rules)
 
 
-def _rule(entry: object) -> Rule:
+def _problems(entry: object) -> list[str]:
     if not isinstance(entry, dict):
-        raise PolicyError("rule_id must be non-blank text")
-    _only_known(entry, RULE_FIELDS, "rule")
-    rule_id = entry.get("rule_id")
-    if not isinstance(rule_id, str) or not rule_id.strip():
-        raise PolicyError("rule_id must be non-blank text")
-    types = entry.get("event_types", [])
-    if not isinstance(types, list):
-        raise PolicyError("event_types must be an array")
-    for name in types:
-        if name not in schemas.EVENT_TYPES:
-            raise PolicyError(f"unknown event_type: {name}")
-    attributes = entry.get("required_attributes", {})
-    if not isinstance(attributes, dict):
-        raise PolicyError("required_attributes must be an object")
-    if not all(isinstance(v, str) for v in attributes.values()):
-        raise PolicyError("required attribute values must be strings")
-    numbers = {name: _whole(entry, name) for name in RULE_FIELDS[1:5]}
-    # The score is narrowed to 32 bits before its range is checked.
-    numbers["risk_score"] = (numbers["risk_score"] + 2**31) % 2**32 - 2**31
+        return ["must be an object"]
+    found = [f"{name} is not a field of a rule" for name in entry if name not in _CHECKS]
+    for name, (default, is_right, wanted) in _CHECKS.items():
+        if not is_right(entry.get(name, None if default is _REQUIRED else default)):
+            found.append(f"{name} must be {wanted}")
+    return found
+
+
+def _rule(entry: dict) -> Rule:
+    given = {
+        name: entry.get(name, default) for name, (default, _, _) in _CHECKS.items()
+    }
+    # The score is a 32-bit number, as the wire contract's reader takes it.
+    given["risk_score"] = (given["risk_score"] + 2**31) % 2**32 - 2**31
+    given["event_types"] = tuple(dict.fromkeys(given["event_types"]))
     try:
-        return Rule(rule_id, *numbers.values(), tuple(dict.fromkeys(types)), attributes)
+        return Rule(**given)
     except ValueError as error:
-        raise PolicyError(f"invalid rule {rule_id}: {error}") from error
-
-
-def _only_known(node: dict, known: tuple[str, ...], where: str) -> None:
-    for name in node:
-        if name not in known:
-            raise PolicyError(f"unknown {where} field: {name}")
-
-
-def _whole(entry: dict, name: str) -> int:
-    value = entry.get(name)
-    if isinstance(value, bool) or not isinstance(value, int):
-        raise PolicyError(f"{name} must be an integer")
-    return value
+        raise PolicyError(f"rule {given['rule_id']}: {error}") from error

@@ -1,4 +1,6 @@
+import base64
 import datetime as dt
+import hashlib
 import json
 import random
 
@@ -11,17 +13,17 @@ from riskloom.operators.signals import risk_signals
 from riskloom.operators.timeline import Evaluation
 from riskloom.sources.records import SOURCE_ORDER
 
-AT = dt.datetime(2026, 8, 18, 12)
+AT = dt.datetime(2031, 4, 9, 7, 30)
 BASE = {
+    "attributes": {"channel": "live", "lang": "pt"},
+    "severity": 62,
+    "event_type": "USER_BLOCK",
+    "content_id": "clip/0031",
+    "actor_id": "member:árvore",
+    "ingested_at": "2031-04-09T07:30:04.250Z",
+    "occurred_at": "2031-04-09T07:30:00Z",
+    "event_id": "9f2c",
     "schema_version": 1,
-    "event_id": "evt-1",
-    "occurred_at": "2026-08-18T12:00:00Z",
-    "ingested_at": "2026-08-18T12:00:01Z",
-    "actor_id": "user-7",
-    "content_id": "video-9",
-    "event_type": "CONTENT_REPORT",
-    "severity": 45,
-    "attributes": {"country": "US"},
 }
 
 
@@ -34,7 +36,7 @@ def raw_frame(spark, payloads):
         (
             None,
             None if p is None else bytearray(p if isinstance(p, bytes) else p.encode()),
-            "safety-events",
+            "reports.eu",
             0,
             i,
             AT,
@@ -49,7 +51,7 @@ def decoded(spark, payloads):
 
 
 BAD = "invalid safety event: "
-V2 = {"schema_version": 2, "tenant_id": "tenant-a"}
+V2 = {"schema_version": 2, "tenant_id": "forum"}
 REJECTED = [
     (None, "NULL_PAYLOAD", "Kafka record value is null"),
     ("not-json", "MALFORMED_JSON", "malformed JSON"),
@@ -75,7 +77,7 @@ REJECTED = [
     (text(event_type="NOPE"), "CONTRACT_VIOLATION", BAD + "unknown event_type: NOPE"),
     (text(severity=101), "CONTRACT_VIOLATION", BAD + "severity must be in [0,100]"),
     (text(severity=-1), "CONTRACT_VIOLATION", BAD + "severity must be in [0,100]"),
-    (text(severity="45"), "CONTRACT_VIOLATION", BAD + "severity must be integer"),
+    (text(severity="62"), "CONTRACT_VIOLATION", BAD + "severity must be integer"),
     (text(attributes=[]), "CONTRACT_VIOLATION", BAD + "attributes must be object"),
     (text(attributes={"a": 1}), "CONTRACT_VIOLATION", BAD + "attribute values must be strings"),
     (text(attributes={"a": None}), "CONTRACT_VIOLATION", BAD + "attribute values must be strings"),
@@ -93,43 +95,43 @@ def test_accepted_events(spark):
         spark,
         [
             text(),
-            text(**V2, trace_id="trace-9"),
-            text(severity=45.9, schema_version=1.9),
+            text(**V2, trace_id="span-4c"),
+            text(severity=62.9, schema_version=1.9),
             text(["content_id"], attributes=None),
-            text()[:-1] + ',"severity":46}',
+            text()[:-1] + ',"severity":17}',
             b"\xef\xbb\xbf" + text().encode(),
             text(attributes={"k": "x" * 100_000}),
         ],
     )
     assert v1.failure_reason is None
-    assert (v1.event.tenant_id, v1.event.trace_id) == ("default", "evt-1")
-    assert v1.event.attributes == {"country": "US"}
+    assert (v1.event.tenant_id, v1.event.trace_id) == ("default", BASE["event_id"])
+    assert v1.event.attributes == BASE["attributes"]
     assert v1.event.occurred_at == AT
-    assert (v2.event.tenant_id, v2.event.trace_id) == ("tenant-a", "trace-9")
-    assert (cut.event.severity, cut.event.schema_version) == (45, 1)
+    assert (v2.event.tenant_id, v2.event.trace_id) == ("forum", "span-4c")
+    assert (cut.event.severity, cut.event.schema_version) == (62, 1)
     assert (plain.event.content_id, plain.event.attributes) == (None, {})
-    assert twice.event.severity == 46
-    assert marked.event.event_id == "evt-1"
+    assert twice.event.severity == 17
+    assert marked.event.event_id == BASE["event_id"]
     assert len(huge.event.attributes["k"]) == 100_000
 
 
 @pytest.mark.parametrize(
     "instant, expected",
     [
-        ("2026-08-18T12:00:00.5Z", AT + dt.timedelta(milliseconds=500)),
-        ("2026-08-18T12:00:00.123456789Z", AT + dt.timedelta(microseconds=123456)),
-        ("2026-08-18T14:00:00+02:00", AT),
-        ("2026-08-18t12:00:00z", AT),
-        ("2026-08-18T12:00:00.Z", AT),
-        ("2026-08-17T24:00:00Z", AT - dt.timedelta(hours=12)),
-        ("2026-08-17T23:59:60Z", AT - dt.timedelta(hours=12, seconds=1)),
-        ("2026-08-18T12:00Z", None),
-        ("2026-08-18 12:00:00Z", None),
-        ("2026-08-18", None),
-        ("2026-08-18T12:00:00", None),
-        ("2026-02-30T12:00:00Z", None),
-        ("2026-08-18T12:00:00Z\n", None),
-        ("2026-08-18T12:00:00 UTC", None),
+        ("2031-04-09T07:30:00.5Z", AT + dt.timedelta(milliseconds=500)),
+        ("2031-04-09T07:30:00.123456789Z", AT + dt.timedelta(microseconds=123456)),
+        ("2031-04-09T10:30:00+03:00", AT),
+        ("2031-04-09t07:30:00z", AT),
+        ("2031-04-09T07:30:00.Z", AT),
+        ("2031-04-08T24:00:00Z", AT - dt.timedelta(hours=7, minutes=30)),
+        ("2031-04-08T23:59:60Z", AT - dt.timedelta(hours=7, minutes=30, seconds=1)),
+        ("2031-04-09T07:30Z", None),
+        ("2031-04-09 07:30:00Z", None),
+        ("2031-04-09", None),
+        ("2031-04-09T07:30:00", None),
+        ("2031-02-30T07:30:00Z", None),
+        ("2031-04-09T07:30:00Z\n", None),
+        ("2031-04-09T07:30:00 UTC", None),
     ],
 )
 def test_instants(spark, instant, expected):
@@ -181,33 +183,31 @@ def test_evidence(spark):
     assert (none.failure_reason, none.payload_base64, none.original_payload_bytes) == (
         "NULL_PAYLOAD", "", 0,
     )
-    assert small.quarantine_id == "safety-events:0:1"
+    assert small.quarantine_id == "reports.eu:0:1"
     assert (small.original_payload_bytes, small.payload_truncated) == (8, False)
-    assert small.payload_base64 == "bm90LWpzb24="
-    assert small.payload_sha256 == (
-        "0c21a879c732a67910d80988df4919d794f6a070aab610ef865032a28046b021"
-    )
+    assert base64.b64decode(small.payload_base64) == b"not-json"
+    assert small.payload_sha256 == hashlib.sha256(b"not-json").hexdigest()
     assert large.payload_truncated and large.original_payload_bytes == 262_145
     assert len(large.payload_base64) == 4 * -(-262_144 // 3)
-    assert large.payload_sha256 == (
-        "9408817bc040328d1c403ff97e94cea3dfd3a361b2fb7ecc7af75ff3a5157139"
-    )
+    assert large.payload_sha256 == hashlib.sha256(big).hexdigest()
 
 
+POISON = b"<?xml?>"
 RECORD = {
     "schema_version": 1,
-    "quarantine_id": "events:2:19",
-    "source_topic": "events",
-    "source_partition": 2,
-    "source_offset": 19,
-    "source_timestamp": 1234,
-    "failure_reason": "CONTRACT_VIOLATION",
-    "failure_message": "severity must be in [0,100]",
-    "original_payload_bytes": 2,
+    "quarantine_id": "reports.eu:11:70507",
+    "source_topic": "reports.eu",
+    "source_partition": 11,
+    "source_offset": 70507,
+    "source_timestamp": 1_933_486_200_000,
+    "failure_reason": "MALFORMED_JSON",
+    "failure_message": "malformed JSON",
+    "original_payload_bytes": len(POISON),
     "payload_truncated": False,
-    "payload_base64": "e30=",
-    "payload_sha256": "a" * 64,
+    "payload_base64": base64.b64encode(POISON).decode(),
+    "payload_sha256": hashlib.sha256(POISON).hexdigest(),
 }
+INVALID = "invalid quarantine record: "
 
 
 def test_quarantine_records_read_back_strictly(spark):
@@ -215,9 +215,9 @@ def test_quarantine_records_read_back_strictly(spark):
         json.dumps(RECORD),
         json.dumps({**RECORD, "surprise": 1}),
         json.dumps(RECORD) + "{}",
-        json.dumps({**RECORD, "original_payload_bytes": 3}),
-        json.dumps({**RECORD, "payload_sha256": "z" + "a" * 63}),
-        json.dumps({**RECORD, "quarantine_id": "events:2:20"}),
+        json.dumps({**RECORD, "original_payload_bytes": 8}),
+        json.dumps({**RECORD, "payload_sha256": "z" + RECORD["payload_sha256"][1:]}),
+        json.dumps({**RECORD, "quarantine_id": "reports.eu:11:70508"}),
         json.dumps({**RECORD, "payload_truncated": "no"}),
         json.dumps({**RECORD, "failure_message": ""}),
         json.dumps({**RECORD, "payload_base64": "*"}),
@@ -244,8 +244,27 @@ def test_quarantine_records_read_back_strictly(spark):
     assert list(json.loads(encoded.first().value)) == list(RECORD)
 
 
+@pytest.mark.parametrize(
+    "changes, failure",
+    [
+        ({"quarantine_id": " ", "source_partition": "x"}, "quarantine_id must not be blank"),
+        ({"failure_reason": "OTHER", "failure_message": 5}, "unknown failure_reason"),
+        ({"source_partition": -1, "failure_reason": "OTHER"}, "unknown failure_reason"),
+        (
+            {"payload_sha256": RECORD["payload_sha256"] + "\n"},
+            "payload_sha256 must be 64 lowercase hex characters",
+        ),
+        ({"payload_base64": "PD94 bWw/Pg=="}, "payload_base64 must be valid base64"),
+        ({"payload_base64": "PD94bWw/Pg==\n"}, "payload_base64 must be valid base64"),
+    ],
+)
+def test_the_first_failure_of_a_quarantine_record(spark, changes, failure):
+    frame = spark.createDataFrame([(json.dumps({**RECORD, **changes}),)], "value string")
+    assert quarantine.decode(frame).first().decode_failure == INVALID + failure
+
+
 def test_contracts_separate_the_versions(spark):
-    raw = raw_frame(spark, [text(), text(**V2), text(severity=45.9), "1"])
+    raw = raw_frame(spark, [text(), text(**V2), text(severity=62.9), "1"])
 
     def violations(version):
         rows = contracts.contract_violations(raw, version).orderBy("offset").collect()
