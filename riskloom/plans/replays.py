@@ -13,7 +13,7 @@ from riskloom.operators.decode import accepted_events, decode_records
 from riskloom.operators.timeline import Evaluation
 from riskloom.plans import tables
 from riskloom.plans.tables import POLICY
-from riskloom.session import ensure_checkpoint_dir, prepare_streaming
+from riskloom.session import ensure_checkpoint_dir, prepare_streaming, settings
 from riskloom.sources import records
 from riskloom.streaming import pipeline
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable
@@ -32,7 +32,6 @@ class Replay:
         self, spark: SparkSession, sf_dir: str, slices: int = 1, **options: int
     ) -> None:
         prepare_streaming(spark)
-        pipeline.bounded_settings(spark)
         ensure_checkpoint_dir(spark)
         root = f"{spark.sparkContext.getCheckpointDir()}/replay-{uuid.uuid4()}"
         self.checkpoint, self.records = f"{root}/checkpoint", f"{root}/records"
@@ -54,16 +53,12 @@ class Replay:
     def _start(self, spec: Evaluation, options: dict[str, int]) -> StreamingQuery:
         """Starts the query with a state partition per core; a query keeps the settings
         it was started with."""
-        partitions = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(partitions)
-        self.spark.conf.set(partitions, self.spark.sparkContext.defaultParallelism)
-        try:
+        per_core = {"spark.sql.shuffle.partitions": str(self.spark.sparkContext.defaultParallelism)}
+        with settings(self.spark, per_core):
             stream = records.file_stream(self.spark, self.records)
             return pipeline.start_signals(
                 stream, spec, self.stores, self.checkpoint, bounded=True, **options
             )
-        finally:
-            self.spark.conf.set(partitions, before)
 
     def events(self) -> DataFrame:
         raw = records.file_batch(self.spark, self.records)

@@ -6,11 +6,12 @@ import json
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.operators import decode, quarantine
 from riskloom.operators.timeline import Evaluation
+from riskloom.session import settings
 from riskloom.sources.records import SOURCE_ORDER
 from riskloom.streaming.processor import stream_signals
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable, to_stores
@@ -52,7 +53,7 @@ def start_signals(
         .option("checkpointLocation", f"{checkpoint}/signals")
         .foreachBatch(to_stores(to_hot_state, stores.history.append))
     )
-    return _start(writer, bounded)
+    return _start(raw.sparkSession, writer, bounded)
 
 
 def start_quarantine(
@@ -65,7 +66,7 @@ def start_quarantine(
         .option("checkpointLocation", f"{checkpoint}/quarantine")
         .foreachBatch(stores.quarantine.append)
     )
-    return _start(writer, bounded)
+    return _start(raw.sparkSession, writer, bounded)
 
 
 def quarantine_to_kafka(
@@ -86,17 +87,17 @@ def quarantine_to_kafka(
     )
 
 
-def _start(writer, bounded: bool) -> StreamingQuery:
-    return (writer.trigger(availableNow=True) if bounded else writer).start()
+# A processing-time stateful query asks for another empty batch for ever, since a timer
+# may be due, and a bounded run would not end. Without empty batches timers fire in
+# batches that carry data.
+_BOUNDED = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
-def bounded_settings(spark) -> None:
-    """Let bounded runs end.
-
-    A processing-time stateful query asks for another empty batch for ever, since a
-    timer may be due; without empty batches timers fire in batches that carry data.
-    """
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+def _start(spark: SparkSession, writer, bounded: bool) -> StreamingQuery:
+    if not bounded:
+        return writer.start()
+    with settings(spark, _BOUNDED):
+        return writer.trigger(availableNow=True).start()
 
 
 def pending_records(progress) -> int:
@@ -120,5 +121,16 @@ def _offsets(reported: str | None) -> dict:
     return offsets if kafka else {}
 
 
-def completed_batches(query: StreamingQuery) -> int:
-    return len({progress.batchId for progress in query.recentProgress})
+def completed_batches(spark: SparkSession, checkpoint: str) -> int:
+    """Micro-batches a query has committed, over all its runs.
+
+    Read from the commit log in its checkpoint folder: progress reports are kept for the
+    last few batches only. Batch numbers start at 0 and old log files may have been
+    removed, so the highest number counts.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return 0
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    return max((int(name) + 1 for name in names if name.isdigit()), default=0)

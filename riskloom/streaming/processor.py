@@ -48,7 +48,7 @@ _ROW = T.StructType(
         T.StructField("occurred_us", T.LongType()),
         T.StructField("severity", T.IntegerType()),
         T.StructField("matched", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("timestamp", T.LongType()),
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
@@ -198,14 +198,15 @@ def stream_signals(
         for rule in spec.rules
     ]
     bucket = F.pmod(F.xxhash64("actor_id", "event_id"), F.lit(seen_buckets))
+    # Only numbers and texts go to Python: pandas cannot hold every instant Spark can.
+    order = [F.unix_micros(c).alias(c) if c == "timestamp" else F.col(c) for c in SOURCE_ORDER]
     slim = events.withWatermark("occurred_at", WATERMARK_DELAY).select(
         "actor_id",
         "event_id",
-        "occurred_at",
         F.unix_micros("occurred_at").alias("occurred_us"),
         F.col("severity").cast("int").alias("severity"),
         F.concat(*matched).alias("matched"),
-        *SOURCE_ORDER,
+        *order,
         bucket.alias("bucket"),
     )
     fresh = slim.groupBy("bucket").transformWithStateInPandas(

@@ -13,12 +13,11 @@ from riskloom.streaming import pipeline
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable
 from tests import brute
 
-START = dt.datetime(2026, 8, 18, 12)
+START = dt.datetime(2031, 4, 9, 12)
 
 
 @pytest.fixture
 def stores(spark, tmp_path):
-    pipeline.bounded_settings(spark)
     return pipeline.Stores(
         HotStateTable(spark, str(tmp_path / "hot"), snapshot_every=2),
         HistoryTable(spark, str(tmp_path / "history")),
@@ -112,7 +111,7 @@ def test_restart_keeps_state_and_late_events_count(spark, stores, tmp_path):
     hot = stores.hot_state.read(0).collect()
     assert [r.key for r in hot] == ["safety:risk:actor:actor"]
     assert json.loads(hot[0].payload)["triggering_event_id"] == "late"
-    assert json.loads(hot[0].payload)["emitted_at"] == "2026-08-18T12:00:51Z"
+    assert json.loads(hot[0].payload)["emitted_at"] == "2031-04-09T12:00:51Z"
 
 
 @pytest.mark.parametrize("cap", [100_000, 6])
@@ -156,6 +155,23 @@ def test_stream_equals_brute_force_over_several_batches(spark, stores, tmp_path,
     assert hot == last
 
 
+def test_no_valid_instant_stops_the_stream(spark, stores, tmp_path):
+    path = str(tmp_path / "raw")
+    rules = [Rule("r", 60_000, 1, 0, 90)]
+    texts = []
+    for i, year in enumerate(("0001", "1600", "2031", "3000", "9999")):
+        text = json.loads(payload(f"e{i}", 0, 10, f"actor-{year}"))
+        texts.append(json.dumps({**text, "occurred_at": f"{year}-06-01T00:00:00Z"}))
+    deliver(spark, path, texts)
+    before = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled")
+    run(spark, path, rules, stores, tmp_path)
+    deliver(spark, path, [payload("after", 0, 10, "later")], len(texts))
+    run(spark, path, rules, stores, tmp_path)
+    assert len({row[0] for row in found(stores)}) == len(texts) + 1
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == before
+    assert pipeline.completed_batches(spark, str(tmp_path / "checkpoint" / "signals")) == 2
+
+
 def test_recovery_stream(spark, stores, tmp_path):
     path = str(tmp_path / "raw")
     generated.with_poison(spark).write.parquet(path)
