@@ -26,7 +26,6 @@ import json
 from collections.abc import Iterator
 from itertools import chain, islice
 
-import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -35,7 +34,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 # Fixed value: the published split pattern of the byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MOST_VOCABULARY_BYTES = 64 << 20
-# Pieces remembered per Python worker, and pieces of a text handled at once.
+# Pieces remembered per generation and Python worker, and pieces of a text handled at once.
 REMEMBERED = 1 << 17
 PIECES = 1 << 16
 _NEVER = 1 << 60
@@ -50,21 +49,75 @@ def _byte_letters() -> dict[str, int]:
 
 
 class _Remembered(dict):
-    """Encodings of short pieces; starts anew when full."""
+    """Encodings of short pieces, of two generations: what is used again outlives a change."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.encode(piece.encode("utf-8"))
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece.encode("utf-8"))
         if len(piece) <= 64:
             if len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
+class SuffixAutomaton:
+    """Aho-Corasick automaton over byte strings: which of them end at a place.
+
+    ``ends[state]`` holds the strings that are suffixes of what was read, longest first,
+    as (number, length). Moves are looked up in one dictionary, which learns those that
+    go over failure links.
+    """
+
+    def __init__(self, strings: dict[bytes, int]):
+        self.moves: dict[int, int] = {}
+        own: list[tuple[int, int] | None] = [None]
+        for value, number in strings.items():
+            state = 0
+            for byte in value:
+                key = state << 8 | byte
+                state = self.moves.get(key, 0)
+                if not state:
+                    state = self.moves[key] = len(own)
+                    own.append(None)
+            own[state] = (number, len(value))
+        # Children come after their parents, so one pass in order of depth will do.
+        self.failure = [0] * len(own)
+        self.ends: list[tuple[tuple[int, int], ...]] = [()] * len(own)
+        depth = [0] * len(own)
+        edges = list(self.moves.items())
+        for key, state in edges:
+            depth[state] = depth[key >> 8] + 1
+        for key, state in sorted(edges, key=lambda edge: depth[edge[1]]):
+            parent, byte = key >> 8, key & 255
+            if parent:
+                self.failure[state] = self.move(self.failure[parent], byte)
+            shorter = self.ends[self.failure[state]]
+            self.ends[state] = shorter if own[state] is None else (own[state], *shorter)
+
+    def move(self, state: int, byte: int) -> int:
+        """The state after one more byte; the move is known from then on."""
+        path = []
+        while True:
+            key = state << 8 | byte
+            to = self.moves.get(key)
+            if to is not None or not state:
+                break
+            path.append(key)
+            state = self.failure[state]
+        to = to or 0
+        for key in path:
+            self.moves[key] = to
+        return to
+
+
 class Vocabulary:
     """Tokens and merges of a byte-level BPE vocabulary."""
 
@@ -83,15 +136,13 @@ class Vocabulary:
             a, b, whole = ids[left], ids[right], ids[left + right]
             self.merges.setdefault((a, b), rank)
             self.made.setdefault(whole, (rank, a, b))
+        self._right_of: dict[int, dict[int, int]] = {}
+        for (a, b), rank in self.merges.items():
+            self._right_of.setdefault(a, {})[b] = rank
         self._flanks: tuple[dict, dict] = ({}, {})
-        self._compatible: dict[tuple[int, int], bool] = {}
-        self.automaton = ahocorasick.Automaton()
-        self.whole: dict[bytes, int] = {}
-        for i, value in self.bytes_of.items():
-            if self._stands(i):
-                self.automaton.add_word(value.decode("latin-1"), (i, len(value)))
-                self.whole[value] = i
-        self.automaton.make_automaton()
+        self._compatible: dict[int, bool] = {}
+        self.whole = {value: i for i, value in self.bytes_of.items() if self._stands(i)}
+        self.automaton = SuffixAutomaton(self.whole)
         self.added = {x["content"]: x["id"] for x in data.get("added_tokens", [])}
         for content, i in self.added.items():
             self.bytes_of[i] = content.encode("utf-8")
@@ -116,10 +167,12 @@ class Vocabulary:
 
     def _crossing(self, a: int, b: int, below: int = _NEVER) -> bool:
         """Whether a merge of a rank under ``below`` reaches over the border of a and b."""
-        merges = self.merges
         for x, x_made, x_taken in self._flank(a, 1):
+            ranks = self._right_of.get(x)
+            if ranks is None:
+                continue
             for y, y_made, y_taken in self._flank(b, 0):
-                rank = merges.get((x, y))
+                rank = ranks.get(y)
                 # Of equal merges the left one comes first: x is gone, y still there.
                 if (
                     rank is not None
@@ -139,33 +192,44 @@ class Vocabulary:
         return not self._crossing(a, b, rank)
 
     def compatible(self, a: int, b: int) -> bool:
-        known = self._compatible.get((a, b))
+        """Whether no merge reaches over the border of two neighbouring tokens."""
+        key = a << 32 | b
+        known = self._compatible.get(key)
         if known is None:
             known = not self._crossing(a, b)
-            if len(self._compatible) >= 8 * REMEMBERED:
+            if len(self._compatible) >= 4 * REMEMBERED:
                 self._compatible.clear()
-            self._compatible[a, b] = known
+            self._compatible[key] = known
         return known
 
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
         """Ids of a piece, from the last token of each of its prefixes."""
-        known = self.whole.get(piece)
-        if known is not None:
-            return (known,)
-        last = [-1] * (len(piece) + 1)
-        size = [0] * (len(piece) + 1)
-        compatible = self.compatible
-        for end, (token, length) in self.automaton.iter(piece.decode("latin-1")):
+        if piece in self.whole:
+            return (self.whole[piece],)
+        moves, ends, known = self.automaton.moves, self.automaton.ends, self._compatible
+        last, size = [-1], [0]
+        state = end = 0
+        for byte in piece:
             end += 1
-            if last[end] < 0:
-                start = end - length
-                if start == 0 or (last[start] >= 0 and compatible(last[start], token)):
-                    last[end], size[end] = token, length
-        ids, at = [], len(piece)
-        while at:
-            ids.append(last[at])
-            at -= size[at]
-        return tuple(reversed(ids))
+            to = moves.get(state << 8 | byte)
+            state = self.automaton.move(state, byte) if to is None else to
+            for token, length in ends[state]:
+                if length != end:
+                    pair = last[end - length] << 32 | token
+                    fits = known.get(pair)
+                    if fits is None:
+                        fits = self.compatible(pair >> 32, token)
+                    if not fits:
+                        continue
+                last.append(token)
+                size.append(length)
+                break
+        ids = []
+        while end:
+            ids.append(last[end])
+            end -= size[end]
+        ids.reverse()
+        return tuple(ids)
 
     def _plain(self, text: str, at: int, to: int) -> Iterator[list[int]]:
         matches = self._split.finditer(text, at, to)
