@@ -151,7 +151,7 @@ def with_next(spark: SparkSession, documents: DataFrame) -> DataFrame:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / parts for i in range(1, parts)]
     quantiles = slim.approxQuantile("doc_id", shares, 0.1 / parts) if shares else []
-    splits = [-float("inf"), *sorted(set(quantiles)), float("inf")]
+    splits = [-float("inf"), *(sorted(set(quantiles)) or [0.0]), float("inf")]
     named = slim.withColumn("_id", F.col("doc_id").cast("double"))
     cut = Bucketizer(splits=splits, inputCol="_id", outputCol="_part", handleInvalid="keep")
     no_id = F.when(F.col("doc_id").isNull(), -1.0).otherwise(F.col("_part"))
