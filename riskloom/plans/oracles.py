@@ -305,20 +305,18 @@ UNION ALL SELECT 'side:expected', count(*), NULL, {_lanes("")} FROM {expected}
 UNION ALL SELECT 'side:observed', count(*), NULL, {_lanes("")} FROM {observed}"""
 
 
-def _rule_rows() -> str:
-    rows = []
-    for pos, r in enumerate(POLICY):
-        attributes = "{" + ",".join(f'"{k}":"{v}"' for k, v in r.required_attributes.items()) + "}"
-        rows.append(
-            f"SELECT {pos} AS rule_pos, {_quote(r.rule_id)} AS rule_id, "
-            f"CAST({r.window_ms} AS BIGINT) AS window_ms, "
-            f"CAST({r.minimum_events} AS BIGINT) AS minimum_events, "
-            f"CAST({r.minimum_severity_sum} AS BIGINT) AS minimum_severity_sum, "
-            f"{r.risk_score} AS risk_score, {_quote(','.join(r.event_types))} AS event_types, "
-            f"{_quote(attributes)} AS required_attributes, "
-            f"(SELECT count(*) FROM sent WHERE {_matches(r, 'event_type', 'k')}) AS matching_arrivals"
-        )
-    return "\nUNION ALL ".join(rows)
+# The rules of the policy file, written out once more by hand.
+_CATALOG = """c(rule_pos, rule_id, window_ms, minimum_events, minimum_severity_sum, risk_score,
+  event_types, required_attributes) AS (VALUES
+  (0, 'burst-24h', 86400000::BIGINT, 3::BIGINT, 120::BIGINT, 80, '', '{}'),
+  (1, 'reports-6h', 21600000, 2, 20, 60, 'CONTENT_REPORT,POLICY_MATCH', '{}'),
+  (2, 'sustained-72h', 259200000, 5, 150, 90, '', '{}'),
+  (3, 'tagged-48h', 172800000, 1, 10, 70, '', '{"k":"7"}')),
+m AS (SELECT count(*) AS everything,
+  count(*) FILTER (event_type IN ('CONTENT_REPORT', 'POLICY_MATCH')) AS reports,
+  count(*) FILTER (k = '7') AS tagged FROM sent)
+SELECT c.*, CASE rule_pos WHEN 1 THEN reports WHEN 3 THEN tagged ELSE everything END
+  AS matching_arrivals FROM c, m"""
 
 
 def _matched(source: str) -> str:
@@ -346,7 +344,8 @@ def oracles() -> dict[str, str]:
         "multi_topic_union": f"""{_WITH_RAW} SELECT topic, 0 AS partition, count(*) AS records,
   min("offset") AS first_offset, max("offset") AS last_offset,
   CAST(sum(octet_length(encode(payload))) AS BIGINT) AS payload_bytes FROM raw GROUP BY topic""",
-        "rules_catalog": f"WITH {_SRC}, {_SENT} {_rule_rows()}",
+        "rules_catalog": f"WITH {_SRC}, {_SENT}, {_CATALOG}",
+        "policy_file_signals": f"{policy} SELECT {_COLUMNS} FROM sig",
         "cross_topic_signal": f"{_signals((BURST,), base=_RAW_EVENTS)} SELECT {_COLUMNS} FROM sig",
         "decode_outcomes": f"""{_WITH_RAW} SELECT topic, "offset",
   coalesce(reason, 'ACCEPTED') AS outcome, coalesce(message, '') AS message FROM classed""",
@@ -364,6 +363,11 @@ def oracles() -> dict[str, str]:
   event_type, severity FROM ok""",
         "schema_contract_report": f"""{_WITH_RAW} SELECT contract, "check", count(*) AS records
 FROM ({_contract(1)} UNION ALL {_contract(2)}) GROUP BY 1, 2""",
+        "quarantine_contract_report": f"""{_WITH_RAW} SELECT CASE (source_offset // 2) % 8
+    WHEN 0 THEN 'additional_properties' WHEN 1 THEN 'schema_version'
+    WHEN 2 THEN 'source_partition' WHEN 3 THEN 'payload_truncated'
+    WHEN 4 THEN 'payload_sha256' WHEN 5 THEN 'object' ELSE 'valid' END AS "check",
+  count(*) AS records FROM poison GROUP BY 1""",
         "route_counts": f"""{_WITH_RAW} SELECT topic,
   count(*) FILTER (reason IS NULL) AS accepted_records_total,
   count(*) FILTER (reason IS NOT NULL) AS quarantined_records_total FROM classed GROUP BY 1""",

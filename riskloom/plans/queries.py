@@ -30,6 +30,7 @@ from riskloom.plans.replays import Replay
 from riskloom.plans.tables import ARRIVAL, BURST, CAP, HOUR_MS, POLICY
 from riskloom.session import prepare
 from riskloom.sources import records
+from riskloom.sources.policy import load_policy
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,8 +148,10 @@ def multi_topic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rules_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = rules.rules_frame(spark, POLICY)
-    matched = rules.with_matched_rules(tables.safety_events(spark, sf_dir), POLICY)
+    """The rules of the policy file, and how many arrivals each of them matches."""
+    policy = load_policy(spark, tables.policy_file(spark))
+    catalog = rules.rules_frame(spark, policy)
+    matched = rules.with_matched_rules(tables.safety_events(spark, sf_dir), policy)
     counts = matched.groupBy("rule_id").agg(F.count("*").alias("matching_arrivals"))
     # The catalog has one row per configured rule.
     return counts.join(F.broadcast(catalog), "rule_id", "right").select(
@@ -164,6 +167,13 @@ def rules_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def policy_file_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of the rules of the policy file."""
+    policy = load_policy(spark, tables.policy_file(spark))
+    return _report(_signals(spark, sf_dir, _spec(*policy)))
+
+
 @query
 def cross_topic_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records of three topics to signals, through the strict decoder."""
@@ -231,6 +241,24 @@ def schema_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.report(raw, 1).unionByName(contracts.report(raw, 2))
 
 
+@query
+def quarantine_contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded evidence, some of it damaged, against the published quarantine schema."""
+    value = F.col("value")
+    damage = (F.regexp_extract("key", r":(\d+)$", 1).cast("bigint") / 2).cast("bigint") % 8
+    damaged = (
+        F.when(damage == 0, F.regexp_replace(value, r"\}$", ',"surprise":1}'))
+        .when(damage == 1, F.regexp_replace(value, r'"schema_version":1', '"schema_version":2'))
+        .when(damage == 2, F.regexp_replace(value, r'"source_partition":\d+', '"source_partition":-4'))
+        .when(damage == 3, F.regexp_replace(value, r'"payload_truncated":\w+', '"payload_truncated":0'))
+        .when(damage == 4, F.regexp_replace(value, r'("payload_sha256":"[0-9a-f]+)"', r'$1\\n"'))
+        .when(damage == 5, F.lit("[1]"))
+        .otherwise(value)
+    )
+    encoded = quarantine.encode(_quarantined(spark, sf_dir)).withColumn("value", damaged)
+    return contracts.quarantine_report(encoded)
+
+
 # ---- Quarantine ---------------------------------------------------------------------
 
 

@@ -7,10 +7,14 @@ in SQL.
 
 from __future__ import annotations
 
+import uuid
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.rules import Rule
+from riskloom.session import ensure_checkpoint_dir
 
 HOUR_MS = 3_600_000
 HOUR_US = HOUR_MS * 1000
@@ -38,6 +42,8 @@ POLICY = (
     Rule("sustained-72h", 72 * HOUR_MS, 5, 150, 90),
     Rule("tagged-48h", 48 * HOUR_MS, 1, 10, 70, (), {"k": "7"}),
 )
+# The same rules as a policy file.
+_POLICY_FILE = Path(__file__).with_name("policy.json")
 # The cap used by the capacity queries; small, as an actor has few events a day.
 CAP = 8
 ARRIVAL = ("arrived_us", "event_id")
@@ -48,6 +54,15 @@ def _micros(ntz: str) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ntz))
 
 
+def policy_file(spark: SparkSession) -> str:
+    """The package's policy file, put where every machine of the cluster can read it."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/policy-{uuid.uuid4()}"
+    text = spark.createDataFrame([(_POLICY_FILE.read_text(encoding="utf-8"),)], "value string")
+    text.coalesce(1).write.text(folder)
+    return folder
+
+
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
