@@ -50,3 +50,8 @@ def rule_statistics(final: DataFrame) -> DataFrame:
         F.max("observed_event_count").alias("most_events"),
         F.max("observed_severity_sum").alias("most_severity"),
     )
+
+
+def by_rule(signals: DataFrame, rule_id: str) -> DataFrame:
+    """The signals of one rule; the filter reaches the scan of a stored history."""
+    return signals.where(F.col("rule_id") == rule_id)

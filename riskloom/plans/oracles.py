@@ -489,10 +489,16 @@ QUALIFY row_number() OVER (PARTITION BY signal_id
         "history_rule_stats": f"""{policy}, {_STORED} SELECT rule_id, count(*) AS signals,
   min(observed_event_count) AS least_events, max(observed_event_count) AS most_events,
   max(observed_severity_sum) AS most_severity FROM final GROUP BY 1""",
-        "dual_sink_consistency": f"""{policy}, {_HOT},
-newest AS (SELECT * FROM sig QUALIFY row_number() OVER (PARTITION BY actor_id
-  ORDER BY emitted_at_ms DESC, arrived_us DESC, triggering_event_id DESC, rule_pos DESC) = 1)
-{_reconciled("hot", "newest")}""",
+        "dual_sink_consistency": f"""{_signals(base=_RAW_EVENTS)}
+SELECT actor_id, max(emitted_at_ms) AS emitted_at_ms, max(emitted_at_ms) AS newest_ms,
+  true AS in_history FROM sig GROUP BY 1""",
+        "history_by_rule": f"""{_signals(base=_RAW_EVENTS)} SELECT actor_id,
+  triggering_event_id, signal_id, observed_event_count FROM sig
+WHERE rule_id = 'burst-24h'""",
+        "history_append": f"""{_signals(base=_RAW_EVENTS)},
+edge AS (SELECT min(arrived_us) AS a, max(arrived_us) AS b FROM raw)
+SELECT CAST(arrived_us >= a + (b - a) // 2 + 1 AS BIGINT) AS batch_id, actor_id, signal_id,
+  rule_id, observed_event_count FROM sig, edge""",
         "store_reconciliation": f"""{policy},
 observed AS (SELECT * REPLACE (
     CASE WHEN CAST(triggering_event_id AS BIGINT) % 47 = 0 THEN 'x' || signal_id

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -616,11 +617,36 @@ def history_rule_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dual_sink_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hot state against the newest row per actor of the collapsed history."""
-    signals = _signals(spark, sf_dir)
-    stored = signals.withColumn("stored_at", F.timestamp_micros(F.col(ARRIVAL[0])))
-    newest = hot_state.latest(history.collapsed(stored), WRITE_ORDER)
-    return reconcile.report(hot_state.latest(signals, WRITE_ORDER), newest)
+    """The hot state a stream wrote against the history it wrote, per actor."""
+    stores = Replay(spark, sf_dir).stores
+    hot = stores.hot_state.read(int(time.time() * 1000)).select(
+        "actor_id",
+        "emitted_at_ms",
+        F.get_json_object("payload", "$.signal_id").alias("signal_id"),
+    )
+    rows = stores.history.final().select(
+        F.col("actor_id").alias("actor"),
+        F.unix_millis("emitted_at").alias("stored_ms"),
+        F.col("signal_id").alias("stored_id"),
+    )
+    same = (F.col("stored_id") == F.col("signal_id")) & (
+        F.col("stored_ms") == F.col("emitted_at_ms")
+    )
+    both = hot.join(rows, F.col("actor_id") == F.col("actor"), "full")
+    return both.groupBy(F.coalesce("actor_id", "actor").alias("actor_id")).agg(
+        F.max("emitted_at_ms").alias("emitted_at_ms"),
+        F.max("stored_ms").alias("newest_ms"),
+        F.coalesce(F.bool_or(same), F.lit(False)).alias("in_history"),
+    )
+
+
+@query
+def history_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule's signals in the history a stream wrote, replays collapsed."""
+    final = Replay(spark, sf_dir).stores.history.final()
+    return history.by_rule(final, BURST.rule_id).select(
+        "actor_id", "triggering_event_id", "signal_id", "observed_event_count"
+    )
 
 
 @query

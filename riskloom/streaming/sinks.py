@@ -83,7 +83,9 @@ class HotStateTable:
         an equally old one replaces it.
         """
         newest = hot_state.as_state(hot_state.latest(signals, write_order))
-        before = self._live(batch_id, now_ms).select(
+        # Only the actors of the batch are ranked; the others' state stays as it is.
+        touched = signals.select("actor_id").distinct()
+        before = self._live(batch_id, now_ms, touched).select(
             "actor_id", F.col("emitted_at_ms").alias("_held_ms")
         )
         accepted = (
@@ -107,7 +109,9 @@ class HotStateTable:
             F.timestamp_millis(F.col("written_ms") + self.ttl_ms).alias("expires_at"),
         )
 
-    def _live(self, before_batch: int | None, now_ms: int) -> DataFrame:
+    def _live(
+        self, before_batch: int | None, now_ms: int, actors: DataFrame | None = None
+    ) -> DataFrame:
         stored = self.spark.read.schema(self.SCHEMA).parquet(self.path)
         if before_batch is not None:
             stored = stored.where(F.col("batch_id") < before_batch)
@@ -118,6 +122,8 @@ class HotStateTable:
             ((F.col("kind") == "snapshot") & (F.col("batch_id") == last))
             | ((F.col("kind") == "batch") & (F.col("batch_id") > last))
         )
+        if actors is not None:
+            since = since.join(actors, "actor_id", "left_semi")
         order = Window.partitionBy("actor_id").orderBy(F.desc("batch_id"))
         newest = since.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
         return newest.where(F.col("written_ms") + self.ttl_ms > now_ms)
