@@ -10,14 +10,18 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
+import uuid
 
 from riskloom.operators.rules import Rule
 from riskloom.operators.signals import risk_signals
 from riskloom.operators.timeline import Evaluation
 from riskloom.plans.queries import QUERIES
-from riskloom.session import local_session
-from riskloom.sources import generated
+from riskloom.session import local_session, settings
+from riskloom.sources import generated, records
+from riskloom.streaming import pipeline
+from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -40,6 +44,8 @@ HEADLINE = (
 )
 # The published single-node figure is for 50 000 events of 500 actors and one rule.
 LOAD_EVENTS, LOAD_ACTORS = 50_000, 500
+# Published stream figures are for 10 000 and 60 000 records into both stores.
+STREAMED = {"stream_start_up": 10, "stream_10000_records": 10_000, "stream_60000_records": 60_000}
 
 
 def timed(frame_of) -> float:
@@ -58,6 +64,28 @@ def evaluator(spark, events: int, actors: int):
     return lambda: risk_signals(generated.load(spark, events, actors), Evaluation((rule,)))
 
 
+def streamed(spark, folder: str, events: int) -> float:
+    """Seconds for a stream over a backlog of raw records, with both stores written."""
+    root = f"{folder}/{uuid.uuid4()}"
+    generated.load_records(spark, events, max(1, events // 10)).write.parquet(f"{root}/records")
+    stores = pipeline.Stores(
+        HotStateTable(spark, f"{root}/hot"),
+        HistoryTable(spark, f"{root}/history"),
+        QuarantineTable(spark, f"{root}/quarantine"),
+    )
+    spec = Evaluation((Rule("benchmark", 3_600_000, 1, 0, 10),))
+    start = time.perf_counter()
+    raw = records.file_stream(spark, f"{root}/records")
+    with settings(spark, {"spark.sql.shuffle.partitions": CPUS}):
+        query = pipeline.start_signals(raw, spec, stores, f"{root}/checkpoint", bounded=True)
+    query.awaitTermination()
+    took = time.perf_counter() - start
+    stored = stores.history.final().count()
+    if stored != events:
+        raise RuntimeError(f"{events} records gave {stored} signals")
+    return took
+
+
 def main() -> None:
     spark = local_session("bench", cores=CPUS)
     seconds = {}
@@ -69,6 +97,11 @@ def main() -> None:
         run = evaluator(spark, LOAD_EVENTS * factor, LOAD_ACTORS * factor)
         seconds[name] = round(timed(run), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    with tempfile.TemporaryDirectory(prefix="bench-stream-") as folder:
+        # The first, small run also starts Python workers; its time is start-up.
+        for name, events in STREAMED.items():
+            seconds[name] = round(streamed(spark, folder, events), 3)
+            print(name, seconds[name], file=sys.stderr, flush=True)
     rate = LOAD_EVENTS / seconds[f"evaluator_{LOAD_EVENTS}_events"]
     big = LOAD_EVENTS * 20 / seconds[f"evaluator_{LOAD_EVENTS * 20}_events"]
     print(
@@ -80,6 +113,9 @@ def main() -> None:
                 "queries": seconds,
                 "evaluator_events_per_second": round(rate),
                 "evaluator_events_per_second_1m": round(big),
+                "stream_records_per_second": {
+                    str(n): round(n / seconds[name]) for name, n in STREAMED.items() if n > 10
+                },
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
             }
         )

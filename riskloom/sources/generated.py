@@ -93,6 +93,31 @@ def load(spark: SparkSession, events: int, actors: int, run: str = "run") -> Dat
     return generated.withColumn("topic", F.concat(F.lit("topic-"), F.col("arrival") % 4))
 
 
+def load_records(spark: SparkSession, events: int, actors: int) -> DataFrame:
+    """``load`` as raw records of its four topics."""
+    at = F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    text = F.to_json(
+        F.struct(
+            F.lit(1).alias("schema_version"),
+            "event_id",
+            at.alias("occurred_at"),
+            at.alias("ingested_at"),
+            "actor_id",
+            "event_type",
+            "severity",
+            "attributes",
+        )
+    )
+    return load(spark, events, actors).select(
+        F.lit(None).cast("binary").alias("key"),
+        text.cast("binary").alias("value"),
+        "topic",
+        F.lit(0).alias("partition"),
+        F.floor(F.col("arrival") / 4).alias("offset"),
+        F.col("occurred_at").alias("timestamp"),
+    )
+
+
 def serving(spark: SparkSession, actors: int = 200, per_actor: int = 10) -> DataFrame:
     """Signals with growing counts per actor, for the read side of the stores."""
     actor, seq = F.floor(F.col("id") / per_actor), F.col("id") % per_actor
