@@ -58,4 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = scratch.staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,9 +1,9 @@
 """Connected components of a graph given as pairs of ids, by stars.
 
 Large-star and small-star steps (Kiveris et al., "Connected components in MapReduce and
-beyond") alternate until the edges no longer change. Every step is an aggregate that
+beyond") alternate until every component is a star. Every step is an aggregate that
 combines before the shuffle and a join that adaptive execution can split, so a node with a
-third of all edges is not one task. Nothing but two numbers per step reaches the driver.
+third of all edges is not one task. Nothing but one answer per step reaches the driver.
 """
 
 from __future__ import annotations
@@ -32,11 +32,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(known.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
-    ).first()
-    return row["n"], row["h"]
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one parent, and no parent has one itself."""
+    child = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    parent = edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = child.union(parent).groupBy("node").agg(
+        F.sum("up").alias("up"), F.max("down").alias("down")
+    )
+    return ends.where("up > 1 OR up = 1 AND down = 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -48,13 +51,12 @@ def components(edges: DataFrame) -> DataFrame:
     current = edges.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    seen = None
     while True:
         current = scratch.staged(_small_star(_large_star(current)), "edges")
-        now = _digest(current)
-        if now == seen or not now[0]:
+        scratch.release(edges.sparkSession)
+        if _are_stars(current):
             break
-        seen = now
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+    named = current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         current.select("v", "v").distinct()
     )
+    return scratch.staged(named, "components")

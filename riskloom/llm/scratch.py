@@ -7,6 +7,7 @@ removes when their readers are done.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,16 @@ def staged(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of frames nobody holds any more.
+
+    Its cleaner acts when the driver collects garbage, which a driver with little to do
+    may not do for long; a loop over written tables calls this once a round.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear(spark: SparkSession) -> None:
     """Remove all tables this application has staged."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder(spark))
