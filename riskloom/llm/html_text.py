@@ -2,7 +2,8 @@
 
 A tree builder puts the tags of a page into a tree, with the end tags that HTML implies (a
 block ends an open paragraph, an item the item before it, a cell or row the open one), void
-elements, and stray end tags ignored. Rendering walks the tree and leaves out what a reader
+elements, and stray end tags ignored. An open head ends at the first tag or text that is no
+head content. Rendering walks the tree and leaves out what a reader
 does not see: head, scripts, styles, templates, comments, and elements that ``hidden`` or
 an inline style hides. White space collapses outside ``pre``; blocks begin a line, and
 paragraphs, headings, lists and tables are set apart by an empty line; items get ``- `` or
@@ -54,6 +55,9 @@ _ENDS = {
     "tbody": (_TABLE_PARTS, {"table"}),
     "tfoot": (_TABLE_PARTS, {"table"}),
 }
+_HEAD_CONTENT = frozenset(
+    "head title meta link style script base basefont bgsound noscript template noframes".split()
+)
 _KEEPS_PARAGRAPH = frozenset("button td th caption table html body".split())
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
@@ -99,6 +103,8 @@ class TreeBuilder(HTMLParser):
             self._end(*_ENDS[tag])
         elif tag in _BLOCK:
             self._end({"p"}, _KEEPS_PARAGRAPH)
+        if self.open[-1].tag == "head" and tag not in _HEAD_CONTENT:
+            self.open.pop()
         if tag == "body":
             self._end({"head"}, ())
         node = Node(tag, dict(attrs))
@@ -125,6 +131,8 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and _SPACE.sub("", data):
+            self.open.pop()
         self.open[-1].children.append(data)
 
 

@@ -348,3 +348,17 @@ def test_licences_are_found_whole_and_as_lines(spark):
     assert licences.scanned(frame.limit(0)).count() == 0
     with pytest.raises(ValueError):
         licences.scanned(frame.withColumn("licence", F.lit(1)))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html><head><title>t</title><p>Hello", "Hello"),
+        ("<head><meta charset=x><script>a<b</script> Hello <b>you</b>", "Hello you"),
+        ("<head><title>t</title><noscript><p>no</p></noscript><style>p{}</style><div>a", "a"),
+        ("<head>\n <link rel=x>\n</head>\n<p>a", "a"),
+        ("<head><template><p>no</p></template><span>a</span></head>b", "ab"),
+    ],
+)
+def test_an_open_head_ends_where_content_begins(page, text):
+    assert html_text.visible_text(page) == text
