@@ -3,12 +3,13 @@
 A tree builder puts the tags of a page into a tree, with the end tags that HTML implies (a
 block ends an open paragraph, an item the item before it, a cell or row the open one), void
 elements, and stray end tags ignored. An open head ends at the first tag or text that is no
-head content. Rendering walks the tree and leaves out what a reader
+head content; a cell outside of rows opens one. Rendering walks the tree and leaves out what a reader
 does not see: head, scripts, styles, templates, comments, and elements that ``hidden`` or
 an inline style hides. White space collapses outside ``pre``; blocks begin a line, and
 paragraphs, headings, lists and tables are set apart by an empty line; items get ``- `` or
 their number and are indented by level; cells of a table are padded to columns. A table
-with a cell wider than ``WIDEST_CELL`` is a layout table, and its cells are blocks.
+with a cell wider than ``WIDEST_CELL`` is a layout table, and its cells are blocks. What
+stands in a table outside of rows comes before it; of svg its text elements are shown.
 
 Defined cases: null and empty pages give an empty text; text beyond ``DEEPEST`` open
 elements is kept in the last of them; malformed markup never fails, unclosed elements end
@@ -30,8 +31,8 @@ WIDEST_CELL = 60
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _UNSEEN = frozenset(
-    "head title script style template noscript iframe object audio video canvas svg math "
-    "datalist noembed noframes".split()
+    "head title script style template noscript iframe object audio video canvas "
+    "annotation annotation-xml datalist noembed noframes".split()
 )
 _SPACED = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr fieldset menu dir".split()
@@ -41,6 +42,11 @@ _BLOCK = _SPACED | frozenset(
     "details summary figcaption caption center legend option optgroup search hgroup".split()
 )
 _TABLE_PARTS = frozenset("thead tbody tfoot tr td th caption colgroup".split())
+_SECTIONS = frozenset("thead tbody tfoot".split())
+# The open elements that may directly hold a part of a table.
+_HOLDERS = dict.fromkeys(("thead", "tbody", "tfoot", "caption", "colgroup"), {"table"})
+_HOLDERS["tr"] = {"table", *_SECTIONS}
+_HOLDERS["td"] = _HOLDERS["th"] = {"table", "tr", *_SECTIONS}
 # What an opening tag ends, and where the search for it stops.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -98,6 +104,16 @@ class TreeBuilder(HTMLParser):
             if self.open[at].tag in stops:
                 return
 
+    def _into_table(self, tag: str) -> None:
+        """Go back to where the open table can hold ``tag``, and open a row for a cell."""
+        if any(node.tag == "table" for node in self.open):
+            while self.open[-1].tag not in _HOLDERS[tag]:
+                self.open.pop()
+            if tag in ("td", "th") and self.open[-1].tag != "tr" and len(self.open) < DEEPEST:
+                row = Node("tr", {})
+                self.open[-1].children.append(row)
+                self.open.append(row)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _ENDS:
             self._end(*_ENDS[tag])
@@ -107,13 +123,21 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
         if tag == "body":
             self._end({"head"}, ())
+        if tag in _HOLDERS:
+            self._into_table(tag)
         node = Node(tag, dict(attrs))
-        self.open[-1].children.append(node)
+        within = self.open[-1]
+        within.children.append(node)
+        if tag == "form" and (within.tag in _HOLDERS["td"]):
+            return  # a form around rows holds nothing
         if tag not in _VOID and len(self.open) < DEEPEST:
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # a closing slash means nothing in HTML
+        if tag in ("svg", "math") or any(node.tag in ("svg", "math") for node in self.open):
+            self.open[-1].children.append(Node(tag, dict(attrs)))
+        else:
+            self.handle_starttag(tag, attrs)  # a closing slash means nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
@@ -243,6 +267,8 @@ def _element(node: Node, out: _Layout, pre: bool, level: int) -> None:
         out.apart()
         _table(node, out, level)
         out.apart()
+    elif tag == "svg":
+        _drawn(node, out, pre, level)
     elif tag == "pre":
         out.apart()
         _children(node, out, True, level)
@@ -273,12 +299,24 @@ def _element(node: Node, out: _Layout, pre: bool, level: int) -> None:
         _children(node, out, pre, level)
 
 
+def _drawn(node: Node, out: _Layout, pre: bool, level: int) -> None:
+    """The text elements of a drawing, but not of what it only defines."""
+    for child in node.children:
+        if isinstance(child, Node) and not child.unseen and child.tag not in ("defs", "symbol"):
+            if child.tag in ("text", "foreignobject"):
+                out.text(" ")
+                _children(child, out, pre, level)
+                out.text(" ")
+            else:
+                _drawn(child, out, pre, level)
+
+
 def _rows(node: Node) -> Iterator[Node]:
     for child in node.children:
         if isinstance(child, Node) and not child.unseen:
             if child.tag == "tr":
                 yield child
-            elif child.tag in ("thead", "tbody", "tfoot"):
+            elif child.tag in _SECTIONS:
                 yield from _rows(child)
 
 
@@ -289,12 +327,21 @@ def _cell(node: Node) -> list[str]:
     return inner.lines
 
 
-def _table(node: Node, out: _Layout, level: int) -> None:
-    for child in node.children:  # what stands outside of rows: captions, stray text
+def _outside_rows(node: Node, out: _Layout, level: int) -> None:
+    """What stands in a table outside of rows: captions, stray text and elements."""
+    for child in node.children:
         if isinstance(child, str):
             out.text(child)
-        elif not child.unseen and child.tag not in _TABLE_PARTS - {"caption"}:
+        elif child.unseen or child.tag == "tr":
+            continue
+        elif child.tag in _SECTIONS or child.tag == "colgroup":
+            _outside_rows(child, out, level)
+        else:
             _element(child, out, False, level)
+
+
+def _table(node: Node, out: _Layout, level: int) -> None:
+    _outside_rows(node, out, level)
     out.end_line()
     grid: list[list[tuple[list[str], int]]] = []
     for row in _rows(node):

@@ -362,3 +362,20 @@ def test_licences_are_found_whole_and_as_lines(spark):
 )
 def test_an_open_head_ends_where_content_begins(page, text):
     assert html_text.visible_text(page) == text
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<table><td>x</table>", "x"),
+        ("<table><tbody><td>x<th>y<tr><td>z</table>", "x  y\nz"),
+        ("<table><tbody>stray<tr><td>x</table>", "stray\nx"),
+        ("<table><tbody><form><tr><td>x<td>y</form></table>z", "x  y\n\nz"),
+        ("<table><thead><div>a</div><tr><td>x</table>", "a\nx"),
+        ("<table><tr><td><table><td>in</table><td>out</table>", "in  out"),
+        ("a <math><mi>x</mi><mo>=</mo><annotation>tex</annotation></math> b", "a x= b"),
+        ("<svg><title/><defs><text>no</text></defs><path/><g><text>yes</text></g></svg>", "yes"),
+    ],
+)
+def test_cells_without_rows_and_what_surrounds_them(page, text):
+    assert html_text.visible_text(page) == text
