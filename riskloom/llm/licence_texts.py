@@ -1,5 +1,7 @@
 """Known licence texts and the usual one-line notices. Published texts."""
 
+from pathlib import Path
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
 in the Software without restriction, including without limitation the rights
@@ -149,3 +151,28 @@ NOTICES = {
     ]
     for licence, names in _NAMES.items()
 }
+
+# Long texts lie beside this file, and only the driver reads them.
+_FILES = {
+    "Apache-2.0": "Apache-2.0",
+    "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3",
+    "GPL-1.0": "GPL-1",
+    "GPL-2.0": "GPL-2",
+    "GPL-3.0": "GPL-3",
+    "LGPL-2.0": "LGPL-2",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3.0": "LGPL-3",
+    "MPL-1.1": "MPL-1.1",
+    "MPL-2.0": "MPL-2.0",
+}
+
+
+def long_texts() -> dict[str, list[str]]:
+    """Whole texts of the long licences."""
+    folder = Path(__file__).parent / "licence_files"
+    return {
+        name: [(folder / f"{file}.txt").read_text(encoding="utf-8")]
+        for name, file in _FILES.items()
+    }

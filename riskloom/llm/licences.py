@@ -6,8 +6,10 @@ go, everything but letters and digits is a blank, runs of blanks are one. The SH
 the result is looked up in the digests of known licences. Whole documents are looked up, and
 each of their lines, so that the usual notice of a licence is found inside a text too.
 
-The known texts are a small table in ``licence_texts.py``; its canonical forms are made by
-the same expressions, and it is joined by broadcast (its size is fixed by that file).
+The known texts are a small table in ``licence_texts.py`` and the files beside it; its
+canonical forms are made by the same expressions, and it is joined by broadcast (its size is
+fixed by those files). A table of further texts or digests can be given; it is joined
+without a broadcast of our own, whole texts and lines alike, and may be of any size.
 
 Defined cases: null, empty, and texts without letters or digits match nothing; repeated
 rows get a row each; texts that differ only in case, punctuation, copyright lines or such
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.licence_texts import NOTICES, TEXTS
+from riskloom.llm.licence_texts import NOTICES, TEXTS, long_texts
 
 # Spellings that the licence matching guidelines treat as equal.
 SPELLINGS = {
@@ -88,17 +90,27 @@ def digest(text: Column) -> Column:
 
 def known(spark: SparkSession) -> DataFrame:
     """``digest, licence`` of the known texts and notices."""
-    rows = [(name, text) for table in (TEXTS, NOTICES) for name in table for text in table[name]]
+    rows = [(name, text) for table in (TEXTS, long_texts(), NOTICES) for name in table for text in table[name]]
     table = spark.createDataFrame(rows, "licence string, text string")
     table = table.select(digest(F.col("text")).alias("digest"), "licence")
     return table.groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def scanned(documents: DataFrame, column: str = "text") -> DataFrame:
+def _further(texts: DataFrame) -> DataFrame:
+    """``digest, licence`` of a table of ``licence`` and ``text`` or ``digest``."""
+    told = F.col("digest") if "digest" in texts.columns else digest(F.col("text"))
+    table = texts.select(told.alias("digest"), F.col("licence").cast("string"))
+    table = table.where("digest is not null and licence is not null")
+    return table.groupBy("digest").agg(F.min("licence").alias("licence"))
+
+
+def scanned(documents: DataFrame, column: str = "text", texts: DataFrame | None = None) -> DataFrame:
     """The documents with ``licence_digest``, ``licence`` and ``licences_inside``.
 
     ``licence`` is the known licence that is the whole text, ``licences_inside`` the sorted
-    distinct known licences whose text or notice is a line of it.
+    distinct known licences whose text or notice is a line of it. ``texts`` has further
+    licences as ``licence`` and ``text`` or ``digest``, the result of ``digest()``; of two
+    names of one text the known one counts.
     """
     taken = {"licence_digest", "licence", "licences_inside"} & {c.lower() for c in documents.columns}
     if taken:
@@ -118,12 +130,34 @@ def scanned(documents: DataFrame, column: str = "text") -> DataFrame:
     inside = F.transform(
         F.array_intersect("__digests", F.map_keys(names)), lambda d: F.element_at(names, d)
     )
-    found = own.join(whole, "licence_digest", "left")
+    found = own.join(whole, "licence_digest", "left").withColumn("__inside", inside)
+    if texts is not None:
+        more = _further(texts).join(F.broadcast(table.select("digest")), "digest", "left_anti")
+        found = found.join(
+            more.select(F.col("digest").alias("licence_digest"), F.col("licence").alias("__more")),
+            "licence_digest",
+            "left",
+        ).withColumn("licence", F.coalesce("licence", "__more"))
+        # Rows of equal lines share a key, so that nothing depends on a number of the row.
+        key = F.sha2(F.concat_ws(",", "__digests"), 256)
+        found = found.withColumn("__key", key)
+        lines_of = own.select(key.alias("__key"), "__digests").dropDuplicates(["__key"])
+        lines_of = lines_of.select("__key", F.explode(F.array_distinct("__digests")).alias("digest"))
+        met = lines_of.join(more, "digest").groupBy("__key").agg(
+            F.collect_set("licence").alias("__met")
+        )
+        found = found.join(met, "__key", "left").withColumn(
+            "__inside",
+            F.array_union(
+                F.coalesce("__inside", F.array().cast("array<string>")),
+                F.coalesce("__met", F.array().cast("array<string>")),
+            ),
+        )
     return found.select(
         *(F.col(f"`{c}`") for c in documents.columns),
         "licence_digest",
         "licence",
         F.coalesce(
-            F.array_sort(F.array_distinct(inside)), F.array().cast("array<string>")
+            F.array_sort(F.array_distinct("__inside")), F.array().cast("array<string>")
         ).alias("licences_inside"),
     )

@@ -379,3 +379,21 @@ def test_an_open_head_ends_where_content_begins(page, text):
 )
 def test_cells_without_rows_and_what_surrounds_them(page, text):
     assert html_text.visible_text(page) == text
+
+
+def test_long_and_given_licences_are_found(spark):
+    from riskloom.llm.licence_texts import long_texts
+
+    rows = [(name, text.upper()) for name, [text] in long_texts().items()]
+    rows += [("Own", "Use it, as you like!"), ("none", None), ("in", "x\nuse it as you like\ny")]
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    own = spark.createDataFrame([("Own", "Use it as you like"), ("MINE", None)], "licence string, text string")
+    by_text = {r.doc_id: r for r in licences.scanned(frame, texts=own).collect()}
+    digests = own.select("licence", licences.digest(F.col("text")).alias("digest"))
+    by_digest = {r.doc_id: r for r in licences.scanned(frame, texts=digests).collect()}
+    assert by_text == by_digest and len(by_text) == len(rows)
+    for name, _ in rows:
+        assert by_text[name].licence == (None if name in ("none", "in") else name)
+    assert by_text["in"].licences_inside == ["Own"]
+    alone = {r.doc_id: r.licence for r in licences.scanned(frame).collect()}
+    assert alone["GPL-3.0"] == "GPL-3.0" and alone["Own"] is None
