@@ -120,9 +120,89 @@ SELECT doc_id, sha256({_joined("lines")}) AS licence_digest, licence,
 FROM d LEFT JOIN known ON known.form = {_joined("lines")} LEFT JOIN inner_ USING (r)
 """
 
+# Unsigned crc32 of a decimal id, byte by byte through the table of the polynomial.
+_CRC = """
+tab(k, c, step) AS (SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT k, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1
+  FROM tab WHERE step < 8),
+byte AS (SELECT k, c FROM tab WHERE step = 8),
+crc(id, digits, pos, c) AS (
+  SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 1, 4294967295 FROM documents
+  WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT id, digits, pos + 1, xor(crc.c >> 8, byte.c) FROM crc
+  JOIN byte ON byte.k = xor(crc.c, ascii(digits[pos])) & 255 WHERE pos <= length(digits)),
+tampered AS (SELECT id FROM crc WHERE pos > length(digits) AND xor(c, 4294967295) % 5 = 0)
+"""
+
+
+def _merkle_levels(name: str, levels: int) -> str:
+    """Nodes of each level of the trees in table <name>0 (g, i, n, d), and their siblings."""
+    parts = []
+    for at in range(levels):
+        here, several = f"{name}{at}", f"n > {16**at}"
+        run = "OVER (PARTITION BY g, i // 16 ORDER BY i ROWS BETWEEN"
+        parts.append(
+            f"""{name}{at + 1} AS (SELECT g, i // 16 AS i, min(n) AS n,
+  CASE WHEN min(n) > {16**at} THEN sha256(string_agg(d, '' ORDER BY i)) ELSE min(d) END AS d
+  FROM {here} GROUP BY g, i // 16),
+{name}_side{at} AS (SELECT g, i,
+  CASE WHEN {several} THEN coalesce(string_agg(d, '') {run}
+    UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS x,
+  CASE WHEN {several} THEN coalesce(string_agg(d, '') {run}
+    1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS y
+  FROM {here})"""
+        )
+    return ",\n".join(parts)
+
+
+def _merkle_folds(name: str, levels: int) -> str:
+    return ",\n".join(
+        f"""{name}_fold{at + 1} AS (SELECT p.* EXCLUDE (proof, f),
+  proof || coalesce(x || y, '') AS proof,
+  CASE WHEN x IS NULL THEN f ELSE sha256(x || f || y) END AS f
+  FROM {name}_fold{at} p JOIN {name}_side{at} s ON s.g = p.g AND s.i = p.i // {16**at})"""
+        for at in range(levels)
+    )
+
+
+def _merkle_leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    told = [
+        f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')"
+        for f in fields
+    ]
+    return f"sha256({' || '.join(told)})"
+
+
+_INNER, _OUTER = 8, 4
+OP11 = f"""
+WITH RECURSIVE {_CRC},
+told AS (SELECT doc_id, coalesce('1' || source, '0') AS g, {_merkle_leaf("text")} AS leaf,
+  CASE WHEN doc_id IN (SELECT id FROM tampered)
+    THEN {_merkle_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")}
+    ELSE {_merkle_leaf("text")} END AS claim FROM documents),
+leaves AS (SELECT *, count(*) OVER (PARTITION BY g) AS n,
+  row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM told),
+a0 AS (SELECT g, i, n, leaf AS d FROM leaves),
+{_merkle_levels("a", _INNER)},
+b_leaves AS (SELECT g AS own, d AS subroot, 0 AS g, count(*) OVER () AS n,
+  row_number() OVER (ORDER BY g) - 1 AS i FROM a{_INNER}),
+b0 AS (SELECT g, i, n, subroot AS d FROM b_leaves),
+{_merkle_levels("b", _OUTER)},
+a_fold0 AS (SELECT doc_id, leaf, g, i, '' AS proof, claim AS f FROM leaves),
+{_merkle_folds("a", _INNER)},
+b_fold0 AS (SELECT doc_id, leaf, subroot, b_leaves.g, b_leaves.i, proof, f
+  FROM a_fold{_INNER} p JOIN b_leaves ON own = p.g),
+{_merkle_folds("b", _OUTER)}
+SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, f AS folded_root,
+  f = d AS verified FROM b_fold{_OUTER} CROSS JOIN b{_OUTER}
+"""
+
 ORACLES = {
     "op5_minhash_near_dedup": OP5,
     "op8_benchmark_decontamination": OP8,
     "op9_chat_formatting": OP9,
     "op10_license_scans": OP10,
+    "op11_merkle_manifest": OP11,
 }

@@ -13,6 +13,7 @@ from riskloom.llm import (
     fingerprint,
     html_text,
     licences,
+    manifest,
     near_dup,
     quality,
     substring,
@@ -166,6 +167,16 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; every fifth id presents a changed text."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.crc32(F.col("doc_id").cast("bigint").cast("string").cast("binary")) % 5 == 0
+    claimed = F.when(tampered, manifest.leaf(text=F.translate("text", upper, lower)))
+    return manifest.manifest(
+        _table(spark, sf_dir, "documents"), F.coalesce(claimed, manifest.leaf())
+    ).drop("source")
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -177,4 +188,5 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_license_scans": op10_license_scans,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
