@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from riskloom.llm.licence_texts import NOTICES, TEXTS
 from riskloom.llm.licences import SPELLINGS
+from riskloom.llm.secrets import BASE, RULES, Rule
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -199,10 +202,52 @@ SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, f AS fol
   f = d AS verified FROM b_fold{_OUTER} CROSS JOIN b{_OUTER}
 """
 
+
+def _either_case(pattern: str) -> str:
+    """The letters outside of classes and escapes in both cases."""
+
+    def told(part: re.Match) -> str:
+        letter = part.group()
+        return f"[{letter.upper()}{letter.lower()}]" if len(letter) == 1 else letter
+
+    return re.sub(r"\[[^\]]*\]|\\x..|\\.|[A-Za-z]", told, pattern)
+
+
+def _matches(order: int, rule: Rule) -> str:
+    pattern = _quoted(_either_case(rule.pattern) if rule.any_case else rule.pattern)
+    before = "coalesce(list_sum(list_transform(cut[:i], lambda x: length(x))), 0)"
+    found = "coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0)"
+    return f"""
+SELECT r, {order} AS rule, '{rule.kind}' AS kind, {before} + {found} AS first,
+  {before} + {found} + length(found[i]) AS stop
+FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i
+  FROM (SELECT r, string_split_regex(text, {pattern}) AS cut,
+      regexp_extract_all(text, {pattern}) AS found,
+      regexp_extract_all(text, {pattern}, {rule.group}) AS counted
+    FROM d WHERE regexp_matches(text, {pattern})))
+WHERE length(counted[i]) >= {rule.least}"""
+
+
+_TOLD = "string_agg(kind || ':' || first || ':' || stop, ',' ORDER BY first, rule)"
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text
+  FROM documents),
+s AS ({" UNION ALL ".join(_matches(i, rule) for i, rule in enumerate(RULES))}),
+t AS (SELECT r, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+    count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    {_TOLD} FILTER (WHERE rule < {len(BASE)}) AS base, {_TOLD} AS spans
+  FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM d LEFT JOIN t USING (r)
+"""
+
 ORACLES = {
     "op5_minhash_near_dedup": OP5,
     "op8_benchmark_decontamination": OP8,
     "op9_chat_formatting": OP9,
     "op10_license_scans": OP10,
     "op11_merkle_manifest": OP11,
+    "op12_secret_scans": OP12,
 }

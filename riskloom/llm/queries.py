@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
@@ -16,6 +16,7 @@ from riskloom.llm import (
     manifest,
     near_dup,
     quality,
+    secrets,
     substring,
     toxicity,
 )
@@ -177,6 +178,22 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("source")
 
 
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, those of the three base kinds counted and digested."""
+    found = secrets.scanned(_table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secrets.BASE]
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base],
+        F.sha2(secrets.as_text(of(*base)), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -189,4 +206,5 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_license_scans": op10_license_scans,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_secret_scans": op12_secret_scans,
 }
