@@ -179,6 +179,9 @@ def _dealt(documents: DataFrame) -> DataFrame:
     slim = documents.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     segments = max(1, -(-slim.count() // SEGMENT))
     segment = F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments).cast("bigint"))
+    # Known not to be null, so that no side of the join gets a filter of its own and both
+    # read one exchange.
+    segment = F.coalesce(segment, F.lit(0).cast("bigint"))
     return slim.withColumn("segment", segment).repartition("segment")
 
 
