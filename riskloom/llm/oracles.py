@@ -243,6 +243,41 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(spans, '') AS spans FROM d LEFT JOIN t USING (r)
 """
 
+_SHARE = "CAST(1 + (1000000000::HUGEINT * ({} + 1)) // ({} + v) AS HUGEINT)"
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+    '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+w AS (SELECT r, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+l AS (SELECT lang, count(term) AS v, coalesce(sum(c), 0) AS n
+  FROM (SELECT DISTINCT lang FROM d) LEFT JOIN kept USING (lang) GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term)
+  GROUP BY ALL),
+sizes AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM g LEFT JOIN held
+  USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(held.c, 0) AS c,
+    {_SHARE.format("coalesce(held.c, 0)", "sizes.n")} AS p,
+    {_SHARE.format("kept.c", "l.n")} AS q
+  FROM sizes JOIN l USING (lang) JOIN kept USING (lang)
+  LEFT JOIN held USING (lang, source, term)),
+pair AS (SELECT x.lang, x.source, y.source AS item
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source),
+far AS (SELECT x.lang, x.source, y.source AS item,
+    sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+  GROUP BY ALL),
+e AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value
+  FROM pair LEFT JOIN far USING (lang, source, item)
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p
+  WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+  ORDER BY value DESC, item) AS place FROM e)
+WHERE part = 'pair' OR place <= 200
+"""
+
 ORACLES = {
     "op5_minhash_near_dedup": OP5,
     "op8_benchmark_decontamination": OP8,
@@ -250,4 +285,5 @@ ORACLES = {
     "op10_license_scans": OP10,
     "op11_merkle_manifest": OP11,
     "op12_secret_scans": OP12,
+    "op13_source_divergence": OP13,
 }

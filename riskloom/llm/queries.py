@@ -10,6 +10,7 @@ from riskloom.llm import (
     bpe,
     chat,
     decontaminate,
+    divergence,
     fingerprint,
     html_text,
     licences,
@@ -194,6 +195,11 @@ def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of every language are from each other, and by which terms."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -207,4 +213,5 @@ QUERIES = {
     "op10_license_scans": op10_license_scans,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_secret_scans": op12_secret_scans,
+    "op13_source_divergence": op13_source_divergence,
 }
