@@ -126,7 +126,7 @@ def _share(count: str, total: str) -> str:
     """Exact for counts beyond 64 bits divided by the factor, hence the decimals."""
     return (
         f"CAST(1 + CAST(CAST({_SHARE} AS DECIMAL(20,0)) * ({count} + 1) AS DECIMAL(38,0))"
-        f" div ({total} + vocabulary) AS BIGINT)"
+        f" div greatest({total} + vocabulary, 1) AS BIGINT)"
     )
 
 
