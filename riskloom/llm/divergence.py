@@ -38,7 +38,7 @@ TOP_TERMS = 200
 TILE = 64
 SLICE = 1 << 14
 # Bytes of text whose vectors are summed before they leave the task's Python worker.
-CHUNK = 8 << 20
+CHUNK = 3 << 20
 # What stands between two terms.
 _BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 _SHARE = 1_000_000_000

@@ -31,6 +31,7 @@ def sample(
 
 
 def with_texts(chosen: DataFrame, documents: DataFrame) -> DataFrame:
-    """``doc_id, label, text`` of a bounded sample of labels; one row per id."""
+    """``doc_id, label, text`` of a bounded sample of labels; one row, the least text, per id."""
     texts = documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id", "label").agg(F.min("text").alias("text"))

@@ -9,13 +9,16 @@ Insults are few words of a long text, so a text is as toxic as its most toxic ba
 begins with bags of whole texts and goes on with each text's highest bag; a score is the
 highest over all bags of the whole text. A last step fits slope and offset of the logit.
 
-The sample is at most ``MOST_LABELLED`` rows, half per class, a documented bound. For
-scoring, embeddings and softmax are folded into one weight per n-gram bucket (256 KB),
-which is broadcast.
+The sample is at most ``MOST_LABELLED`` rows, half per class, of at most ``LONGEST_LABELLED``
+bytes each; both are documented bounds, and no more than their product goes to the driver,
+where numpy trains. For scoring, embeddings and softmax are folded into one weight per n-gram
+bucket (256 KB), which is broadcast. Weights are whole numbers there, so that sums of them do
+not depend on their order: a text has one score, whatever batch or task it is scored in.
 
 Defined cases: null and empty texts have no bag and the lowest score; without labelled
-rows of both classes every score is 0.5; repeated rows get a row each; a null ``doc_id``
-is in fold 0; further columns are ignored.
+rows of both classes every score is 0.5; repeated rows get a row each; an id that is labelled
+and occurs several times is fitted with the least of its texts; a null ``doc_id`` is in fold
+0; further columns are ignored, but a column of the score's name is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from riskloom.llm import arrays, labelled
 
 MOST_LABELLED = 2048
+LONGEST_LABELLED = 1 << 16
 SIZES = (3, 4, 5, 6)
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
@@ -40,6 +44,7 @@ BAG_WORDS = 2
 WHOLE_EPOCHS, BAG_EPOCHS, BATCH, STEP = 4, 12, 64, 0.5
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
+_FINE = 1 << 20
 
 _CODE = np.zeros(256, dtype=np.uint32)  # 0 is the border of a word
 _CODE[48:58] = np.arange(2, 12)
@@ -79,11 +84,12 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> Grams:
 
 def _word_sums(found: Grams, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per word the sum of its n-grams' weights, and their number."""
-    sums = np.zeros(len(found.starts))
+    exact = np.int64 if weights.dtype.kind == "i" else np.float64
+    sums = np.zeros(len(found.starts), dtype=exact)
     number = np.zeros(len(found.starts), dtype=np.int64)
     for size in SIZES:
         counts = found.counts(size)
-        running = np.zeros(len(found.codes) + 1)
+        running = np.zeros(len(found.codes) + 1, dtype=exact)
         values = weights[found.buckets(size)]
         np.cumsum(values, out=running[1 : len(values) + 1])
         begin = found.starts - 1
@@ -99,7 +105,7 @@ def highest_bags(found: Grams, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
     Texts without words get minus infinity and -1.
     """
     sums, number = _word_sums(found, weights)
-    total = np.concatenate(([0.0], np.cumsum(sums)))
+    total = np.concatenate((np.zeros(1, dtype=sums.dtype), np.cumsum(sums)))
     count = np.concatenate(([0], np.cumsum(number)))
     n_words = np.diff(found.bounds)
     best = np.full(len(n_words), -np.inf)
@@ -218,7 +224,7 @@ def _bags(found: Grams, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray,
 class Scorer(NamedTuple):
     """What the executors need of a model."""
 
-    weights: np.ndarray
+    weights: np.ndarray  # whole numbers of 1 / _FINE
     slope: float
     offset: float
 
@@ -228,7 +234,8 @@ class Scorer(NamedTuple):
             best, _ = highest_bags(
                 grams(*arrays.text_buffer(column.slice(at, to - at))), self.weights
             )
-            out[at:to] = 1 / (1 + np.exp(-np.clip(self.slope * best + self.offset, -50, 50)))
+            logit = self.slope * (best / _FINE) + self.offset
+            out[at:to] = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
         return out
 
 
@@ -238,14 +245,17 @@ def train(texts: pa.Array, labels: np.ndarray) -> Scorer | None:
         return None
     model = Model()
     model.train(grams(*arrays.text_buffer(texts)), labels.astype(np.float64))
-    return Scorer(model.weights.astype(np.float32), model.slope, model.offset)
+    weights = np.clip(np.rint(model.weights * _FINE), -(1 << 30), 1 << 30).astype(np.int32)
+    return Scorer(weights, model.slope, model.offset)
 
 
 def fit(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Scorer | None:
     """A scorer from at most ``most`` labelled rows outside the held-out fold."""
     training = labelled.fold("doc_id", FOLDS) != HELD_OUT
     chosen = labelled.sample(labels, "toxic", training, most, per_class=True)
-    table = labelled.with_texts(chosen, documents).orderBy("doc_id").toArrow()
+    texts = labelled.with_texts(chosen, documents)
+    texts = texts.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST_LABELLED)
+    table = texts.orderBy("doc_id").toArrow()
     if not table.num_rows:
         return None
     return train(table["text"].combine_chunks(), table["label"].to_numpy())
@@ -253,6 +263,8 @@ def fit(documents: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> S
 
 def scored(documents: DataFrame, scorer: Scorer | None, name: str = "score") -> DataFrame:
     """The documents with a score in a new column; other columns as they are."""
+    if name.lower() in (c.lower() for c in documents.columns):
+        raise ValueError(f"documents already have a column {name!r}")
     if scorer is None:
         return documents.withColumn(name, F.lit(0.5))
     at = documents.columns.index("text")

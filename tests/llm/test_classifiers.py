@@ -85,13 +85,57 @@ def test_features_do_not_depend_on_the_block(monkeypatch):
     assert np.allclose(whole, one_by_one)
 
 
+def test_scores_do_not_depend_on_order_or_neighbours(spark):
+    """The same documents dealt in other ways, and equal texts in one pass."""
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    again = documents.select((F.col("doc_id") + 10_000_000).alias("doc_id"), "text").limit(300)
+    documents = documents.unionByName(again)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    for operator, fitted in ((quality, quality.fit), (toxicity, toxicity.fit)):
+        model = fitted(documents, labels)
+        one = operator.scored(documents.coalesce(1), model).collect()
+        other = operator.scored(documents.orderBy(F.hash("text"), "doc_id"), model).collect()
+        scores = {r.doc_id: r.score for r in one}
+        assert scores == {r.doc_id: r.score for r in other}
+        texts = {}
+        for r in one:
+            assert texts.setdefault(r.text, r.score) == r.score
+
+
+def test_ties_go_to_the_earlier_label():
+    sample = np.tile(np.random.default_rng(2).random(quality.FEATURES), (9, 1)).astype(np.float32)
+    space = quality.Space(sample, np.array([1, 1, 0, 0, 0, 0, 0, 0, 0]))
+    assert space.votes(sample[:1], 2)[0] == 1 and space.votes(sample[:1], 4)[0] == 0.5
+
+
+def test_vectors_see_words_and_letters():
+    text = "The quick brown fox, 12 of them."
+    changed = "".join("z" if c.islower() else "Q" if c.isupper() else c for c in text)
+    one, other = quality.features(pa.array([text, changed]))
+    assert np.array_equal(one[: quality.TERMS], other[: quality.TERMS])  # classes only
+    assert not np.array_equal(one, other)
+    labels = np.arange(40) % 2
+    rng = random.Random(4)
+    rows = [data.prose(rng, 20) + (" zebra" if k else " camel") for k in labels]
+    space = quality.Space(quality.features(pa.array(rows)), labels, latent=30)
+    projected = space.project(np.stack([one, other]))
+    assert not np.array_equal(projected[0], projected[1])
+
+
+@pytest.mark.parametrize("operator", [quality, toxicity])
+def test_a_clashing_score_column_is_named(spark, operator):
+    frame = spark.createDataFrame([(1, "x", 2)], "doc_id bigint, text string, Score int")
+    with pytest.raises(ValueError, match="score"):
+        operator.scored(frame, None)
+
+
 def test_votes_are_those_of_the_nearest():
     random_ = np.random.default_rng(5)
     sample = random_.random((60, quality.FEATURES)).astype(np.float32)
     labels = random_.integers(0, 2, 60)
     space = quality.Space(sample, labels, latent=12)
     asked = random_.random((300, quality.FEATURES)).astype(np.float32)
-    cosine = space.project(asked) @ space.vectors.T
+    cosine = space.project(asked) @ space.vectors.T / float(quality._FINE) ** 2
     expected = []
     for row in cosine:
         near = np.argsort(-row, kind="stable")[:7]
