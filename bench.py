@@ -77,7 +77,9 @@ def streamed(spark, folder: str, events: int) -> float:
     start = time.perf_counter()
     raw = records.file_stream(spark, f"{root}/records")
     with settings(spark, {"spark.sql.shuffle.partitions": CPUS}):
-        query = pipeline.start_signals(raw, spec, stores, f"{root}/checkpoint", bounded=True)
+        query = pipeline.start_sliced_signals(
+            raw, spec, stores, f"{root}/checkpoint", bounded=True
+        )
     query.awaitTermination()
     took = time.perf_counter() - start
     stored = stores.history.final().count()

@@ -38,6 +38,7 @@ _LONGEST_WINDOW_MS = 10**15
 RULES_PER_PASS = 32
 # A shuffle cannot have any number of partitions; beyond this, segments grow instead.
 _MOST_SEGMENTS = 50_000
+_FLOOR = "_floor_ms"
 _CAPPED_ORDER = ["point_ms", "is_arrival", "point_pos", "is_reading"]
 # Up to this many large actors the list is small enough to send to every executor.
 _BROADCAST_ACTORS = 200_000
@@ -53,6 +54,8 @@ class Evaluation:
     checkpoint folder first: right when the events are expensive to produce, such as
     decoded records, because they are read twice (actors are counted first).
     ``dedup=False`` is for events that ``dedup.accepted_arrivals`` has already passed.
+    ``floor`` names a column with the largest event time (ms, or NULL) that the actor had
+    reached before these events, the same in all its rows.
     """
 
     rules: tuple[Rule, ...]
@@ -61,6 +64,7 @@ class Evaluation:
     actor_rows: int = 500_000
     dedup: bool = True
     stage_input: bool = False
+    floor: str | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "rules", validate_rules(self.rules, self.history_cap))
@@ -95,6 +99,7 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
         F.unix_micros("occurred_at").alias("occurred_us"),
         "severity",
         _match_mask(spec.rules).alias("mask"),
+        *([F.col(spec.floor).alias(_FLOOR)] if spec.floor else []),
     )
     if spec.stage_input:
         ensure_checkpoint_dir(slim.sparkSession)
@@ -176,7 +181,7 @@ def _one_task_per_actor(slim: DataFrame, spec: Evaluation, capped: bool) -> Data
         rows = first_arrivals(rows, spec.arrival)
     arrival_order = Window.partitionBy("actor_id").orderBy(*spec.arrival)
     so_far = arrival_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("max_ms", F.max(_event_ms()).over(so_far))
+    rows = rows.withColumn("max_ms", F.max(_reached(spec)).over(so_far)).drop(_FLOOR)
     if capped:
         rows = rows.withColumn("pos", F.row_number().over(arrival_order).cast("bigint"))
         rows = with_evictions(rows, spec.history_cap, spec.retention_ms)
@@ -195,15 +200,15 @@ def _many_tasks_per_actor(parts: _Parts, spec: Evaluation) -> DataFrame:
     pieces = min(math.ceil(parts.large_rows / spec.actor_rows), _MOST_SEGMENTS)
     rows = first_arrivals(parts.large, spec.arrival) if spec.dedup else parts.large
     placed = segments.place(rows, pieces, "actor_id", spec.arrival)
-    placed = segments.with_carry(placed, "actor_id", {"max_before": F.max(_event_ms())})
+    placed = segments.with_carry(placed, "actor_id", {"max_before": F.max(_reached(spec))})
     order = segments.within("actor_id", spec.arrival)
     number = F.row_number().over(order).cast("bigint")
     arrivals = placed.select(
         *rows.columns,
         segments.SEGMENT,
         (F.shiftleft(F.col(segments.SEGMENT).cast("bigint"), 40) + number).alias("pos"),
-        F.greatest("max_before", F.max(_event_ms()).over(order)).alias("max_ms"),
-    )
+        F.greatest("max_before", F.max(_reached(spec)).over(order)).alias("max_ms"),
+    ).drop(_FLOOR)
     if capped:
         arrivals = _pushed_out(arrivals.checkpoint(), spec)
     else:
@@ -246,6 +251,10 @@ def _event_ms() -> Column:
     return micros_to_millis(F.col("occurred_us"))
 
 
+def _reached(spec: Evaluation) -> Column:
+    return F.greatest(_event_ms(), _FLOOR) if spec.floor else _event_ms()
+
+
 def _bit(index: int) -> str:
     return f"(mask & {1 << index}L) <> 0"
 

@@ -13,6 +13,7 @@ from riskloom.operators import decode, quarantine
 from riskloom.operators.timeline import Evaluation
 from riskloom.session import settings
 from riskloom.sources.records import SOURCE_ORDER
+from riskloom.streaming import slices
 from riskloom.streaming.processor import stream_signals
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable, to_stores
 
@@ -56,6 +57,42 @@ def start_signals(
     return _start(raw.sparkSession, writer, bounded)
 
 
+def start_sliced_signals(
+    raw: DataFrame,
+    spec: Evaluation,
+    stores: Stores,
+    checkpoint: str,
+    bounded: bool = False,
+    **options,
+) -> StreamingQuery:
+    """As ``start_signals``, with state in slices and every batch evaluated as a batch.
+
+    For streams whose batches are large. ``options`` go to ``slices.SlicedState``.
+    """
+    state = sliced_state(raw.sparkSession, checkpoint, spec, **options)
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        with state.advanced(batch, batch_id) as signals:
+            now = int(time.time() * 1000)
+            stores.hot_state.merge(signals, batch_id, now, slices.EMISSION_ORDER)
+            stores.history.append(signals, batch_id)
+
+    writer = (
+        decode.decode_records(raw)
+        .writeStream.queryName(f"sliced-signals-{stores.history.writer}")
+        .option("checkpointLocation", f"{checkpoint}/sliced")
+        .foreachBatch(take_in)
+    )
+    return _start(raw.sparkSession, writer, bounded)
+
+
+def sliced_state(
+    spark: SparkSession, checkpoint: str, spec: Evaluation, **options
+) -> slices.SlicedState:
+    """The state of a query that ``start_sliced_signals`` runs or ran."""
+    return slices.SlicedState(spark, f"{checkpoint}/slices", spec, **options)
+
+
 def start_quarantine(
     raw: DataFrame, stores: Stores, checkpoint: str, bounded: bool = False
 ) -> StreamingQuery:
