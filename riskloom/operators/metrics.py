@@ -18,12 +18,8 @@ def route_counts(decoded: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_totals(events: DataFrame, rows: DataFrame, spec: Evaluation) -> DataFrame:
-    """Counters over a whole evaluation; ``rows`` is ``timeline(events, spec)``.
-
-    What has entered a history and was neither evicted nor is still held after the
-    last arrival of its actor has expired.
-    """
+def signals_of(spec: Evaluation) -> Column:
+    """Number of signals of a timeline row."""
     fires = [F.when(F.col("evicted") > 0, 1).otherwise(0)]
     for bit, rule in enumerate(spec.rules):
         fired = (
@@ -33,12 +29,21 @@ def pipeline_totals(events: DataFrame, rows: DataFrame, spec: Evaluation) -> Dat
             & (F.col(f"sum_{bit}") >= rule.minimum_severity_sum)
         )
         fires.append(F.when(fired, 1).otherwise(0))
+    return reduce(Column.__add__, fires)
+
+
+def pipeline_totals(events: DataFrame, rows: DataFrame, spec: Evaluation) -> DataFrame:
+    """Counters over a whole evaluation; ``rows`` is ``timeline(events, spec)``.
+
+    What has entered a history and was neither evicted nor is still held after the
+    last arrival of its actor has expired.
+    """
     per_actor = rows.groupBy("actor_id").agg(
         F.count("*").alias("accepted"),
         F.count_if("late").alias("late"),
         F.sum("evicted").alias("evictions"),
         F.count_if(F.col("evicted") > 0).alias("breaches"),
-        F.sum(reduce(Column.__add__, fires)).alias("signals"),
+        F.sum(signals_of(spec)).alias("signals"),
         F.max_by("history_n", F.struct(*spec.arrival)).alias("held"),
     )
     totals = per_actor.agg(

@@ -55,7 +55,8 @@ class Evaluation:
     decoded records, because they are read twice (actors are counted first).
     ``dedup=False`` is for events that ``dedup.accepted_arrivals`` has already passed.
     ``floor`` names a column with the largest event time (ms, or NULL) that the actor had
-    reached before these events, the same in all its rows.
+    reached before these events, the same in all its rows. ``at_most`` is a number of rows
+    that no actor can exceed, where one is known: actors are not counted if it is small.
     """
 
     rules: tuple[Rule, ...]
@@ -65,6 +66,7 @@ class Evaluation:
     dedup: bool = True
     stage_input: bool = False
     floor: str | None = None
+    at_most: int | None = None
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "rules", validate_rules(self.rules, self.history_cap))
@@ -136,6 +138,8 @@ class _Parts:
 def _by_size(slim: DataFrame, events: DataFrame, spec: Evaluation) -> _Parts:
     """One count per actor decides; only unusually large actors leave the plain part."""
     cap, limit = spec.history_cap, spec.actor_rows
+    if spec.at_most is not None and spec.at_most <= min(cap, limit):
+        return _Parts(slim, None, None)
     rows = F.col("_rows")
     counts = events.groupBy("actor_id").agg(F.count("*").alias("_rows"))
     counts = counts.where(rows > min(cap, limit))

@@ -566,6 +566,30 @@ SELECT event_type, n, round(a, 6) AS first_half_mean, round(b, 6) AS second_half
         "bounded_replay": f"{_signals(base=_RAW_EVENTS)} SELECT {_COLUMNS} FROM sig",
         "late_not_dropped": f"""{_signals(base=_RAW_EVENTS)} SELECT {_COLUMNS} FROM sig
 WHERE (actor_id, triggering_event_id) IN (SELECT (actor_id, event_id) FROM run WHERE ms < m)""",
+        "idle_history_reclaim": f"""{_RAW_EVENTS},
+mark AS (SELECT min(reached) - 10000 - 1 AS w FROM (
+  SELECT topic, max(occurred_us // 1000) AS reached FROM ok GROUP BY topic)),
+tops AS (SELECT *, max(ms) OVER (PARTITION BY actor_id) AS top FROM run)
+SELECT actor_id, count(*) AS stored_events FROM tops, mark
+WHERE ms >= greatest(top, w) - {_RETENTION_MS} GROUP BY actor_id""",
+        "stream_metrics": f"""{_signals(cap=CAP, base=_RAW_EVENTS)},
+sizes AS (SELECT r.actor_id, r.event_id, r.arrived_us, r.ms < r.m - {_RETENTION_MS} AS late,
+    count(b_id) AS live_n FROM run r LEFT JOIN live USING (actor_id, event_id)
+  GROUP BY ALL),
+held AS (SELECT least(live_n, {CAP}) AS n FROM sizes QUALIFY row_number() OVER (
+  PARTITION BY actor_id ORDER BY arrived_us DESC, event_id DESC) = 1),
+totals AS (SELECT count(*) AS accepted, count(*) FILTER (late) AS late FROM sizes)
+SELECT (SELECT count(*) FROM ok) AS accepted_records_total,
+  (SELECT count(*) FROM poison) AS quarantined_records_total,
+  (SELECT count(*) FROM ok) AS events_total,
+  (SELECT count(*) FROM ok) - accepted AS duplicates_total,
+  (SELECT count(*) FROM sig) AS risk_signals_total,
+  CAST(accepted - late - (SELECT count(*) FROM sig WHERE rule_pos = -1)
+    - (SELECT sum(n) FROM held) AS BIGINT) AS history_expired_events_total,
+  late AS late_events_beyond_history_total,
+  (SELECT count(*) FROM sig WHERE rule_pos = -1) AS state_capacity_breaches_total,
+  (SELECT count(*) FROM sig WHERE rule_pos = -1) AS state_capacity_evictions_total
+FROM totals""",
         "event_time_lag": f"""WITH {_SRC}, {_SENT}
 SELECT greatest(0, arrived_us // 1000 - occurred_us // 1000) AS event_time_lag_ms FROM sent
 ORDER BY arrived_us DESC, event_id DESC LIMIT 1""",

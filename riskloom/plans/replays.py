@@ -17,6 +17,7 @@ from riskloom.session import ensure_checkpoint_dir, prepare_streaming, settings
 from riskloom.sources import records
 from riskloom.streaming import pipeline
 from riskloom.streaming.sinks import HistoryTable, HotStateTable, QuarantineTable
+from riskloom.streaming.slices import SlicedState
 
 _RAW = [f.name for f in schemas.RAW_RECORD]
 
@@ -25,11 +26,18 @@ class Replay:
     """The raw records of the tables, streamed into fresh stores in the shared folder.
 
     With several slices the records arrive slice by slice in arrival order, and the
-    query is stopped and resumed from its checkpoint in between.
+    query is stopped and resumed from its checkpoint in between. ``sliced_state`` keeps the
+    state in slices instead of a state store.
     """
 
     def __init__(
-        self, spark: SparkSession, sf_dir: str, slices: int = 1, **options: int
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        slices: int = 1,
+        cap: int = schemas.DEFAULT_HISTORY_CAP,
+        sliced_state: bool = False,
+        **options: int,
     ) -> None:
         prepare_streaming(spark)
         ensure_checkpoint_dir(spark)
@@ -44,31 +52,30 @@ class Replay:
         raw = tables.raw_records(spark, sf_dir)
         first, last = raw.agg(F.min("arrived_us"), F.max("arrived_us")).first()
         step = (last - first) // slices + 1
-        spec = Evaluation(POLICY)
+        self.spec, self.sliced_state = Evaluation(POLICY, history_cap=cap), sliced_state
+        self.options = options
         for i in range(slices):
             arrived = F.col("arrived_us").between(first + i * step, first + (i + 1) * step - 1)
             raw.where(arrived).select(_RAW).write.mode("append").parquet(self.records)
-            self._start(spec, options).awaitTermination()
+            self._start().awaitTermination()
 
-    def _start(self, spec: Evaluation, options: dict[str, int]) -> StreamingQuery:
+    def _start(self) -> StreamingQuery:
         """Starts the query with a state partition per core; a query keeps the settings
         it was started with."""
         per_core = {"spark.sql.shuffle.partitions": str(self.spark.sparkContext.defaultParallelism)}
         with settings(self.spark, per_core):
             stream = records.file_stream(self.spark, self.records)
-            return pipeline.start_signals(
-                stream, spec, self.stores, self.checkpoint, bounded=True, **options
+            start = pipeline.start_signals
+            if self.sliced_state:
+                start = pipeline.start_sliced_signals
+            return start(
+                stream, self.spec, self.stores, self.checkpoint, bounded=True, **self.options
             )
 
     def events(self) -> DataFrame:
         raw = records.file_batch(self.spark, self.records)
         return accepted_events(decode_records(raw))
 
-    def history_state(self) -> DataFrame:
-        """Events each actor's state still holds."""
-        state = self.spark.read.format("statestore").option("stateVarName", "history")
-        return (
-            state.load(f"{self.checkpoint}/signals")
-            .groupBy(F.col("key.actor_id").alias("actor_id"))
-            .agg(F.count("*").alias("stored_events"))
-        )
+    def state(self) -> SlicedState:
+        """What the query has kept, of a query with sliced state."""
+        return pipeline.sliced_state(self.spark, self.checkpoint, self.spec, **self.options)

@@ -82,17 +82,18 @@ class HotStateTable:
         A write older than the live state of its actor is rejected and renews nothing;
         an equally old one replaces it.
         """
-        newest = hot_state.as_state(hot_state.latest(signals, write_order))
-        # Only the actors of the batch are ranked; the others' state stays as it is.
-        touched = signals.select("actor_id").distinct()
-        before = self._live(batch_id, now_ms, touched).select(
-            "actor_id", F.col("emitted_at_ms").alias("_held_ms")
-        )
-        accepted = (
-            newest.join(before, "actor_id", "left")
-            .where(F.col("_held_ms").isNull() | (F.col("_held_ms") <= F.col("emitted_at_ms")))
-            .select("key", "actor_id", "emitted_at_ms", "payload")
-            .withColumn("written_ms", F.lit(now_ms).cast("bigint"))
+        accepted = hot_state.as_state(hot_state.latest(signals, write_order))
+        if self._numbers("batch", batch_id):
+            # Only the actors of the batch are ranked; the others' state stays as it is.
+            touched = signals.select("actor_id").distinct()
+            before = self._live(batch_id, now_ms, touched).select(
+                "actor_id", F.col("emitted_at_ms").alias("_held_ms")
+            )
+            accepted = accepted.join(before, "actor_id", "left").where(
+                F.col("_held_ms").isNull() | (F.col("_held_ms") <= F.col("emitted_at_ms"))
+            )
+        accepted = accepted.select("key", "actor_id", "emitted_at_ms", "payload").withColumn(
+            "written_ms", F.lit(now_ms).cast("bigint")
         )
         accepted.write.mode("overwrite").parquet(self._folder("batch", batch_id))
         if (batch_id + 1) % self.snapshot_every == 0:
@@ -112,25 +113,29 @@ class HotStateTable:
     def _live(
         self, before_batch: int | None, now_ms: int, actors: DataFrame | None = None
     ) -> DataFrame:
-        stored = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-        if before_batch is not None:
-            stored = stored.where(F.col("batch_id") < before_batch)
-        # Reads the partition values only.
-        snapshots = stored.where("kind = 'snapshot'").select("batch_id")
-        last = self._last_snapshot(snapshots, before_batch)
-        since = stored.where(
-            ((F.col("kind") == "snapshot") & (F.col("batch_id") == last))
-            | ((F.col("kind") == "batch") & (F.col("batch_id") > last))
-        )
+        """The last accepted write of every actor: one snapshot and the batches after it."""
+        snapshots = self._numbers("snapshot", before_batch)
+        last = max(snapshots, default=-1)
+        folders = [self._folder("snapshot", last)] if snapshots else []
+        folders += [
+            self._folder("batch", i) for i in self._numbers("batch", before_batch) if i > last
+        ]
+        since = self.spark.read.schema(self.SCHEMA).option("basePath", self.path).parquet(*folders)
         if actors is not None:
             since = since.join(actors, "actor_id", "left_semi")
         order = Window.partitionBy("actor_id").orderBy(F.desc("batch_id"))
         newest = since.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
         return newest.where(F.col("written_ms") + self.ttl_ms > now_ms)
 
-    def _last_snapshot(self, snapshots: DataFrame, before_batch: int | None) -> int:
-        found = snapshots.agg(F.max("batch_id")).first()[0]
-        return -1 if found is None else found
+    def _numbers(self, kind: str, before_batch: int | None) -> list[int]:
+        """Batch numbers of the folders of a kind, from their names."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/kind={kind}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        found = [int(n.split("=", 1)[1]) for n in names if n.startswith("batch_id=")]
+        return [i for i in found if before_batch is None or i < before_batch]
 
 
 class QuarantineTable:

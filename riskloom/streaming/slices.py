@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.operators.dedup import ACTOR_EVENT, first_arrivals
+from riskloom.operators.metrics import signals_of
 from riskloom.operators.signals import from_timeline, risk_signals
 from riskloom.operators.timeline import RULES_PER_PASS, Evaluation, timeline
 from riskloom.sources.records import SOURCE_ORDER
@@ -109,13 +110,12 @@ class SlicedState:
         """
         now, known = self.clock(), self._known(batch_id)
         progress = self._accept(decoded, batch_id, known, now)
-        rows, signals = self._evaluated(known, batch_id)
+        rows, signals = self._evaluated(known, batch_id, progress)
         rows = rows.persist()
         try:
-            signals = from_timeline(rows, self.spec) if signals is None else signals
-            signals = signals.drop("phase").persist()
             progress["counters"] |= self._counted(rows, signals)
-            yield signals
+            signals = from_timeline(rows, self.spec) if signals is None else signals
+            yield signals.drop("phase")
             totals = known.progress.get("totals", {})
             progress["totals"] = {
                 name: totals.get(name, 0) + progress["counters"][name] for name in COUNTERS
@@ -125,7 +125,6 @@ class SlicedState:
                 self._merge(batch_id, now)
         finally:
             rows.unpersist()
-            signals.unpersist()
 
     def _accept(self, decoded: DataFrame, batch_id: int, known: _Known, now: int) -> dict:
         """Write the batch's new events; its partitions, counters and watermark."""
@@ -184,8 +183,14 @@ class SlicedState:
         reached = min(awake) - self.delay_ms - 1
         return reached if before is None else max(before, reached)
 
-    def _evaluated(self, known: _Known, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
+    def _evaluated(
+        self, known: _Known, batch_id: int, progress: dict
+    ) -> tuple[DataFrame, DataFrame | None]:
         """Timeline rows of the new events, and the signals where one pass is not enough."""
+        # No actor has more rows than have ever been taken in; see ``Evaluation.at_most``.
+        ever = known.progress.get("totals", {}).get("new_events", 0)
+        ever += progress["counters"]["accepted_records"]
+        spec = dataclasses.replace(self.spec, at_most=ever)
         new = self._read(_SLICE, [self._slice(batch_id)]).drop("at_ms")
         if known.merged is None and not known.slices:
             events = new.withColumn("phase", F.lit(1)).withColumn(
@@ -197,20 +202,22 @@ class SlicedState:
             held = self._live(known, tops).withColumn("phase", F.lit(0))
             new = new.join(tops, "actor_id", "left").withColumn("phase", F.lit(1))
             events = held.unionByName(new)
-        if len(self.spec.rules) <= RULES_PER_PASS:
-            return timeline(events, self.spec).where("phase = 1"), None
-        longest = max(self.spec.rules, key=lambda rule: rule.window_ms)
-        rows = timeline(events, dataclasses.replace(self.spec, rules=(longest,)))
-        return rows.where("phase = 1"), risk_signals(events, self.spec).where("phase = 1")
-
-    def _counted(self, rows: DataFrame, signals: DataFrame) -> dict:
+        if len(spec.rules) <= RULES_PER_PASS:
+            return timeline(events, spec).where("phase = 1"), None
+        longest = max(spec.rules, key=lambda rule: rule.window_ms)
+        rows = timeline(events, dataclasses.replace(spec, rules=(longest,)))
+        return rows.where("phase = 1"), risk_signals(events, spec).where("phase = 1")
+
+    def _counted(self, rows: DataFrame, signals: DataFrame | None) -> dict:
+        number = F.sum(signals_of(self.spec)) if signals is None else F.lit(signals.count())
         seen = rows.agg(
             F.count("*").alias("new_events"),
             F.count_if("late").alias("late_events"),
             F.count_if(F.col("evicted") > 0).alias("capacity_breaches"),
             F.coalesce(F.sum("evicted"), F.lit(0)).cast("bigint").alias("capacity_evictions"),
+            F.coalesce(number, F.lit(0)).cast("bigint").alias("risk_signals"),
         )
-        return {**seen.first().asDict(), "risk_signals": signals.count()}
+        return seen.first().asDict()
 
     # ---- State ----------------------------------------------------------------------
 
