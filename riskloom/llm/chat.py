@@ -2,8 +2,8 @@
 
 A message has a role and an ordered list of parts; a part is a struct ``kind, text, ref,
 tokens`` whose kind is text, image, audio or document. The visitor flattens the parts in
-order: text is escaped, every other part becomes the placeholder of its kind, and its
-reference and the number of tokens it expands to are recorded.
+order: neighbouring texts are joined and escaped, every other part becomes the placeholder
+of its kind, and its reference and the number of tokens it expands to are recorded.
 
 A turn is ``<s>role\\ntext</s>`` where the assistant speaks and ``[INST]role\\ntext[/INST]``
 elsewhere. Control strings inside texts get a backslash after their first character, one
@@ -13,7 +13,7 @@ roles are escaped too. Everything is made of column expressions.
 The loss mask is a list of spans (first code point from 0, length): the assistants' texts.
 
 Defined cases: null text, role or parts read as empty; a part of another or no kind is
-text; turns of one conversation are ordered by turn, then role and text, null turns first;
+text, and texts that follow each other read back as one; turns of one conversation are ordered by turn, then role and text, null turns first;
 repeated rows are turns of their own; rows without ``conv_id`` form one conversation; an
 empty table gives no rows; further columns are ignored. A conversation is one output row,
 so it must fit in a task like a document; rows are flattened before the shuffle.
@@ -67,12 +67,28 @@ def text_parts(text: Column) -> Column:
     return F.array(part.cast(PART))
 
 
-def _visited(part: Column) -> Column:
-    """The text that stands for a part."""
-    out = escape(F.coalesce(part["text"], F.lit("")))
-    for kind, placeholder in PLACEHOLDERS.items():
-        out = F.when(part["kind"] == kind, F.lit(placeholder)).otherwise(out)
-    return out
+def _visited(parts: Column) -> Column:
+    """The text that stands for the parts, in order.
+
+    Neighbouring texts are joined before they are escaped, as two harmless ends may make a
+    control string together. A placeholder between them cannot be part of one.
+    """
+    nothing = F.lit("")
+
+    def step(seen: Column, part: Column) -> Column:
+        attached = part["kind"].isin(*PLACEHOLDERS)
+        placeholder = nothing
+        for kind, told in PLACEHOLDERS.items():
+            placeholder = F.when(part["kind"] == kind, F.lit(told)).otherwise(placeholder)
+        closed = F.concat(seen["done"], escape(seen["open"]), placeholder)
+        text = F.concat(seen["open"], F.coalesce(part["text"], nothing))
+        return F.struct(
+            F.when(attached, closed).otherwise(seen["done"]).alias("done"),
+            F.when(attached, nothing).otherwise(text).alias("open"),
+        )
+
+    start = F.struct(nothing.alias("done"), nothing.alias("open"))
+    return F.aggregate(parts, start, step, lambda s: F.concat(s["done"], escape(s["open"])))
 
 
 def _expanded(part: Column) -> Column:
@@ -103,7 +119,7 @@ def formatted(messages: DataFrame) -> DataFrame:
     references in the order of their placeholders, ``attached_tokens`` their sum.
     """
     role = F.coalesce(F.col("role"), F.lit(""))
-    body = F.array_join(F.transform("parts", _visited), "")
+    body = _visited(F.col("parts"))
     rows = messages.select(
         "conv_id",
         "turn",

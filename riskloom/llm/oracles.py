@@ -78,7 +78,8 @@ c AS (
       + CASE WHEN role = 'assistant' THEN 7 ELSE 13 END) AS formatted_chars
   FROM t GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars,
-  sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM c
+  sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
+  CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attached_tokens FROM c
 """
 
 
