@@ -12,18 +12,16 @@ Both give the containment of one set in the other.
 
 Defined cases: null and empty texts, and texts without words, have the empty sketch; two
 empty sketches resemble each other by 1, an empty and another one by 0; equal texts have
-equal sketches; other columns stay as they are.
+equal sketches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from riskloom.llm import arrays
 
@@ -90,84 +88,109 @@ def containment(a: bytes | None, b: bytes | None, k: int = K) -> float:
     return min(1.0, j / (1 + j) * (own + distinct_shingles(b, k)) / own)
 
 
-def _added(frame: DataFrame, new: list[StructField], work) -> DataFrame:
-    names = [*frame.columns, *(f.name for f in new)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *work(batch)], names=names)
+@F.arrow_udf(BinaryType())
+def sketch(texts: pa.Array) -> pa.Array:
+    """The sketch of every text, as a column."""
+    return pa.array(sketches(texts), pa.binary())
 
-    return frame.mapInArrow(run, StructType([*frame.schema.fields, *new]))
 
-
-def sketched(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """The frame with a sketch for each text column: ``{text column: sketch column}``."""
-    at = [frame.columns.index(c) for c in columns]
-    new = [StructField(name, BinaryType()) for name in columns.values()]
-    return _added(
-        frame, new, lambda batch: [pa.array(sketches(batch.column(i)), pa.binary()) for i in at]
-    )
+@F.arrow_udf(DoubleType())
+def alike(x: pa.Array, y: pa.Array) -> pa.Array:
+    """Resemblance of two columns of sketches."""
+    pairs = zip(x.to_pylist(), y.to_pylist(), strict=True)
+    return pa.array([resemblance(a, b) for a, b in pairs], pa.float64())
 
 
-def compared(frame: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
-    """The frame with resemblances: ``{new column: (sketch column, sketch column)}``."""
-    at = [tuple(frame.columns.index(c) for c in pair) for pair in pairs.values()]
-    new = [StructField(name, DoubleType()) for name in pairs]
+@F.arrow_udf(DoubleType())
+def contained(x: pa.Array, y: pa.Array) -> pa.Array:
+    """Estimated share of the shingles of the first that the second has."""
+    pairs = zip(x.to_pylist(), y.to_pylist(), strict=True)
+    return pa.array([containment(a, b) for a, b in pairs], pa.float64())
 
-    def work(batch: pa.RecordBatch) -> list[pa.Array]:
-        lists = {i: batch.column(i).to_pylist() for pair in at for i in pair}
-        return [
-            pa.array([resemblance(a, b) for a, b in zip(lists[i], lists[j], strict=True)], pa.float64())
-            for i, j in at
-        ]
 
-    return _added(frame, new, work)
+@F.arrow_udf(DoubleType())
+def distinct(x: pa.Array) -> pa.Array:
+    """Estimated number of distinct shingles."""
+    return pa.array([distinct_shingles(a) for a in x.to_pylist()], pa.float64())
 
 
-def merged_by(frame: DataFrame, by: list[str], sketch: str = "sketch") -> DataFrame:
+def merged_by(frame: DataFrame, by: list[str], name: str = "sketch") -> DataFrame:
     """One sketch per group. Only the smallest values of each task are shuffled."""
-    one = F.expr(f"transform(sequence(0, {K - 1}), i -> substring(`{sketch}`, i * 8 + 1, 8))")
+    one = F.expr(f"transform(sequence(0, {K - 1}), i -> substring(`{name}`, i * 8 + 1, 8))")
     values = frame.select(*by, F.explode(F.filter(one, lambda v: F.length(v) == 8)).alias("_v"))
     values = values.groupBy(*by, "_v").agg(F.lit(1).alias("_n"))
     first = Window.partitionBy(*by).orderBy("_v")
     least = values.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= K)
     lists = least.groupBy(*by).agg(F.array_sort(F.collect_list(F.hex("_v"))).alias("_v"))
-    return lists.select(*by, F.unhex(F.array_join("_v", "")).alias(sketch))
+    return lists.select(*by, F.unhex(F.array_join("_v", "")).alias(name))
 
 
-def with_next(spark: SparkSession, documents: DataFrame) -> DataFrame:
-    """``doc_id, text`` with the text of the next document by descending id as ``next_text``.
+def with_next(
+    spark: SparkSession, documents: DataFrame, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, text`` and the carried columns, and the same of the next document.
 
-    After the last document comes the first. Ids are cut into as many ranges as Spark has
-    shuffle partitions; the first document of a range is also given to the range before
-    it, so that no order over the whole table is needed. Rows of one id follow each other
-    by text; rows without id come last.
+    Next is by descending id, and after the last document comes the first; its columns are
+    named ``next_text`` and so on. Rows of one id follow each other by a hash of the text,
+    then by the text; rows without id come last, in the same order. The table is cut into as
+    many ranges as Spark has shuffle partitions, an id that has the rows of several ranges,
+    and the rows without id, by that hash. The first document of a range is also given to the
+    range before it, so that no order over the whole table is needed.
     """
-    from pyspark.ml.feature import Bucketizer
-
     slim = documents.select(
-        F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *carried,
     )
+    slim = slim.withColumn("_hash", F.xxhash64("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    named = _ranges(slim, parts).withColumn("_tail", F.lit(0))
+    # One row per range: where its first document is. Ranges follow by part, then piece.
+    first = F.min(F.struct(F.bitwise_not("doc_id").alias("id"), F.col("_hash").alias("hash")))
+    heads = named.groupBy("_part", "_piece").agg(first.alias("head"))
+    heads = heads.orderBy(F.desc("_part"), "_piece").collect()
+    table = spark.createDataFrame(
+        [
+            (None if h.head.id is None else ~h.head.id, h.head.hash, before._part, before._piece)
+            for before, h in zip([*heads[-1:], *heads[:-1]], heads, strict=True)
+        ],
+        "head bigint, hash bigint, _part double, _piece int",
+    )
+    at_head = F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("_hash") == F.col("hash"))
+    tails = slim.join(F.broadcast(table), at_head)
+    tails = tails.groupBy("_part", "_piece").agg(F.min(F.struct("text", *carried)).alias("_next"))
+    tails = tails.select("_part", "_piece", "_next.*", F.lit(1).alias("_tail"))
+    order = Window.partitionBy("_part", "_piece").orderBy(
+        "_tail", F.col("doc_id").desc_nulls_last(), "_hash", "text"
+    )
+    rows = named.unionByName(tails, allowMissingColumns=True)
+    for name in ("text", *carried):
+        rows = rows.withColumn(f"next_{name}", F.lead(name).over(order))
+    told = [c for name in ("text", *carried) for c in (name, f"next_{name}")]
+    return rows.where("_tail = 0").select("doc_id", *told)
+
+
+def _ranges(slim: DataFrame, parts: int) -> DataFrame:
+    """Adds ``_part``, ascending by id, and ``_piece`` inside it: about ``parts`` ranges."""
+    from pyspark.ml.feature import Bucketizer
+
     shares = [i / parts for i in range(1, parts)]
     quantiles = slim.approxQuantile("doc_id", shares, 0.1 / parts) if shares else []
-    splits = [-float("inf"), *(sorted(set(quantiles)) or [0.0]), float("inf")]
-    named = slim.withColumn("_id", F.col("doc_id").cast("double"))
+    cuts = sorted(set(quantiles)) or [0.0]
+    splits = [-float("inf"), *cuts, float("inf")]
+    rows = slim.withColumn("_id", F.col("doc_id").cast("double"))
     cut = Bucketizer(splits=splits, inputCol="_id", outputCol="_part", handleInvalid="keep")
-    no_id = F.when(F.col("doc_id").isNull(), -1.0).otherwise(F.col("_part"))
-    named = cut.transform(named).select("doc_id", "text", no_id.alias("part"))
-    # One row per range: its first document, which follows the last of the range above.
-    heads = named.groupBy("part").agg(F.max("doc_id").alias("head")).orderBy("part").collect()
-    before = [heads[(i + 1) % len(heads)]["part"] for i in range(len(heads))]
-    table = spark.createDataFrame(
-        [(h["head"], float(p)) for h, p in zip(heads, before, strict=True)],
-        "head bigint, part double",
-    )
-    tails = slim.join(F.broadcast(table), F.col("doc_id").eqNullSafe(F.col("head")))
-    tails = tails.groupBy("part").agg(F.min("text").alias("text"))
-    rows = named.select("doc_id", "text", "part", F.lit(0).alias("tail")).unionByName(
-        tails.select(F.lit(None).cast("bigint").alias("doc_id"), "text", "part", F.lit(1).alias("tail"))
+    without = F.col("doc_id").isNull()
+    rows = cut.transform(rows).withColumn(
+        "_part", F.when(without, -1.0).otherwise(F.col("_part"))
     )
-    order = Window.partitionBy("part").orderBy("tail", F.col("doc_id").desc_nulls_last(), "text")
-    rows = rows.withColumn("next_text", F.lead("text").over(order))
-    return rows.where("tail = 0").select("doc_id", "text", "next_text")
+    # An id that several quantiles fall on has that many ranges, the rows without id their share.
+    often = {float(v): n for v in cuts if (n := quantiles.count(v)) > 1}
+    counts = slim.agg(F.count("*").alias("rows"), F.count_if(without).alias("nulls")).first()
+    pieces = F.when(without, -(-parts * counts.nulls // max(counts.rows, 1)))
+    if often:
+        table = F.create_map(*[F.lit(x) for pair in often.items() for x in pair])
+        pieces = pieces.when(F.col("_id").isin(*often), table[F.col("_id")])
+    place = F.col("_hash") / float(1 << 64) + 0.5
+    piece = F.least(F.floor(place * pieces), pieces - 1) + 1
+    return rows.withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("int")).drop("_id")

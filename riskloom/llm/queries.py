@@ -77,40 +77,35 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of an edited copy, and how alike they are."""
-    pairs = fingerprint.with_next(spark, _table(spark, sf_dir, "documents"))
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    sketched = documents.withColumn("sketch", fingerprint.sketch("text"))
+    pairs = fingerprint.with_next(spark, sketched, ("sketch",))
     n_chars = F.length("text")
     changed = n_chars - F.floor(n_chars / 2).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), changed),
         F.substring("next_text", F.lit(1), n_chars - changed),
     )
-    texts = pairs.select("doc_id", "text", edited.alias("edited"), "next_text")
-    sketched = fingerprint.sketched(
-        texts, {"text": "own_sketch", "edited": "edited_sketch", "next_text": "next_sketch"}
-    )
-    slim = sketched.select(
+    # Texts end here: what follows carries digests and sketches.
+    found = pairs.select("doc_id", n_chars.alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
+    found = found.select(
         "doc_id",
-        F.length("text").cast("bigint").alias("n_chars"),
+        F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
-        "own_sketch",
-        "edited_sketch",
+        "sketch",
+        fingerprint.sketch("edited").alias("edited_sketch"),
         "next_sketch",
     )
-    alike = fingerprint.compared(
-        slim,
-        {
-            "near_edited": ("own_sketch", "edited_sketch"),
-            "near_next": ("own_sketch", "next_sketch"),
-        },
-    )
-    return alike.select(
+    return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.lower(F.hex("own_sketch")).alias("fingerprint"),
+        F.lower(F.hex("sketch")).alias("fingerprint"),
         F.lower(F.hex("edited_sketch")).alias("edited_fingerprint"),
-        "near_edited",
-        "near_next",
+        fingerprint.alike("sketch", "edited_sketch").alias("near_edited"),
+        fingerprint.alike("sketch", "next_sketch").alias("near_next"),
+        fingerprint.contained("edited_sketch", "sketch").alias("edited_contained"),
+        fingerprint.distinct("sketch").alias("distinct_shingles"),
     )
 
 
@@ -144,6 +139,8 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = chat.formatted(messages).select(
         "conv_id",
         F.length("formatted").cast("bigint").alias("formatted_chars"),
+        F.size("attachments").cast("bigint").alias("n_attachments"),
+        "attached_tokens",
         chat.read_turns(F.col("formatted")).alias("turns"),
         chat.read_loss(F.col("formatted"), F.col("loss")).alias("learned"),
     )
@@ -155,6 +152,8 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("learned").cast("bigint").alias("loss_chars"),
         F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars",
+        "n_attachments",
+        "attached_tokens",
     )
 
 
