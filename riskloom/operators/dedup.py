@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,25 +39,52 @@ def accepted_arrivals(
 
     A key is remembered from its accepted arrival on; copies do not refresh it. An
     arrival is accepted again once ``at_ms`` is at least the last accepted time plus
-    the time to live. ``arrival`` must start in ``at_ms`` order. Each round accepts the
-    next arrival of every key that still has one, so there are at most span / ttl
-    rounds, and only keys whose arrivals span the time to live take part after the
-    first one.
+    the time to live. ``arrival`` must start in ``at_ms`` order.
+
+    Only keys whose arrivals span the time to live need more than their first arrival, and
+    of them only the first arrival of every millisecond. Each of these points to the first
+    one that is a time to live later; what the key's first arrival reaches is accepted. The
+    pointers are doubled, so a chain of n accepted arrivals takes log2(n) rounds.
     """
     keys = list(keys)
-    accepted = [first_arrivals(events, arrival, keys)]
-    first = F.min(at_ms).alias("_last")
     spanning = (
         events.groupBy(*keys)
-        .agg(first, F.max(at_ms).alias("_end"))
-        .where(F.col("_end") - F.col("_last") >= ttl_ms)
+        .agg(F.min(at_ms).alias("_begin"), F.max(at_ms).alias("_end"))
+        .where(F.col("_end") - F.col("_begin") >= ttl_ms)
+        .select(*keys)
     )
     ensure_checkpoint_dir(events.sparkSession)
-    later = F.col(at_ms) >= F.col("_last") + ttl_ms
-    rest = events.join(spanning, keys).where(later).select(*events.columns).checkpoint()
-    while not rest.isEmpty():
-        current = first_arrivals(rest, arrival, keys)
-        accepted.append(current)
-        last = current.select(*keys, F.col(at_ms).alias("_last"))
-        rest = rest.join(last, keys).where(later).select(*events.columns).checkpoint()
-    return reduce(DataFrame.unionByName, accepted)
+    candidates = first_arrivals(events.join(spanning, keys), arrival, [*keys, at_ms])
+    order = Window.partitionBy(*keys).orderBy(*arrival)
+    candidates = candidates.select(*events.columns, F.row_number().over(order).alias("_pos"))
+    candidates = candidates.checkpoint()
+    # Positions the first arrival reaches in less than 2 ** rounds steps.
+    reached = candidates.where("_pos = 1").select(*keys, "_pos")
+    steps = _next_after(candidates, keys, at_ms, ttl_ms).checkpoint()
+    while not steps.isEmpty():
+        on = steps.select(*keys, F.col("_pos"), "_to")
+        further = reached.join(on, [*keys, "_pos"]).select(*keys, F.col("_to").alias("_pos"))
+        reached = reached.unionByName(further).checkpoint()
+        second = steps.select(*keys, F.col("_pos").alias("_to"), F.col("_to").alias("_then"))
+        steps = steps.join(second, [*keys, "_to"])
+        steps = steps.select(*keys, "_pos", F.col("_then").alias("_to")).checkpoint()
+    again = candidates.join(reached.where("_pos > 1"), [*keys, "_pos"])
+    return first_arrivals(events, arrival, keys).unionByName(again.select(*events.columns))
+
+
+def _next_after(candidates: DataFrame, keys: list[str], at_ms: str, after_ms: int) -> DataFrame:
+    """``_pos`` and ``_to``, the first position of the key at least ``after_ms`` later.
+
+    From the latest time to the earliest, every candidate asks at its time plus ``after_ms``
+    which was the last, that is the earliest, position passed.
+    """
+    at = candidates.select(*keys, "_pos", F.col(at_ms).alias("_at"), F.lit(0).alias("_asks"))
+    asks = at.select(*keys, "_pos", (F.col("_at") + after_ms).alias("_at"), F.lit(1).alias("_asks"))
+    backwards = (
+        Window.partitionBy(*keys)
+        .orderBy(F.desc("_at"), "_asks", F.desc("_pos"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    passed = F.min(F.when(F.col("_asks") == 0, F.col("_pos"))).over(backwards)
+    found = at.unionByName(asks).withColumn("_to", passed)
+    return found.where("_asks = 1 AND _to IS NOT NULL").select(*keys, "_pos", "_to")
