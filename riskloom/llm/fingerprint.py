@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from riskloom.llm import arrays
 
@@ -94,24 +94,36 @@ def sketch(texts: pa.Array) -> pa.Array:
     return pa.array(sketches(texts), pa.binary())
 
 
-@F.arrow_udf(DoubleType())
-def alike(x: pa.Array, y: pa.Array) -> pa.Array:
-    """Resemblance of two columns of sketches."""
-    pairs = zip(x.to_pylist(), y.to_pylist(), strict=True)
-    return pa.array([resemblance(a, b) for a, b in pairs], pa.float64())
+_LIKENESS = StructType(
+    [
+        StructField("sketch", BinaryType()),
+        StructField("near_first", DoubleType()),
+        StructField("near_second", DoubleType()),
+        StructField("contained", DoubleType()),
+        StructField("distinct", DoubleType()),
+    ]
+)
 
 
-@F.arrow_udf(DoubleType())
-def contained(x: pa.Array, y: pa.Array) -> pa.Array:
-    """Estimated share of the shingles of the first that the second has."""
-    pairs = zip(x.to_pylist(), y.to_pylist(), strict=True)
-    return pa.array([containment(a, b) for a, b in pairs], pa.float64())
+@F.arrow_udf(_LIKENESS)
+def likeness(first: pa.Array, texts: pa.Array, second: pa.Array) -> pa.Array:
+    """Each text's sketch, and what two sketches tell when one is compared with the others.
 
-
-@F.arrow_udf(DoubleType())
-def distinct(x: pa.Array) -> pa.Array:
-    """Estimated number of distinct shingles."""
-    return pa.array([distinct_shingles(a) for a in x.to_pylist()], pa.float64())
+    ``near_first`` is the resemblance of the first sketch and the text's, ``near_second`` of
+    the first and the second; ``contained`` is the share of the text's shingles that the first
+    has, ``distinct`` the number of shingles behind the first. All in one pass, so that a
+    task has one Python worker, and texts do not come back from it.
+    """
+    found = sketches(texts)
+    one, two = first.to_pylist(), second.to_pylist()
+    told = {
+        "near_first": [resemblance(a, b) for a, b in zip(one, found, strict=True)],
+        "near_second": [resemblance(a, b) for a, b in zip(one, two, strict=True)],
+        "contained": [containment(b, a) for a, b in zip(one, found, strict=True)],
+        "distinct": [distinct_shingles(a) for a in one],
+    }
+    columns = [pa.array(values, pa.float64()) for values in told.values()]
+    return pa.StructArray.from_arrays([pa.array(found, pa.binary()), *columns], ["sketch", *told])
 
 
 def merged_by(frame: DataFrame, by: list[str], name: str = "sketch") -> DataFrame:

@@ -93,19 +93,18 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         "sketch",
-        fingerprint.sketch("edited").alias("edited_sketch"),
-        "next_sketch",
+        fingerprint.likeness("sketch", "edited", "next_sketch").alias("told"),
     )
     return found.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         F.lower(F.hex("sketch")).alias("fingerprint"),
-        F.lower(F.hex("edited_sketch")).alias("edited_fingerprint"),
-        fingerprint.alike("sketch", "edited_sketch").alias("near_edited"),
-        fingerprint.alike("sketch", "next_sketch").alias("near_next"),
-        fingerprint.contained("edited_sketch", "sketch").alias("edited_contained"),
-        fingerprint.distinct("sketch").alias("distinct_shingles"),
+        F.lower(F.hex("told.sketch")).alias("edited_fingerprint"),
+        F.col("told.near_first").alias("near_edited"),
+        F.col("told.near_second").alias("near_next"),
+        F.col("told.contained").alias("edited_contained"),
+        F.col("told.distinct").alias("distinct_shingles"),
     )
 
 

@@ -173,6 +173,9 @@ def test_fingerprint_query(spark):
         for near, b in ((row.near_edited, edited), (row.near_next, other)):
             x, y = padded_runs(text), padded_runs(b)
             alike.append(abs(near - len(x & y) / max(1, len(x | y))))
+        x, y = padded_runs(text), padded_runs(edited)
+        assert abs(row.edited_contained - len(x & y) / max(1, len(y))) < 0.35
+        assert abs(row.distinct_shingles - len(x)) <= 0.4 * len(x)
     assert sum(alike) / len(alike) < 0.02 and max(alike) < 0.2
 
 
