@@ -2,7 +2,7 @@
 
 A shingle is a run of five words; the places before a text count as empty words, so a text
 of n words has n shingles and short texts have some too. The sketch of a set of shingles
-is its 128 smallest 64-bit hashes, as big-endian bytes in ascending order. The sketch of a
+is its 128 smallest 48-bit hashes, as big-endian bytes in ascending order. The sketch of a
 union is the 128 smallest of both sketches, so parts may be sketched apart and merged.
 
 Two sketches estimate the resemblance (Jaccard similarity) of their sets: the share of the
@@ -27,9 +27,14 @@ from riskloom.llm import arrays
 
 K = 128
 SHINGLE_WORDS = 5
+BYTES = 6  # of a hash in a sketch; two shingles of a text share one with a chance of 4e-15
 _BIG = np.dtype(">u8")
 
 
+def _packed(values: np.ndarray) -> bytes:
+    return values.astype(_BIG).view(np.uint8).reshape(-1, 8)[:, 8 - BYTES :].tobytes()
+
+
 def _shingle_hashes(words: arrays.Words) -> np.ndarray:
     """A shingle per word: the word and the four before it in the same text."""
     padding = SHINGLE_WORDS - 1
@@ -45,21 +50,24 @@ def sketches(column: pa.Array, k: int = K) -> list[bytes]:
     out = []
     for at, to in arrays.chunks(column):
         words = arrays.words_of(*arrays.text_buffer(column.slice(at, to - at)))
-        hashes = _shingle_hashes(words)
+        hashes = _shingle_hashes(words) >> np.uint64(64 - 8 * BYTES)
         for low, high in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist(), strict=True):
-            out.append(np.unique(hashes[low:high])[:k].astype(_BIG).tobytes())
+            out.append(_packed(np.unique(hashes[low:high])[:k]))
     return out
 
 
 def values_of(sketch: bytes | None) -> np.ndarray:
-    return np.frombuffer(sketch or b"", dtype=_BIG).astype(np.uint64)
+    told = np.frombuffer(sketch or b"", dtype=np.uint8).reshape(-1, BYTES)
+    whole = np.zeros((len(told), 8), dtype=np.uint8)
+    whole[:, 8 - BYTES :] = told
+    return whole.reshape(-1).view(_BIG).astype(np.uint64)
 
 
 def merged(sketches_: list[bytes], k: int = K) -> bytes:
     """The sketch of the union."""
     values = [values_of(s) for s in sketches_]
     together = np.unique(np.concatenate(values)) if values else np.empty(0, np.uint64)
-    return together[:k].astype(_BIG).tobytes()
+    return _packed(together[:k])
 
 
 def resemblance(a: bytes | None, b: bytes | None, k: int = K) -> float:
@@ -76,7 +84,7 @@ def distinct_shingles(sketch: bytes | None, k: int = K) -> float:
     values = values_of(sketch)
     if len(values) < k:
         return float(len(values))
-    return (k - 1) / ((float(values[-1]) + 1) / 2.0**64)
+    return (k - 1) / ((float(values[-1]) + 1) / 2.0 ** (8 * BYTES))
 
 
 def containment(a: bytes | None, b: bytes | None, k: int = K) -> float:
@@ -128,8 +136,9 @@ def likeness(first: pa.Array, texts: pa.Array, second: pa.Array) -> pa.Array:
 
 def merged_by(frame: DataFrame, by: list[str], name: str = "sketch") -> DataFrame:
     """One sketch per group. Only the smallest values of each task are shuffled."""
-    one = F.expr(f"transform(sequence(0, {K - 1}), i -> substring(`{name}`, i * 8 + 1, 8))")
-    values = frame.select(*by, F.explode(F.filter(one, lambda v: F.length(v) == 8)).alias("_v"))
+    cut = f"substring(`{name}`, i * {BYTES} + 1, {BYTES})"
+    one = F.expr(f"transform(sequence(0, {K - 1}), i -> {cut})")
+    values = frame.select(*by, F.explode(F.filter(one, lambda v: F.length(v) == BYTES)).alias("_v"))
     values = values.groupBy(*by, "_v").agg(F.lit(1).alias("_n"))
     first = Window.partitionBy(*by).orderBy("_v")
     least = values.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= K)
