@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm import links, scratch
@@ -35,8 +35,18 @@ QUIET = 2
 SALTS = 32
 
 
-def alike(pairs: DataFrame, runs: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose runs, ``node, runs``, have a similarity of 0.8 or more.
+def sets_alike(x: str, y: str) -> Column:
+    """Whether two arrays of distinct values have a Jaccard similarity of 0.8 or more."""
+    common = F.size(F.array_intersect(x, y))
+    return common >= SIMILARITY * (F.size(x) + F.size(y) - common)
+
+
+def _similar_sets(both: DataFrame) -> DataFrame:
+    return both.where(sets_alike("x", "y")).select("a", "b")
+
+
+def beside(pairs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` with their ``runs`` as ``x`` and ``y``.
 
     ``b`` may be one node in very many pairs.
     """
@@ -44,12 +54,13 @@ def alike(pairs: DataFrame, runs: DataFrame) -> DataFrame:
     right = salted.select("b", "salt").distinct().join(
         runs.select(F.col("node").alias("b"), F.col("runs").alias("y")), "b"
     )
-    both = salted.join(
-        runs.select(F.col("node").alias("a"), F.col("runs").alias("x")), "a"
-    ).join(right, ["b", "salt"])
-    common = F.size(F.array_intersect("x", "y"))
-    whole = F.size("x") + F.size("y") - common
-    return both.where(common >= SIMILARITY * whole).select("a", "b")
+    left = runs.select(F.col("node").alias("a"), F.col("runs").alias("x"))
+    return salted.join(left, "a").join(right, ["b", "salt"])
+
+
+def alike(pairs: DataFrame, runs: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose runs, arrays of distinct values, are similar to 0.8 or more."""
+    return _similar_sets(beside(pairs, runs))
 
 
 def _paired(nodes: DataFrame, round_no: int) -> DataFrame:
@@ -85,12 +96,14 @@ def classes(
     members: DataFrame,
     runs: DataFrame,
     likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
+    verified: Callable[[DataFrame], DataFrame] = _similar_sets,
 ) -> DataFrame | None:
     """``node, component`` of the nodes that have a link to another one; None without links.
 
     ``members`` has ``key, node``, a few keys a node. ``component`` is the least node of a
-    class. ``likely`` may leave out pairs ``a, b`` before they are verified. Both tables are
-    read more than once: staged ones.
+    class. ``likely`` may leave out pairs ``a, b`` before they are verified; ``verified`` keeps
+    the similar ones of ``a, b, x, y``, where ``x`` and ``y`` are the runs. Both tables are read more than
+    once: staged ones.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     # A node is one row with its keys from here on.
@@ -106,7 +119,7 @@ def classes(
             named = nodes.join(labels, "node", "left")
             named = named.withColumn("own", F.coalesce("component", "node"))
         pairs = scratch.staged(likely(_paired(named, round_no)), "pairs")
-        found = alike(pairs, runs)
+        found = verified(beside(pairs, runs))
         if labels is not None:
             # Links between classes, so that what has grown together counts as one node.
             of_a, of_b = labels.toDF("a", "own_a"), labels.toDF("b", "own_b")

@@ -20,14 +20,24 @@ def words(text: str) -> str:
 OP5 = f"""
 WITH RECURSIVE w AS (SELECT doc_id, text, {words("text")} AS ws FROM documents),
 s AS (
-  SELECT DISTINCT doc_id, CASE WHEN len(ws) = 0 THEN 'raw ' || coalesce(text, '')
-    ELSE array_to_string(ws[i:i + 4], ' ') END AS run
-  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-  FROM s a JOIN s b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE c >= 0.8 * (x.n + y.n - c)),
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN 'raw ' || coalesce(text, '')
+    ELSE array_to_string(ws[i:i + 4], ' ') END AS run, 1 + ln(count(*)) AS x
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w) GROUP BY ALL),
+n AS (SELECT doc_id, sum(x) AS n FROM s GROUP BY doc_id),
+-- The sum bounds the similarity from above.
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b
+  FROM s a JOIN s b ON a.run = b.run AND a.doc_id <> b.doc_id
+  JOIN n p ON p.doc_id = a.doc_id JOIN n q ON q.doc_id = b.doc_id
+  GROUP BY ALL HAVING sum(least(a.x / p.n, b.x / q.n)) >= 0.8 - 1e-9),
+e AS (SELECT a, b, run, sum(x) AS x, sum(y) AS y
+  FROM (SELECT a, b, run, x, 0.0::DOUBLE AS y FROM pair JOIN s ON doc_id = a
+    UNION ALL SELECT a, b, run, 0.0, x FROM pair JOIN s ON doc_id = b) GROUP BY ALL),
+f AS (SELECT a, b, x, y,
+    sum(x) OVER (PARTITION BY a, b) - sum(x) OVER up AS above, sum(y) OVER up AS below
+  FROM (SELECT *, CASE WHEN y = 0 THEN 1e300 ELSE x / y END AS r FROM e)
+  WINDOW up AS (PARTITION BY a, b ORDER BY r RANGE UNBOUNDED PRECEDING)),
+link AS (SELECT a, b FROM f WHERE x > 0 AND y > 0 GROUP BY a, b
+  HAVING sum(1 / (above / x + below / y)) >= 0.8 - 1e-9),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM w
   UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
 SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reach GROUP BY a
