@@ -58,18 +58,25 @@ def accepted_arrivals(
     order = Window.partitionBy(*keys).orderBy(*arrival)
     candidates = candidates.select(*events.columns, F.row_number().over(order).alias("_pos"))
     candidates = candidates.checkpoint()
-    # Positions the first arrival reaches in less than 2 ** rounds steps.
-    reached = candidates.where("_pos = 1").select(*keys, "_pos")
-    steps = _next_after(candidates, keys, at_ms, ttl_ms).checkpoint()
+    reached = chain(candidates.where("_pos = 1"), _next_after(candidates, keys, at_ms, ttl_ms), keys)
+    again = candidates.join(reached.where("_pos > 1"), [*keys, "_pos"])
+    return first_arrivals(events, arrival, keys).unionByName(again.select(*events.columns))
+
+
+def chain(starts: DataFrame, steps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Positions ``_pos`` that pointers lead to from the starts, which are among them.
+
+    ``steps`` has ``_pos`` and ``_to``, at most one pointer a position, all forward. They are
+    doubled: after a round, positions are reached in less than 2 ** rounds steps.
+    """
+    reached, steps = starts.select(*keys, "_pos"), steps.checkpoint()
     while not steps.isEmpty():
-        on = steps.select(*keys, F.col("_pos"), "_to")
-        further = reached.join(on, [*keys, "_pos"]).select(*keys, F.col("_to").alias("_pos"))
+        further = reached.join(steps, [*keys, "_pos"]).select(*keys, F.col("_to").alias("_pos"))
         reached = reached.unionByName(further).checkpoint()
         second = steps.select(*keys, F.col("_pos").alias("_to"), F.col("_to").alias("_then"))
         steps = steps.join(second, [*keys, "_to"])
         steps = steps.select(*keys, "_pos", F.col("_then").alias("_to")).checkpoint()
-    again = candidates.join(reached.where("_pos > 1"), [*keys, "_pos"])
-    return first_arrivals(events, arrival, keys).unionByName(again.select(*events.columns))
+    return reached
 
 
 def _next_after(candidates: DataFrame, keys: list[str], at_ms: str, after_ms: int) -> DataFrame:

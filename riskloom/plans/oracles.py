@@ -471,6 +471,24 @@ hot AS (SELECT * FROM sig WHERE arrived_us // 1000 <= {queries.STATE_AS_OF_MS}
 SELECT actor_id, signal_id, arrived_us // 1000 AS written_ms,
   arrived_us // 1000 + {schemas.DEFAULT_TTL_MS} AS expires_ms FROM hot
 WHERE expires_ms > {queries.STATE_AS_OF_MS}""",
+        "hot_state_upsert": f"""{policy.replace("WITH ", "WITH RECURSIVE ", 1)},
+writes AS (SELECT *, row_number() OVER (PARTITION BY actor_id
+    ORDER BY written_ms, emitted_at_ms, signal_id) AS pos
+  FROM (SELECT actor_id, signal_id, emitted_at_ms, arrived_us // 1000 + late_ms AS written_ms
+    FROM sig JOIN (VALUES (1, 0), {", ".join(f"({m}, {h * queries.HOUR_MS})" for m, h in queries.REPLAYED)}
+    ) AS v(every, late_ms) ON emitted_at_ms % every = 0)),
+fold AS (
+  SELECT *, 1 AS accepted_writes FROM writes WHERE pos = 1
+  UNION ALL
+  SELECT f.actor_id, CASE WHEN ok THEN w.signal_id ELSE f.signal_id END,
+    CASE WHEN ok THEN w.emitted_at_ms ELSE f.emitted_at_ms END,
+    CASE WHEN ok THEN w.written_ms ELSE f.written_ms END,
+    w.pos, f.accepted_writes + CAST(ok AS INT)
+  FROM fold f JOIN writes w ON w.actor_id = f.actor_id AND w.pos = f.pos + 1,
+    LATERAL (SELECT w.emitted_at_ms >= f.emitted_at_ms
+      OR w.written_ms >= f.written_ms + {schemas.DEFAULT_TTL_MS} AS ok))
+SELECT actor_id, signal_id, emitted_at_ms, written_ms, accepted_writes FROM fold
+QUALIFY row_number() OVER (PARTITION BY actor_id ORDER BY pos DESC) = 1""",
         "hot_state_payload": f"""{policy}, {_HOT}
 SELECT '{schemas.HOT_KEY_PREFIX}' || actor_id AS key, actor_id, emitted_at_ms,
   '{{"signal_id":"' || signal_id || '","actor_id":"' || actor_id

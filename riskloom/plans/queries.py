@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ WRITE_ORDER = (*ARRIVAL[:1], "triggering_event_id", "rule_pos")
 STATE_AS_OF_MS = 1_706_400_000_000
 # Up to when records count as consumed, for ``consumer_lag``.
 CONSUMED_UNTIL_MS = 1_706_000_000_000
+# Signals written again in ``hot_state_upsert``: (emitted_at modulus, hours later).
+REPLAYED = ((3, 5), (7, 50))
 A_CENTURY_MS = 100 * 366 * 24 * HOUR_MS
 
 
@@ -596,6 +599,28 @@ def hot_state_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.select("actor_id", "signal_id", "written_ms", "expires_ms")
 
 
+@query
+def hot_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State after writes of which some come again, hours later or after the state's end."""
+    first = _signals(spark, sf_dir).select(
+        "actor_id",
+        "signal_id",
+        F.unix_millis("emitted_at").alias("emitted_at_ms"),
+        micros_to_millis(F.col(ARRIVAL[0])).alias("written_ms"),
+    )
+    again = [
+        first.where(F.col("emitted_at_ms") % every == 0).withColumn(
+            "written_ms", F.col("written_ms") + hours * HOUR_MS
+        )
+        for every, hours in REPLAYED
+    ]
+    writes = reduce(DataFrame.unionByName, again, first)
+    order = ("written_ms", "emitted_at_ms", "signal_id")
+    return hot_state.upserted(
+        writes, "written_ms", "emitted_at_ms", schemas.DEFAULT_TTL_MS, order
+    )
+
+
 @query
 def hot_state_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hot_state.as_state(hot_state.latest(_signals(spark, sf_dir), WRITE_ORDER))
