@@ -47,6 +47,8 @@ _POLICY_FILE = Path(__file__).with_name("policy.json")
 # The cap used by the capacity queries; small, as an actor has few events a day.
 CAP = 8
 ARRIVAL = ("arrived_us", "event_id")
+# Rows of the table that one task makes records of.
+TASK_ROWS = 100_000
 
 
 def _micros(ntz: str) -> Column:
@@ -68,15 +70,14 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores before record-wise work.
+    """Rows over all cores before record-wise work, at most about ``TASK_ROWS`` a task.
 
-    Only for a table that is read in fewer tasks than there are cores, such as one small
-    file; a large table is not shuffled.
+    A file is read in as many tasks as its bytes ask for, but the rows of a row group all
+    come to one of them, so the tasks of a scan say little about where the rows are. The
+    rows are counted from the file footers, and dealt out by their number.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() >= cores:
-        return table
-    return table.repartition(cores, "event_id")
+    return table.repartition(max(cores, -(-table.count() // TASK_ROWS)), "event_id")
 
 
 def _per_event(table: DataFrame) -> DataFrame:
