@@ -36,6 +36,8 @@ from riskloom.session import ensure_checkpoint_dir
 _LONGEST_WINDOW_MS = 10**15
 # Rules per pass: each takes one bit of the match mask and two running sums.
 RULES_PER_PASS = 32
+# Rows that one task of the windows over whole actors is given, about.
+_TASK_ROWS = 200_000
 # A shuffle cannot have any number of partitions; beyond this, segments grow instead.
 _MOST_SEGMENTS = 50_000
 _FLOOR = "_floor_ms"
@@ -107,9 +109,9 @@ def timeline(events: DataFrame, spec: Evaluation) -> DataFrame:
         ensure_checkpoint_dir(slim.sparkSession)
         slim = events = slim.checkpoint()
     parts = _by_size(slim, events, spec)
-    done = [_one_task_per_actor(parts.plain, spec, capped=False)]
+    done = [_one_task_per_actor(parts.plain, spec, False, parts.tasks)]
     if parts.capped is not None:
-        done.append(_one_task_per_actor(parts.capped, spec, capped=True))
+        done.append(_one_task_per_actor(parts.capped, spec, True, parts.tasks))
     if parts.large is not None:
         done.append(_many_tasks_per_actor(parts, spec))
     return reduce(DataFrame.unionByName, done)
@@ -133,6 +135,7 @@ class _Parts:
     large: DataFrame | None  # does not fit one task
     large_rows: int = 0
     large_can_fill: bool = False
+    tasks: int | None = None  # of the plain and the capped part; None: few rows
 
 
 def _by_size(slim: DataFrame, events: DataFrame, spec: Evaluation) -> _Parts:
@@ -142,16 +145,19 @@ def _by_size(slim: DataFrame, events: DataFrame, spec: Evaluation) -> _Parts:
         return _Parts(slim, None, None)
     rows = F.col("_rows")
     counts = events.groupBy("actor_id").agg(F.count("*").alias("_rows"))
-    counts = counts.where(rows > min(cap, limit))
+    unusual = rows > min(cap, limit)
     found = counts.agg(
-        F.count("*").alias("actors"),
+        F.count_if(unusual).alias("actors"),
         F.count_if(rows > limit).alias("large"),
         F.sum(F.when(rows > limit, rows)).alias("large_rows"),
         F.max(rows).alias("most"),
+        F.coalesce(F.sum(rows), F.lit(0)).alias("all_rows"),
     ).first()
+    cores = slim.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, math.ceil(found.all_rows / _TASK_ROWS))
     if found.actors == 0:
-        return _Parts(slim, None, None)
-    listed = counts.select("actor_id", (rows > limit).alias("_large"))
+        return _Parts(slim, None, None, tasks=tasks)
+    listed = counts.where(unusual).select("actor_id", (rows > limit).alias("_large"))
     if found.actors <= _BROADCAST_ACTORS:
         schema = "actor_id string, _large boolean"
         listed = F.broadcast(slim.sparkSession.createDataFrame(listed.collect(), schema))
@@ -170,17 +176,23 @@ def _by_size(slim: DataFrame, events: DataFrame, spec: Evaluation) -> _Parts:
         of(True) if found.large else None,
         found.large_rows or 0,
         found.most > cap,
+        tasks,
     )
 
 
-def _one_task_per_actor(slim: DataFrame, spec: Evaluation, capped: bool) -> DataFrame:
+def _one_task_per_actor(
+    slim: DataFrame, spec: Evaluation, capped: bool, tasks: int | None
+) -> DataFrame:
     """Duplicate removal, running maximum and window sums after a single shuffle.
 
     All window steps are partitioned by actor (or finer), so the one exchange on
     actor_id serves them all; explode keeps the partitioning. Only actors that may
     fill their history pass through Python, and are shuffled once more after it.
+
+    The tasks are as many as the rows ask for: a row needs many times its shuffled bytes
+    in the windows, so a number that follows the bytes would let tasks grow.
     """
-    rows = slim.repartition("actor_id")
+    rows = slim.repartition(*([] if tasks is None else [tasks]), "actor_id")
     if spec.dedup:
         rows = first_arrivals(rows, spec.arrival)
     arrival_order = Window.partitionBy("actor_id").orderBy(*spec.arrival)

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from riskloom.operators import timeline as timelines
+from riskloom.operators.rules import Rule
+from riskloom.operators.timeline import Evaluation, timeline
 from riskloom.plans import tables
 
 
@@ -31,3 +34,20 @@ def test_rows_of_one_row_group_are_spread(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sum(found) == 3300  # every tenth record comes twice
     assert max(found) < 250
+
+
+def test_windows_over_actors_take_more_tasks_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(timelines, "_TASK_ROWS", 50)
+    events = spark.range(2000).select(
+        (F.col("id") % 200).cast("string").alias("actor_id"),
+        F.col("id").cast("string").alias("event_id"),
+        F.timestamp_seconds("id").alias("occurred_at"),
+        F.lit("view").alias("event_type"),
+        F.lit(5).alias("severity"),
+        F.create_map().cast("map<string,string>").alias("attributes"),
+        F.col("id").alias("arrival"),
+    )
+    rows = timeline(events, Evaluation((Rule("r", 3_600_000, 1, 0, 10),)))
+    found = _rows_per_task(rows)
+    assert sum(found) == 2000
+    assert max(found) < 300
