@@ -12,9 +12,14 @@ buckets and centres by hash, small buckets first: a bucket's place in the draw i
 times a random number, the same for all its nodes. A bucket of n nodes is left alone after about
 log2(n) rounds: one of two nodes has nothing more to say. Texts with a common part meet under the
 few bands of that part in one large bucket; those that are alike beyond it also meet in small
-buckets, and find each other there. Rounds end when ``QUIET`` of them in a row added no link,
-so a link can remain between nodes that share large buckets only and never drew each other;
-``tests/llm`` measure that against brute force.
+buckets, and find each other there. Rounds end when ``QUIET`` of them in a row added no link.
+
+What the rounds did not draw is then found exactly (``rest``), by prefixes (Chaudhuri et al.
+2006, Bayardo et al. 2007): with all runs in one order, rare ones first, two sides that have
+0.8 in common share a run among those that begin within the first 0.2 of either side's weight.
+Runs of a single class come first of all and lead to no pair, so a node with more than 0.2 of
+them is compared with nothing. All pairs of nodes of different classes that share a run of
+their prefixes are verified; nothing limits their number.
 
 A hot centre is not one task: its runs are laid beside ``SALTS`` slices of its nodes.
 """
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import links, scratch
@@ -33,6 +38,8 @@ ASKS = 8
 CENTRES = 4
 QUIET = 2
 SALTS = 32
+# Sums of weights in another order differ in their last digits.
+_TOLERANCE = 1e-6
 
 
 def sets_alike(x: str, y: str) -> Column:
@@ -92,18 +99,85 @@ def _paired(nodes: DataFrame, round_no: int) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.explode("best.centre").alias("b"))
 
 
+SETS = "transform(runs, x -> struct(x AS run, 1D AS weight))"
+
+
+def rest(
+    runs: DataFrame,
+    labels: DataFrame | None,
+    elements: str = SETS,
+    verified: Callable[[DataFrame], DataFrame] = _similar_sets,
+) -> DataFrame:
+    """All similar pairs ``a, b`` of nodes of different classes.
+
+    ``elements`` gives the runs of a node as an array of ``run, weight``. Similarity must not
+    be above the common share, the sum of the lesser of both sides' parts of their weight, as
+    is true of sets and of ``near_dup.probability_jaccard``.
+    """
+    own = F.col("node")
+    if labels is not None:
+        runs_of = runs.join(labels, "node", "left")
+        own = F.coalesce("component", "node")
+    else:
+        runs_of = runs
+    # One node can have several texts, so that a row is told by its runs as well.
+    told = runs_of.select(
+        "node", own.alias("own"), F.xxhash64("runs").alias("text"), F.expr(elements).alias("e")
+    )
+    total = F.aggregate("e", F.lit(0.0), lambda sum_, e: sum_ + e.weight)
+    parts = told.select("node", "own", "text", total.alias("total"), F.explode("e").alias("e"))
+    parts = parts.select("node", "own", "text", "total", "e.run", "e.weight")
+    common = parts.groupBy("run").agg(
+        F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")
+    )
+    common = common.where("low <> high").select("run", "n")
+    side = Window.partitionBy("node", "text")
+    earlier = side.orderBy("n", "run").rowsBetween(Window.unboundedPreceding, -1)
+    alone = F.col("total") - F.sum("weight").over(side)
+    begins = alone + F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
+    prefix = parts.join(common, "run").withColumn("begins", begins)
+    prefix = prefix.where(F.col("begins") <= (1 - SIMILARITY + _TOLERANCE) * F.col("total"))
+    prefix = scratch.staged(prefix.select("run", "node", "own").distinct(), "prefixes")
+    met = prefix.groupBy("run").agg(F.min("own").alias("low"), F.max("own").alias("high"))
+    prefix = prefix.join(met.where("low <> high").select("run"), "run", "left_semi")
+    pairs = prefix.toDF("run", "a", "own_a").join(prefix.toDF("run", "b", "own_b"), "run")
+    pairs = pairs.where("a < b AND own_a <> own_b").select("a", "b").distinct()
+    return scratch.staged(verified(beside(scratch.staged(pairs, "rest"), runs)), "rest-links")
+
+
+def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
+    """The labels after the links that were found; None if there are none."""
+    if labels is not None:
+        # Links between classes, so that what has grown together counts as one node.
+        of_a, of_b = labels.toDF("a", "own_a"), labels.toDF("b", "own_b")
+        found = found.join(of_a, "a", "left").join(of_b, "b", "left").select(
+            F.coalesce("own_a", "a").alias("a"), F.coalesce("own_b", "b").alias("b")
+        )
+    found = scratch.staged(found, "links")
+    if found.isEmpty():
+        return None
+    grown = links.components(found)
+    if labels is None:
+        return grown
+    kept = labels.join(grown.toDF("component", "to"), "component", "left")
+    kept = kept.select("node", F.coalesce("to", "component").alias("component"))
+    fresh = grown.join(labels.select("node"), "node", "left_anti")
+    return scratch.staged(kept.unionByName(fresh), "labels")
+
+
 def classes(
     members: DataFrame,
     runs: DataFrame,
     likely: Callable[[DataFrame], DataFrame] = lambda pairs: pairs,
     verified: Callable[[DataFrame], DataFrame] = _similar_sets,
+    elements: str = SETS,
 ) -> DataFrame | None:
     """``node, component`` of the nodes that have a link to another one; None without links.
 
     ``members`` has ``key, node``, a few keys a node. ``component`` is the least node of a
     class. ``likely`` may leave out pairs ``a, b`` before they are verified; ``verified`` keeps
     the similar ones of ``a, b, x, y``, where ``x`` and ``y`` are the runs. Both tables are read more than
-    once: staged ones.
+    once: staged ones. After the rounds ``rest`` finds what they left.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     # A node is one row with its keys from here on.
@@ -120,25 +194,10 @@ def classes(
             named = named.withColumn("own", F.coalesce("component", "node"))
         pairs = scratch.staged(likely(_paired(named, round_no)), "pairs")
         found = verified(beside(pairs, runs))
-        if labels is not None:
-            # Links between classes, so that what has grown together counts as one node.
-            of_a, of_b = labels.toDF("a", "own_a"), labels.toDF("b", "own_b")
-            found = found.join(of_a, "a", "left").join(of_b, "b", "left").select(
-                F.coalesce("own_a", "a").alias("a"), F.coalesce("own_b", "b").alias("b")
-            )
-        found = scratch.staged(found, "links")
         round_no += 1
-        if found.isEmpty():
-            quiet += 1
-            continue
-        quiet = 0
-        grown = links.components(found)
-        if labels is None:
-            labels = grown
-        else:
-            kept = labels.join(grown.toDF("component", "to"), "component", "left")
-            kept = kept.select("node", F.coalesce("to", "component").alias("component"))
-            fresh = grown.join(labels.select("node"), "node", "left_anti")
-            labels = scratch.staged(kept.unionByName(fresh), "labels")
+        grown = _joined(labels, found)
+        quiet = quiet + 1 if grown is None else 0
+        labels = labels if grown is None else grown
         scratch.release(members.sparkSession)
-    return labels
+    grown = _joined(labels, rest(runs, labels, elements, verified))
+    return labels if grown is None else grown

@@ -10,8 +10,8 @@ similarity of their sets where no run repeats.
 
 Registers are banded 32 x 4: texts of similarity 0.8 miss all bands with a chance of
 5e-8. Equal word sequences are one node from the start. Within the buckets nodes are
-compared with a few centres a round, never with all others (``buckets``); pairs whose
-registers rule out 0.8 are left, the rest are verified by the exact value of the similarity
+compared with a few centres a round (``buckets``), where pairs whose registers rule out 0.8
+are left; what the rounds left is found exactly, by prefixes. All are verified by the exact value of the similarity
 that is sketched. The runs of texts that share a bucket are written once, and texts are not
 read again. Classes are the connected components of the
 verified links.
@@ -42,6 +42,10 @@ LEAST_ESTIMATE = 0.5
 
 _SIGNATURE = "doc_id bigint, d1 bigint, d2 bigint, bands array<bigint>"
 _RUNS = "node bigint, runs struct<values: array<bigint>, times: array<int>>"
+_ELEMENTS = (
+    "transform(runs.values, (v, i) -> "
+    "struct(v AS run, coalesce(1D + ln(get(runs.times, i)), 1D) AS weight))"
+)
 # Sums of logarithms in another order differ in their last digits.
 _TOLERANCE = 1e-9
 
@@ -272,7 +276,7 @@ def classes(documents: DataFrame) -> DataFrame:
     sketches = heads.where("named").select("node", "bands").join(nodes, "node", "left_semi")
     sketches = scratch.staged(sketches, "sketches")
     labels = buckets.classes(
-        members, _runs_table(nodes, documents), _likely(sketches), _weighted_alike
+        members, _runs_table(nodes, documents), _likely(sketches), _weighted_alike, _ELEMENTS
     )
     out = rows.select("doc_id", "d1", "d2").join(heads.select("d1", "d2", "node"), ["d1", "d2"])
     if labels is not None:

@@ -11,15 +11,16 @@ paragraph of fewer than five words is known by the five words from its cut on, a
 of a line by the last five of the line.
 
 Every paragraph in a line of five words or more gets a MinHash signature of its runs of five words,
-banded 2 x 2. Colliding paragraphs are joined to the first and to the preceding one in their bucket, and verified:
-equal word sequences by a 64-bit digest beside the equal bucket, others by the exact
-Jaccard similarity of their runs, 0.8 or more. Components of the verified pairs are the clusters; the first paragraph
+banded 2 x 2. Colliding paragraphs are joined to the first and to the preceding one in their
+bucket first; all other pairs of them that may be similar are found by prefixes (``buckets.rest``).
+They are verified: equal word sequences by a 64-bit digest beside the equal bucket, others by the
+exact Jaccard similarity of their runs, 0.8 or more. Components of the verified pairs are the clusters; the first paragraph
 (least doc_id, then place) of a cluster stays, the others are copies.
 
 Edited copies are looked for among whole lines, the natural paragraphs, as one changed word
 inside a cut paragraph leaves less than 0.8 of it. Lines of five words or more are banded
 16 x 3: a pair at 0.8 shares no bucket with a chance of 1e-5. In a bucket lines are verified
-against a few centres a round, never against all others (``buckets``). Copies of a line go whole and are no part of other clusters;
+against a few centres a round, and what the rounds left by prefixes (``buckets``). Copies of a line go whole and are no part of other clusters;
 the first line of a class stays, and what is a copy inside of it is still found. Neighbouring
 paragraphs that all have a counterpart make a passage; one of fewer than ``MIN_WORDS``
 words is left alone, as common short lines are no copied passages.
@@ -253,8 +254,12 @@ def _verified(met: DataFrame, documents: DataFrame) -> DataFrame:
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
     )
     pairs = scratch.staged(pairs.distinct(), "pairs")
+    # The first of a bucket is the head of the others, so this is every node that shares one.
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return buckets.alike(pairs, _runs_table(asked, met, documents))
+    runs = _runs_table(asked, met, documents)
+    near = scratch.staged(buckets.alike(pairs, runs), "near")
+    labels = None if near.isEmpty() else links.components(near)
+    return near.unionByName(buckets.rest(runs, labels))
 
 
 def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

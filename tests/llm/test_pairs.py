@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from riskloom.llm import links, near_dup, substring
+from riskloom.llm import buckets, links, near_dup, substring
 from tests.llm import data
 
 
@@ -336,3 +336,84 @@ def test_times_seen_are_weights(spark):
     assert 80 <= len(pairs) < of_sets / 2
     found = {r.doc_id: r.class_id for r in near_dup.classes(data.documents(spark, rows)).collect()}
     assert found == brute_components(bags, pairs)
+
+
+def test_no_pair_of_one_large_bucket_is_left(spark):
+    """Alike in pairs only, and all in one bucket and no other, where rounds soon are quiet."""
+    rng = random.Random(17)
+    sets = {}
+    for i in range(0, 300, 2):
+        own = rng.sample(range(10**6), rng.choice([10, 21, 50]))
+        edits = len(own) // 10
+        sets[i] = own + list(range(10**6, 10**6 + 2))  # two runs that all have
+        sets[i + 1] = own[edits:] + sets[i][-2:]
+    runs = spark.createDataFrame(
+        [(n, sorted(set(own))) for n, own in sets.items()], "node bigint, runs array<bigint>"
+    ).localCheckpoint()
+    members = runs.select("node").selectExpr("1L AS key", "node")
+    alike = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if a < b and len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})
+    ]
+    assert len(alike) >= 150
+    found = {r.node: r.component for r in buckets.classes(members, runs).collect()}
+    assert found == brute_components({n for p in alike for n in p}, alike)
+    links_found = buckets.rest(runs, None).collect()
+    assert sorted((r.a, r.b) for r in links_found) == sorted(alike)
+
+
+def test_the_rest_of_weighted_pairs_equals_brute_force(spark):
+    rng = random.Random(23)
+    rows = []
+    for i in range(0, 160, 2):
+        own = {v: rng.choice([1, 1, 1, 2, 9]) for v in rng.sample(range(400), 30)}
+        rows.append((i, own))
+        changed = dict(own)
+        for v in rng.sample(sorted(own), rng.randrange(0, 5)):
+            changed[v] = rng.choice([1, 2, 5])
+        changed.pop(rng.choice(sorted(changed)))
+        rows.append((i + 1, changed))
+    table = [
+        (n, (sorted(own), [own[v] for v in sorted(own)] if max(own.values()) > 1 else []))
+        for n, own in rows
+    ]
+    runs = spark.createDataFrame(
+        table, "node bigint, runs struct<values: array<bigint>, times: array<int>>"
+    ).localCheckpoint()
+    weight = {n: {v: 1 + math.log(t) for v, t in own.items()} for n, own in rows}
+    alike = sorted(
+        (a, b)
+        for a in weight
+        for b in weight
+        if a < b and probability_similarity(weight[a], weight[b]) >= 0.8
+    )
+    assert len(alike) > 20
+    found = buckets.rest(runs, None, near_dup._ELEMENTS, near_dup._weighted_alike)
+    assert sorted((r.a, r.b) for r in found.collect()) == alike
+
+
+def test_paragraphs_that_are_neither_first_nor_next_are_compared(spark):
+    """A bucket lists c between a and b, and its head is another: only the rest meets a and b."""
+    rng = random.Random(29)
+    words = [data.prose(rng, 1).strip(".").lower() + str(i) for i in range(13)]
+    texts = [" ".join(words), " ".join(words[:-1]), "p q r s t u v", "k l m n o p q"]
+    frame = data.documents(spark, list(enumerate(texts)))
+    nodes = {}
+    for i, text in enumerate(texts):
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        told = substring._Described(raw, np.array([0, len(raw)]), split=substring.whole_lines)
+        nodes[i] = int(told.digest.view(np.int64)[0])
+    neighbours = {0: 2, 1: 3, 2: 3, 3: 2}
+    met = spark.createDataFrame(
+        [(i, 0, 13, 0, nodes[i], nodes[j], nodes[j]) for i, j in neighbours.items()],
+        "doc_id bigint, first int, size int, line int, node bigint, head bigint, before bigint",
+    ).localCheckpoint()
+    split = substring._runs_table
+    try:  # whole lines, so that the two long texts are one paragraph each
+        substring._runs_table = lambda *args: split(*args, substring.whole_lines)
+        found = {frozenset((r.a, r.b)) for r in substring._verified(met, frame).collect()}
+    finally:
+        substring._runs_table = split
+    assert found == {frozenset((nodes[0], nodes[1]))}
