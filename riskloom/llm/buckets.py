@@ -12,7 +12,8 @@ buckets and centres by hash, small buckets first: a bucket's place in the draw i
 times a random number, the same for all its nodes. A bucket of n nodes is left alone after about
 log2(n) rounds: one of two nodes has nothing more to say. Texts with a common part meet under the
 few bands of that part in one large bucket; those that are alike beyond it also meet in small
-buckets, and find each other there. Rounds end when ``QUIET`` of them in a row added no link.
+buckets, and find each other there. Rounds end when one adds fewer links than ``LEAST_YIELD``
+of the nodes, as finding the rest exactly then costs less than another round.
 
 What the rounds did not draw is then found exactly (``rest``), by prefixes (Chaudhuri et al.
 2006, Bayardo et al. 2007): with all runs in one order, rare ones first, two sides that have
@@ -36,7 +37,7 @@ from riskloom.llm import links, scratch
 SIMILARITY = 0.8
 ASKS = 8
 CENTRES = 4
-QUIET = 2
+LEAST_YIELD = 0.01
 SALTS = 32
 # Sums of weights in another order differ in their last digits.
 _TOLERANCE = 1e-6
@@ -113,6 +114,13 @@ def rest(
     ``elements`` gives the runs of a node as an array of ``run, weight``. Similarity must not
     be above the common share, the sum of the lesser of both sides' parts of their weight, as
     is true of sets and of ``near_dup.probability_jaccard``.
+
+    Where two sides first share a run, the parts u and v of their weight before it are not
+    common. The similarity is then at most (1 - u) (1 - v) / (1 - u v), with equality for
+    sets without further differences: each term is at most x y / (y + v x), which is concave
+    and homogeneous, so that the sum is at most its value at the sums 1 - u and 1 - v. Sides
+    whose runs weigh 1 are sets; what is left of the smaller one must hold all that they need
+    in common. Every similar pair passes at the run that it shares first.
     """
     own = F.col("node")
     if labels is not None:
@@ -125,8 +133,12 @@ def rest(
         "node", own.alias("own"), F.xxhash64("runs").alias("text"), F.expr(elements).alias("e")
     )
     total = F.aggregate("e", F.lit(0.0), lambda sum_, e: sum_ + e.weight)
-    parts = told.select("node", "own", "text", total.alias("total"), F.explode("e").alias("e"))
-    parts = parts.select("node", "own", "text", "total", "e.run", "e.weight")
+    # Summed in a step of its own: beside the explode, Spark would carry the whole array to
+    # every element and sum it up there.
+    told = told.select("node", "own", "text", total.alias("total"), F.size("e").alias("size"), "e")
+    # Without the _outer, Spark would build the array once more to see whether it is empty.
+    parts = told.select("node", "own", "text", "total", "size", F.explode_outer("e").alias("e"))
+    parts = parts.select("node", "own", "text", "total", "size", "e.run", "e.weight")
     common = parts.groupBy("run").agg(
         F.count("*").alias("n"), F.min("own").alias("low"), F.max("own").alias("high")
     )
@@ -137,16 +149,26 @@ def rest(
     begins = alone + F.coalesce(F.sum("weight").over(earlier), F.lit(0.0))
     prefix = parts.join(common, "run").withColumn("begins", begins)
     prefix = prefix.where(F.col("begins") <= (1 - SIMILARITY + _TOLERANCE) * F.col("total"))
-    prefix = scratch.staged(prefix.select("run", "node", "own").distinct(), "prefixes")
+    # The size of a set; none where runs weigh more than 1.
+    size = F.expr("CASE WHEN total = size THEN total END").alias("size")
+    part = (F.col("begins") / F.col("total")).alias("part")
+    prefix = scratch.staged(prefix.select("run", "node", "own", size, part).distinct(), "prefixes")
     met = prefix.groupBy("run").agg(F.min("own").alias("low"), F.max("own").alias("high"))
     prefix = prefix.join(met.where("low <> high").select("run"), "run", "left_semi")
-    pairs = prefix.toDF("run", "a", "own_a").join(prefix.toDF("run", "b", "own_b"), "run")
-    pairs = pairs.where("a < b AND own_a <> own_b").select("a", "b").distinct()
+    left = prefix.toDF("run", "a", "own_a", "size_a", "u")
+    right = prefix.toDF("run", "b", "own_b", "size_b", "v")
+    pairs = left.join(right, "run").where("a < b AND own_a <> own_b")
+    least = SIMILARITY - _TOLERANCE
+    pairs = pairs.where(f"(1 - u) * (1 - v) >= {least}D * (1 - u * v)")
+    needed = f"{least / (1 + least)}D * (size_a + size_b)"
+    left_over = "least(size_a * (1 - u), size_b * (1 - v))"
+    pairs = pairs.where(f"coalesce({left_over} >= {needed} - {_TOLERANCE}D, true)")
+    pairs = pairs.select("a", "b").distinct()
     return scratch.staged(verified(beside(scratch.staged(pairs, "rest"), runs)), "rest-links")
 
 
-def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
-    """The labels after the links that were found; None if there are none."""
+def _joined(labels: DataFrame | None, found: DataFrame) -> tuple[DataFrame | None, int]:
+    """The labels after the links that were found, and the number of the links."""
     if labels is not None:
         # Links between classes, so that what has grown together counts as one node.
         of_a, of_b = labels.toDF("a", "own_a"), labels.toDF("b", "own_b")
@@ -154,15 +176,16 @@ def _joined(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
             F.coalesce("own_a", "a").alias("a"), F.coalesce("own_b", "b").alias("b")
         )
     found = scratch.staged(found, "links")
-    if found.isEmpty():
-        return None
+    n = found.count()
+    if not n:
+        return labels, n
     grown = links.components(found)
     if labels is None:
-        return grown
+        return grown, n
     kept = labels.join(grown.toDF("component", "to"), "component", "left")
     kept = kept.select("node", F.coalesce("to", "component").alias("component"))
     fresh = grown.join(labels.select("node"), "node", "left_anti")
-    return scratch.staged(kept.unionByName(fresh), "labels")
+    return scratch.staged(kept.unionByName(fresh), "labels"), n
 
 
 def classes(
@@ -185,8 +208,9 @@ def classes(
         F.collect_set(F.struct("key", "n")).alias("keys"), F.sum("n").alias("crowd")
     )
     nodes = scratch.staged(nodes, "nodes")
-    labels, round_no, quiet = None, 0, 0
-    while quiet < QUIET:
+    least = LEAST_YIELD * nodes.count()
+    labels, round_no, n = None, 0, least
+    while n and n >= least:
         if labels is None:
             named = nodes.withColumn("own", F.col("node"))
         else:
@@ -195,9 +219,6 @@ def classes(
         pairs = scratch.staged(likely(_paired(named, round_no)), "pairs")
         found = verified(beside(pairs, runs))
         round_no += 1
-        grown = _joined(labels, found)
-        quiet = quiet + 1 if grown is None else 0
-        labels = labels if grown is None else grown
+        labels, n = _joined(labels, found)
         scratch.release(members.sparkSession)
-    grown = _joined(labels, rest(runs, labels, elements, verified))
-    return labels if grown is None else grown
+    return _joined(labels, rest(runs, labels, elements, verified))[0]

@@ -394,6 +394,43 @@ def test_the_rest_of_weighted_pairs_equals_brute_force(spark):
     assert sorted((r.a, r.b) for r in found.collect()) == alike
 
 
+def test_the_rest_of_texts_with_very_many_runs(spark):
+    """Every run was once given all runs of its text, which no machine holds here."""
+    own = list(range(100_000))
+    table = [(0, (own, [])), (1, (own[9_000:], [])), (2, (own[30_000:], [2] * 70_000))]
+    runs = spark.createDataFrame(
+        table, "node bigint, runs struct<values: array<bigint>, times: array<int>>"
+    ).localCheckpoint()
+    found = buckets.rest(runs, None, near_dup._ELEMENTS, near_dup._weighted_alike)
+    assert [(r.a, r.b) for r in found.collect()] == [(0, 1)]
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_distant_texts_of_one_template_are_no_candidates(spark, monkeypatch, weighted):
+    """85 of 100 runs in common is a similarity of 0.74, and every pair was verified."""
+    sets = {n: list(range(85)) + list(range(1000 * (n + 1), 1000 * (n + 1) + 15)) for n in range(200)}
+    sets[200] = sets[7][:-2]  # and one copy
+    if weighted:
+        kind, elements = "struct<values: array<bigint>, times: array<int>>", near_dup._ELEMENTS
+        table = [(n, (own, [3] * len(own))) for n, own in sets.items()]
+        verified = near_dup._weighted_alike
+    else:
+        kind, elements, table = "array<bigint>", buckets.SETS, list(sets.items())
+        verified = buckets._similar_sets
+    runs = spark.createDataFrame(table, f"node bigint, runs {kind}").localCheckpoint()
+    counts, staged = {}, buckets.scratch.staged
+
+    def counted(frame, name):
+        out = staged(frame, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(buckets.scratch, "staged", counted)
+    found = buckets.rest(runs, None, elements, verified)
+    assert [(r.a, r.b) for r in found.collect()] == [(7, 200)]
+    assert counts["rest"] <= 2 * len(sets)
+
+
 def test_paragraphs_that_are_neither_first_nor_next_are_compared(spark):
     """A bucket lists c between a and b, and its head is another: only the rest meets a and b."""
     rng = random.Random(29)
