@@ -183,7 +183,8 @@ def _collisions(documents: DataFrame) -> DataFrame:
     """Paragraphs that share a bucket with another, with their bucket neighbours' nodes."""
     keyed = _slim(documents).mapInArrow(_keyed, _KEYED)
     bucket = Window.partitionBy("key")
-    ordered = bucket.orderBy("node", "doc_id", "first")
+    # Which of its equal paragraphs stands beside another node does not matter.
+    ordered = bucket.orderBy("node")
     seen = keyed.select(
         "*",
         F.first("node").over(ordered).alias("head"),
