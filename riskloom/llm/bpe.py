@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from riskloom.llm import worker
+
 # Fixed value: the published split pattern of the byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MOST_VOCABULARY_BYTES = 64 << 20
@@ -260,17 +262,10 @@ class Vocabulary:
         return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Vocabulary] = {}
-
-
 def _loaded(sent) -> Vocabulary:
     """The vocabulary of a broadcast, built once per Python worker."""
     content = sent.value
-    key = hash(content)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(content)
-    return _LOADED[key]
+    return worker.kept(("vocabulary", hash(content)), lambda: Vocabulary(content))
 
 
 def _send(frame: DataFrame, path: str):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm import arrays, buckets, scratch
+from riskloom.llm import arrays, buckets, scratch, worker
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 32, 4
@@ -108,6 +108,7 @@ def _digests(words: arrays.Words, data, offsets) -> tuple[np.ndarray, np.ndarray
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker.clear()
     for batch in batches:
         for at, to in arrays.chunks(batch.column(1)):
             part = batch.slice(at, to - at)
@@ -149,6 +150,7 @@ def _runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     ``times`` is empty where no run repeats.
     """
+    worker.clear()
     for batch in batches:
         for at, to in arrays.chunks(batch.column(1)):
             part = batch.slice(at, to - at)
@@ -223,6 +225,7 @@ def probability_jaccard(
 
 def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leaves out pairs with repeated runs that are not similar. Other pairs come verified."""
+    worker.clear()
     for batch in batches:
         keep = np.ones(len(batch), dtype=bool)
         sides = [batch.column(2), batch.column(3)]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from riskloom.llm import arrays, labelled
+from riskloom.llm import arrays, labelled, worker
 
 MOST_LABELLED = 4096
 TERMS, WORDS, LETTERS = 1024, 512, 512
@@ -147,6 +147,7 @@ class Space:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker.clear()
     for batch in batches:
         rows = features(batch.column(1))
         lists = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), FEATURES)
@@ -179,6 +180,7 @@ def scored(documents: DataFrame, space: Space | None, name: str = "score") -> Da
     names = [*documents.columns, name]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.clear()
         for batch in batches:
             column, votes = batch.column(at), []
             for begin in range(0, len(column), 4 * BLOCK_DOCUMENTS):
