@@ -167,6 +167,11 @@ def rest(
     return scratch.staged(verified(beside(scratch.staged(pairs, "rest"), runs)), "rest-links")
 
 
+def joined(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
+    """``node, component`` after the links ``a, b`` that were found; None without any."""
+    return _joined(labels, found)[0]
+
+
 def _joined(labels: DataFrame | None, found: DataFrame) -> tuple[DataFrame | None, int]:
     """The labels after the links that were found, and the number of the links."""
     if labels is not None:
@@ -221,4 +226,4 @@ def classes(
         round_no += 1
         labels, n = _joined(labels, found)
         scratch.release(members.sparkSession)
-    return _joined(labels, rest(runs, labels, elements, verified))[0]
+    return joined(labels, rest(runs, labels, elements, verified))

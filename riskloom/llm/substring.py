@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm import arrays, buckets, links, scratch
+from riskloom.llm import arrays, buckets, links, scratch, worker
 
 SHINGLE_WORDS = 5
 CUT_WINDOW = 13
@@ -143,16 +143,21 @@ _KEYED_NAMES = [x.split()[0] for x in _KEYED.split(", ")]
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per paragraph and band. Later copies within a batch are marked ``copy`` and
-    get the digest as their key only once: the bucket is told by the first of them."""
+    get the digest as their key only once: the bucket is told by the first of them.
+
+    Equal paragraphs meet in the bucket of the first band. In the others, where ``copy`` is
+    null, only different nodes do.
+    """
+    worker.clear()
     for batch in batches:
-        for at, to in arrays.chunks(batch.column(1), 8 * arrays.BLOCK):
+        for at, to in arrays.chunks(batch.column(1)):
             part = batch.slice(at, to - at)
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             found = _Described(*arrays.text_buffer(part.column(1)))
             if not len(found.first):
                 continue
             doc = ids[found.text]
-            order = np.lexsort((found.first, doc, found.digest))
+            order = np.argsort(found.digest, kind="stable")
             node = found.digest[order]
             new = np.ones(len(order), dtype=bool)
             new[1:] = node[1:] != node[:-1]
@@ -160,7 +165,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             twice = np.zeros(len(order), dtype=bool)  # has copies in the batch
             twice[:-1] = ~new[1:]
             for which, key, copy in [
-                *((heads, k[heads], twice[new]) for k in found.keys),
+                *((heads, k[heads], None if i else twice[new]) for i, k in enumerate(found.keys)),
                 # A copy has nothing to look for; a key of its own spreads it.
                 (copies, arrays.mixed(found.digest[copies] + copies.astype(np.uint64)), True),
             ]:
@@ -173,53 +178,60 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             pa.array(found.size[which].astype(np.int32)),
                             pa.array(found.line[which].astype(np.int32)),
                             arrays.signed(found.digest[which]),
-                            pa.array(np.broadcast_to(copy, len(which))),
+                            pa.nulls(len(which), pa.bool_())
+                            if copy is None
+                            else pa.array(np.broadcast_to(copy, len(which))),
                         ],
                         names=_KEYED_NAMES,
                     )
 
 
 def _collisions(documents: DataFrame) -> DataFrame:
-    """Paragraphs that share a bucket with another, with their bucket neighbours' nodes."""
+    """Paragraphs that share a bucket with another; ``key`` is that of a bucket with
+    different nodes, else null.
+
+    Nothing is ordered within a bucket here, so that Spark sorts by one number.
+    """
     keyed = _slim(documents).mapInArrow(_keyed, _KEYED)
     bucket = Window.partitionBy("key")
-    # Which of its equal paragraphs stands beside another node does not matter.
-    ordered = bucket.orderBy("node")
     seen = keyed.select(
         "*",
-        F.first("node").over(ordered).alias("head"),
-        F.lag("node").over(ordered).alias("before"),
-        F.lead("node").over(ordered).alias("after"),
+        F.min("node").over(bucket).alias("low"),
+        F.max("node").over(bucket).alias("high"),
+        F.count("*").over(bucket).alias("n"),
     )
-    met = seen.where("copy or before is not null or after is not null")
-    return met.select("doc_id", "first", "size", "line", "node", "head", "before")
+    several = F.when(F.col("low") != F.col("high"), F.col("key"))
+    met = seen.where("if(copy is null, low <> high, copy or n > 1)")
+    return met.select("doc_id", "first", "size", "line", "node", several.alias("key"))
 
 
 def _runs_of(split):
     """The runs of words of the wanted paragraphs of each text."""
 
     def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.clear()
         for batch in batches:
             for at, to in arrays.chunks(batch.column(0)):
                 part = batch.slice(at, to - at)
                 found = _Described(*arrays.text_buffer(part.column(0)), bands=0, split=split)
-                place = {
-                    (t, f): i
-                    for i, (t, f) in enumerate(
-                        zip(found.text.tolist(), found.first.tolist(), strict=True)
-                    )
-                }
-                nodes, runs = [], []
-                for t, wanted in enumerate(part.column(1).to_pylist()):
-                    for one in wanted:
-                        i = place.get((t, one["first"]))
-                        if i is not None:
-                            own = found.runs[found.begin[i] : found.begin[i] + found.per[i]]
-                            nodes.append(one["node"])
-                            runs.append(np.unique(own).view(np.int64))
+                lists = part.column(1)
+                text = np.repeat(np.arange(to - at), lists.value_lengths().to_numpy())
+                first, node = (
+                    lists.flatten().field(name).to_numpy().astype(np.int64)
+                    for name in ("first", "node")
+                )
+                # Paragraphs come by text and place.
+                places, wanted = found.text << 32 | found.first, text << 32 | first
+                i = np.searchsorted(places, wanted)
+                there = np.append(places, -1)[i] == wanted
+                node, i = node[there], i[there]
+                bounds = np.concatenate(([0], np.cumsum(found.per[i])))
+                values = found.runs[arrays.ragged(found.begin[i], found.per[i])]
+                owner, value, _ = arrays.distinct_runs(values, bounds)
+                ends = np.searchsorted(owner, np.arange(len(i) + 1)).astype(np.int32)
+                runs = pa.ListArray.from_arrays(pa.array(ends), arrays.signed(value))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(runs, pa.list_(pa.int64()))],
-                    names=["node", "runs"],
+                    [pa.array(node, pa.int64()), runs], names=["node", "runs"]
                 )
 
     return runs_of
@@ -246,8 +258,21 @@ def _runs_table(
     return scratch.staged(runs.dropDuplicates(["node"]), "runs")
 
 
-def _verified(met: DataFrame, documents: DataFrame) -> DataFrame:
-    """Pairs of different word sequences whose runs have a similarity of 0.8 or more."""
+def _beside(met: DataFrame) -> DataFrame:
+    """What stands in a bucket of different nodes, with the first node of the bucket and the
+    one before."""
+    ordered = Window.partitionBy("key").orderBy("node")
+    return met.where("key is not null").select(
+        "doc_id",
+        "first",
+        "node",
+        F.first("node").over(ordered).alias("head"),
+        F.lag("node").over(ordered).alias("before"),
+    )
+
+
+def _near(met: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Similar pairs among ``_beside``, their components, and the pairs they left."""
     pairs = met.select(
         "node", F.explode(F.array_distinct(F.array("head", "before"))).alias("other")
     )
@@ -260,44 +285,48 @@ def _verified(met: DataFrame, documents: DataFrame) -> DataFrame:
     runs = _runs_table(asked, met, documents)
     near = scratch.staged(buckets.alike(pairs, runs), "near")
     labels = None if near.isEmpty() else links.components(near)
-    return near.unionByName(buckets.rest(runs, labels))
+    return near, labels, buckets.rest(runs, labels)
 
 
-def _line_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bucket and node of the different lines of a batch, a row per band."""
-    for batch in batches:
-        for at, to in arrays.chunks(batch.column(1), 8 * arrays.BLOCK):
-            texts = arrays.text_buffer(batch.column(1).slice(at, to - at))
-            found = _Described(*texts, LINE_BANDS, LINE_ROWS, whole_lines)
-            if len(found.first):
-                node, own = np.unique(found.digest, return_index=True)
-                for key in found.keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [arrays.signed(key[own]), arrays.signed(node)], names=["key", "node"]
-                    )
+def _verified(met: DataFrame, documents: DataFrame) -> DataFrame:
+    """Pairs of different word sequences whose runs have a similarity of 0.8 or more."""
+    near, _, rest = _near(met, documents)
+    return near.unionByName(rest)
+
 
+_LINES = "doc_id bigint, first int, size int, node bigint, keys array<bigint>"
 
-def _line_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per line. The first of equal ones of a batch has the keys of its buckets."""
+    worker.clear()
     for batch in batches:
-        for at, to in arrays.chunks(batch.column(1), 8 * arrays.BLOCK):
+        for at, to in arrays.chunks(batch.column(1)):
             part = batch.slice(at, to - at)
             ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            found = _Described(*arrays.text_buffer(part.column(1)), bands=0, split=whole_lines)
+            texts = arrays.text_buffer(part.column(1))
+            found = _Described(*texts, LINE_BANDS, LINE_ROWS, whole_lines)
             if len(found.first):
+                own = np.zeros(len(found.first), dtype=bool)
+                own[np.unique(found.digest, return_index=True)[1]] = True
+                keys = np.stack([key[own] for key in found.keys], axis=1)
+                ends = np.concatenate(([0], np.cumsum(own) * LINE_BANDS)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[found.text]),
                         pa.array(found.first.astype(np.int32)),
                         pa.array(found.size.astype(np.int32)),
                         arrays.signed(found.digest),
+                        pa.ListArray.from_arrays(pa.array(ends), arrays.signed(keys.ravel())),
                     ],
-                    names=["doc_id", "first", "size", "node"],
+                    names=["doc_id", "first", "size", "node", "keys"],
                 )
 
 
 def near_lines(documents: DataFrame) -> DataFrame | None:
     """Lines that are alike, but not all equal: doc_id, first, size, cluster; or None."""
-    keys = _slim(documents).mapInArrow(_line_keys, "key bigint, node bigint")
+    rows = scratch.staged(_slim(documents).mapInArrow(_line_rows, _LINES), "line-rows")
+    keys = rows.select(F.explode("keys").alias("key"), "node")
     bucket = Window.partitionBy("key")
     keys = keys.select(
         "*", F.min("node").over(bucket).alias("low"), F.max("node").over(bucket).alias("high")
@@ -306,11 +335,10 @@ def near_lines(documents: DataFrame) -> DataFrame | None:
     met = scratch.staged(met, "line-buckets")
     if met.isEmpty():
         return None
-    places = _slim(documents).mapInArrow(
-        _line_places, "doc_id bigint, first int, size int, node bigint"
-    )
+    places = rows.select("doc_id", "first", "size", "node")
     places = places.join(met.select("node").distinct(), "node", "left_semi").distinct()
     places = scratch.staged(places.select("doc_id", "first", "size", "node"), "line-places")
+    scratch.remove(rows)
     runs = _runs_table(places.select("node").distinct(), places, documents, whole_lines)
     labels = buckets.classes(met, runs)
     scratch.release(documents.sparkSession)
@@ -342,25 +370,28 @@ def clusters(documents: DataFrame) -> DataFrame:
     paragraph of the cluster, ``origin`` is its ``doc_id``.
     """
     met = scratch.staged(_collisions(documents), "collisions")
-    pairs = scratch.staged(_verified(met, documents), "near")
+    _, labels, rest = _near(_beside(met), documents)
+    labels = buckets.joined(labels, rest)
     scratch.release(documents.sparkSession)
-    members = met.select("doc_id", "first", "size", "line", "node").distinct()
-    if pairs.isEmpty():
-        members = members.withColumn("cluster", F.col("node"))
-    else:
-        labels = links.components(pairs)
-        members = members.join(labels, "node", "left").withColumn(
+    members = met.withColumn("cluster", F.col("node"))
+    if labels is not None:
+        members = met.join(labels, "node", "left").withColumn(
             "cluster", F.coalesce("component", "node")
         )
     members = members.select("doc_id", "first", "size", "line", "cluster")
     columns = ["doc_id", "first", "size", "cluster", "copy", "origin"]
     lines = near_lines(documents)
     if lines is None:
+        members = scratch.staged(members.distinct(), "paragraphs")
+        scratch.remove(met)
         return _with_heads(members, "heads").select(*columns)
     lines = scratch.staged(_with_heads(lines, "line-heads"), "lines")
     # What lies in a copied line goes with it and is nobody's first occurrence.
     gone = lines.where("copy").select("doc_id", F.col("first").alias("line"))
     members = members.join(gone, ["doc_id", "line"], "left_anti")
+    # A paragraph may be met in several buckets. Its rows lie together after this join.
+    members = scratch.staged(members.distinct(), "paragraphs")
+    scratch.remove(met)
     found = scratch.staged(_with_heads(members, "heads"), "members")
     # A first line stands for its paragraphs, unless one of them is itself a copy.
     mixed = found.where("copy").select("doc_id", F.col("line").alias("first")).distinct()
@@ -382,24 +413,26 @@ def passages(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     place = Window.partitionBy("doc_id").orderBy("first")
     end = F.col("first") + F.col("size")
     gap = F.col("first") - F.lag(end).over(place)
-    found = clusters(documents).withColumn(
-        "new", F.when(gap < SHINGLE_WORDS, 0).otherwise(1)
+    found = clusters(documents).select(
+        "*",
+        F.when(gap < SHINGLE_WORDS, 0).otherwise(1).alias("new"),
+        F.lag("copy").over(place).alias("copy_before"),
     )
-    found = found.withColumn("stretch", F.sum("new").over(place))
-    turn = (F.lag("copy").over(place) != F.col("copy")) | (
-        F.lag("stretch").over(place) != F.col("stretch")
+    turn = F.when((F.col("new") == 1) | (F.col("copy_before") != F.col("copy")), 1).otherwise(0)
+    found = found.select(
+        "*", F.sum("new").over(place).alias("stretch"), F.sum(turn).over(place).alias("part")
     )
-    found = found.withColumn("turn", F.when(turn, 1).otherwise(0))
-    found = found.withColumn("part", F.sum("turn").over(place))
-    whole = Window.partitionBy("doc_id", "stretch")
-    total = F.max(end).over(whole) - F.min("first").over(whole)
-    found = found.withColumn("stretch_words", total).where(F.col("stretch_words") >= min_words)
-    return found.groupBy("doc_id", "part", F.col("copy").alias("removed")).agg(
+    # A part is in one stretch, so that stretches are measured over their few parts.
+    parts = found.groupBy("doc_id", "stretch", "part", F.col("copy").alias("removed")).agg(
         F.min("first").alias("first_word"),
         F.max(F.col("first") + F.col("size") - 1).alias("last_word"),
         F.sum("size").alias("n_words"),
         F.min_by("origin", "first").alias("origin"),
-    ).drop("part")
+    )
+    whole = Window.partitionBy("doc_id", "stretch")
+    total = F.max("last_word").over(whole) + 1 - F.min("first_word").over(whole)
+    parts = parts.withColumn("stretch_words", total).where(F.col("stretch_words") >= min_words)
+    return parts.drop("stretch", "part", "stretch_words")
 
 
 _SPANS = "__spans"  # beside the documents' own columns
@@ -420,6 +453,7 @@ def _cutter(names: list[str]):
     chars_at = names.index("n_chars") if "n_chars" in names else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker.clear()
         for batch in batches:
             columns = batch.columns[:-1]
             spans = batch.columns[-1].to_pylist()

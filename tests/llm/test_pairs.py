@@ -2,12 +2,14 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from riskloom.llm import buckets, links, near_dup, substring
+from riskloom.llm import arrays, buckets, links, near_dup, substring
 from tests.llm import data
 
 
@@ -454,3 +456,51 @@ def test_paragraphs_that_are_neither_first_nor_next_are_compared(spark):
     finally:
         substring._runs_table = split
     assert found == {frozenset((nodes[0], nodes[1]))}
+
+
+def test_runs_of_wanted_paragraphs(spark):
+    """Each wanted paragraph has the distinct runs of its words, and places without one none."""
+    rng = random.Random(31)
+    texts = [None, data.prose(rng, 120), "a b c a b c a b c a b c", "", data.prose(rng, 60)]
+    told = substring._Described(
+        *arrays.text_buffer(pa.array(texts, pa.string())), split=substring.whole_lines
+    )
+    wanted, expected = [[] for _ in texts], {}
+    for i, (t, f) in enumerate(zip(told.text.tolist(), told.first.tolist(), strict=True)):
+        wanted[t].append({"node": 100 + i, "first": f})
+        own = told.runs[told.begin[i] : told.begin[i] + told.per[i]]
+        expected[100 + i] = set(own.view(np.int64).tolist())
+    wanted[0].append({"node": 7, "first": 0})
+    wanted[4].append({"node": 8, "first": 10**6})
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("first", pa.int32())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts, pa.string()), pa.array(wanted, kind)], names=["text", "wanted"]
+    )
+    found = pa.Table.from_batches(substring._runs_of(substring.whole_lines)(iter([batch])))
+    rows = found.to_pylist()
+    assert {r["node"]: set(r["runs"]) for r in rows} == expected
+    assert all(len(r["runs"]) == len(set(r["runs"])) for r in rows)
+
+
+def test_a_staged_table_is_removed(spark):
+    one, two = (substring.scratch.staged(spark.range(n), "small") for n in (5, 7))
+    substring.scratch.remove(one)
+    assert two.count() == 7
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        one.count()
+
+
+def test_buckets_of_paragraphs_are_not_ordered(spark):
+    """Large sorts are by the bucket alone, and a paragraph is put to its bucket once."""
+    frame = data.documents(spark, [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, None)])
+    plan = substring._collisions(frame)._jdf.queryExecution().executedPlan().toString()
+    sorts = re.findall(r"Sort \[(.*?)\], false", plan)
+    assert len(sorts) == 1 and "," not in sorts[0]
+
+
+def test_a_copied_paragraph_is_met_once(spark):
+    text = "a b c d e f g"
+    frame = data.documents(spark, [(i, text) for i in range(4)]).repartition(3)
+    met = substring._collisions(frame).collect()
+    assert {r.doc_id for r in met} == set(range(4)) and all(r.key is None for r in met)
+    assert len(met) == len({(r.doc_id, r.first) for r in met})
